@@ -23,7 +23,7 @@ from edgewise.functions.features import FEATURE_COLUMNS, SVM_LR_FEATURES, label_
 from edgewise.functions.hashing import SEED_SPLIT, SEED_TEST, SEED_TRAIN, pair_hash
 from edgewise.operators import evaluate, features, graph as G, models, sampling, selection
 from edgewise.operators.prepared import prepare_graph
-from edgewise.session import scratch_dir
+from edgewise.session import cut_lineage, scratch_dir
 from edgewise.sources import files, graphs
 
 _MEMO: dict = {}
@@ -51,11 +51,11 @@ def cp(spark, sf):
 
 
 def cp_prepared(spark, sf):
-    return _memo(spark, sf, "cp_prepared", lambda: prepare_graph(cp(spark, sf)))
+    return _memo(spark, sf, "cp_prepared", lambda: prepare_graph(cp(spark, sf), materialize="checkpoint"))
 
 
 def ev_prepared(spark, sf):
-    return _memo(spark, sf, "ev_prepared", lambda: prepare_graph(ev(spark, sf)))
+    return _memo(spark, sf, "ev_prepared", lambda: prepare_graph(ev(spark, sf), materialize="checkpoint"))
 
 
 def sample(spark, sf, seed=SEED_TRAIN):
@@ -63,10 +63,10 @@ def sample(spark, sf, seed=SEED_TRAIN):
     def build():
         e = cp_prepared(spark, sf).edges
         vs, sub = sampling.sampled_subgraph(e, seed)
-        vs = vs.persist()
-        sub = sub.persist()
+        vs = cut_lineage(vs)
+        sub = cut_lineage(sub)
         _, pairs = _labelled(vs, sub, seed)
-        return vs, sub, pairs.persist()
+        return vs, sub, cut_lineage(pairs)
     return _memo(spark, sf, f"sample-{seed}", build)
 
 
@@ -82,13 +82,14 @@ def _labelled(vs, sub, seed):
 
 
 def sub_prepared(spark, sf, seed=SEED_TRAIN):
-    return _memo(spark, sf, f"sub-{seed}", lambda: prepare_graph(sample(spark, sf, seed)[1]))
+    return _memo(spark, sf, f"sub-{seed}",
+                 lambda: prepare_graph(sample(spark, sf, seed)[1], simple=False, materialize="checkpoint"))
 
 
 def labelled_features(spark, sf, seed=SEED_TRAIN):
     def build():
         _, _, pairs = sample(spark, sf, seed)
-        return features.pair_features(pairs, sub_prepared(spark, sf, seed)).persist()
+        return cut_lineage(features.pair_features(pairs, sub_prepared(spark, sf, seed)))
     return _memo(spark, sf, f"features-{seed}", build)
 
 

@@ -148,7 +148,7 @@ def split_ctes():
     ]
 
 
-LABEL_VALUE = "CASE WHEN label = 'Y' THEN 1.0 ELSE 0.0 END"
+LABEL_VALUE = "CASE WHEN label = 'Y' THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END"
 
 
 def auc_sql(scored: str) -> list[tuple[str, str]]:

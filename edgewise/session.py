@@ -23,6 +23,7 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.driver.memory": "8g",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
