@@ -44,7 +44,7 @@ def _with_prefix(groups: DataFrame, cols: list[str], buckets: int = RANGE_BUCKET
                                .alias(f"_o_{c}") for c in cols])
     w = Window.partitionBy("_bk").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     g = g.join(bounded_broadcast(offs, len(bounds) + 1), "_bk")
-    return g.select("score", *cols, *[
+    return g.select("score", "pos", "neg", *[
         (F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(w), F.lit(0))).cast("bigint").alias(f"{c}_below")
         for c in cols])
 
