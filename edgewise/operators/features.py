@@ -21,6 +21,7 @@ from edgewise.operators.neighbours import (
     DEFAULT_ENUM_LIMIT, common_counts, common_neighbour_rows, friends_measure_counts,
 )
 from edgewise.operators.prepared import PreparedGraph, as_prepared
+from edgewise.operators.skew import spread
 
 
 def clean_pairs(pairs: DataFrame) -> DataFrame:
@@ -52,7 +53,9 @@ def pair_degrees(pairs: DataFrame, graph, isolated: str = "drop") -> DataFrame:
 
 
 def _pd(pairs: DataFrame, g: PreparedGraph, isolated: str) -> DataFrame:
-    return attach_ends(clean_pairs(pairs), g.stats, isolated)
+    """Clean pairs with endpoint statistics, hash-partitioned on (u, v): the
+    expansions below start from it and the final joins on (u, v) reuse it."""
+    return spread(attach_ends(clean_pairs(pairs), g.stats, isolated), "u", "v")
 
 
 def total_friends(pairs: DataFrame, graph) -> DataFrame:
@@ -88,7 +91,8 @@ def friends_measure(pairs: DataFrame, graph, enum_limit: int = DEFAULT_ENUM_LIMI
     """(u, v, friends_measure); all pairs kept, 0 when none."""
     g = as_prepared(graph)
     pd = _pd(pairs, g, "zero")
-    fm = friends_measure_counts(pd, g.edges, g.stats, g.hubs_out, g.hubs_in, enum_limit)
+    fm = friends_measure_counts(pd, g.edges, g.stats, g.hubs_out, g.hubs_in, enum_limit,
+                                g.adjacency, g.max_out2)
     return pd.select("u", "v").join(fm, ["u", "v"], "left").fillna(0, ["friends_measure"])
 
 
@@ -99,7 +103,8 @@ def pair_features(pairs: DataFrame, graph, isolated: str = "drop",
     pd = _pd(pairs, g, isolated)
     co = common_counts(pd, g.edges, "out", g.hubs_out)
     ci = common_counts(pd, g.edges, "in", g.hubs_in)
-    fm = friends_measure_counts(pd, g.edges, g.stats, g.hubs_out, g.hubs_in, enum_limit)
+    fm = friends_measure_counts(pd, g.edges, g.stats, g.hubs_out, g.hubs_in, enum_limit,
+                                g.adjacency, g.max_out2)
     j = (pd.join(co, ["u", "v"], "left").join(ci, ["u", "v"], "left").join(fm, ["u", "v"], "left")
            .fillna(0, ["common_out", "common_in", "friends_measure"]))
     counters = j.select(

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgewise.operators.skew import expand
+from edgewise.operators.skew import expand, spread
 
 DEFAULT_ENUM_LIMIT = 1_000_000   # max two-hop volume enumerated for one vertex
 
@@ -78,21 +78,31 @@ def two_hop_volume(edges: DataFrame, degrees: DataFrame) -> DataFrame:
 
 
 def two_hop_reach(queries: DataFrame, edges: DataFrame, hubs_out: DataFrame | None = None,
-                  hubs_in: DataFrame | None = None,
-                  enum_limit: int = DEFAULT_ENUM_LIMIT) -> DataFrame:
+                  hubs_in: DataFrame | None = None, enum_limit: int = DEFAULT_ENUM_LIMIT,
+                  max_out2: int | None = None, starts: DataFrame | None = None) -> DataFrame:
     """Distinct (s, n) from ``queries`` for which a path s -> x -> n exists.
 
     ``queries`` columns: s, n, s_out (out-degree of s), s_out2 (two-hop
     volume of s), n_in (in-degree of n); rows distinct on (s, n).
+    ``max_out2`` (the graph's largest two-hop volume, if known) lets the
+    probe branch be left out of the plan when no vertex needs it.
+    ``starts`` (optional): a superset of the enumerated ``s`` values with
+    columns s, s_out2, cheaper to derive than from ``queries``.
     """
     q = queries
     # (a) small two-hop neighbourhood: enumerate once per distinct s
     enum_q = q.where(F.col("s_out2") <= enum_limit)
-    starts = enum_q.select("s").distinct()
+    if starts is None:
+        starts = enum_q.select("s")
+    else:
+        starts = starts.where(F.col("s_out2") <= enum_limit).select("s")
+    starts = spread(starts.distinct(), "s")
     first = expand(starts, "s", _out_adj(edges, "s", "x"), "s", hubs_out)
     second = expand(first, "x", _out_adj(edges, "x", "n"), "x", hubs_out)
     reached = second.select("s", "n").distinct()
-    r_enum = enum_q.select("s", "n").join(reached, ["s", "n"], "left_semi")
+    out = enum_q.select("s", "n").join(reached, ["s", "n"], "left_semi")
+    if max_out2 is not None and max_out2 <= enum_limit:
+        return out
     # (b) large two-hop neighbourhood: smaller-side probe per (s, n)
     probe_q = q.where(F.col("s_out2") > enum_limit)
     via_out = (expand(probe_q.where(F.col("s_out") <= F.col("n_in")).select("s", "n"),
@@ -103,33 +113,56 @@ def two_hop_reach(queries: DataFrame, edges: DataFrame, hubs_out: DataFrame | No
                      "n", _in_adj(edges, "n", "x"), "n", hubs_in)
               .join(_out_adj(edges, "s", "x"), ["s", "x"], "left_semi")
               .select("s", "n"))
-    return r_enum.unionByName(via_out).unionByName(via_in).distinct()
+    return out.unionByName(via_out.unionByName(via_in).distinct())
+
+
+def target_adjacency(edges: DataFrame, stats: DataFrame) -> DataFrame:
+    """(src, dst, dst_out, dst_in): out-adjacency carrying the target's degrees."""
+    return edges.join(stats.select(F.col("id").alias("dst"), F.col("out_degree").alias("dst_out"),
+                                   F.col("in_degree").alias("dst_in")), "dst") \
+                .select("src", "dst", "dst_out", "dst_in")
 
 
 def friends_measure_counts(pair_deg: DataFrame, edges: DataFrame, stats: DataFrame,
                            hubs_out: DataFrame | None = None, hubs_in: DataFrame | None = None,
-                           enum_limit: int = DEFAULT_ENUM_LIMIT) -> DataFrame:
+                           enum_limit: int = DEFAULT_ENUM_LIMIT, adjacency: DataFrame | None = None,
+                           max_out2: int | None = None) -> DataFrame:
     """(u, v, friends_measure) for pairs with a non-zero measure.
 
     ``pair_deg``: u, v, u_out, v_out, u_out2, v_out2.
-    ``stats``: id, in_degree, out_degree.
+    ``adjacency``: ``target_adjacency(edges, stats)`` if already built.
+    Vertex statistics travel with the rows only when the probe branch can
+    be needed; otherwise member rows are just (u, v, n).
     """
-    ends = pair_deg.select("u", "v", F.inline(F.array(
-        F.struct(F.col("u").alias("s"), F.col("u_out").alias("s_out"), F.col("u_out2").alias("s_out2")),
-        F.struct(F.col("v").alias("s"), F.col("v_out").alias("s_out"), F.col("v_out2").alias("s_out2")),
-    )))
-    # N = O(u) u O(v), restricted to members that have an out-edge
-    nb = expand(ends.where(F.col("s_out") > 0).select("u", "v", "s"), "s",
-                _out_adj(edges, "s", "n"), "s", hubs_out).select("u", "v", "n").distinct()
-    with_out = stats.where(F.col("out_degree") > 0).select(F.col("id").alias("n"),
-                                                            F.col("in_degree").alias("n_in"))
-    nb = nb.join(with_out, "n")
-    side = ends.select("u", "v", "s", "s_out", "s_out2")
-    tests = (nb.join(side, ["u", "v"])
-               .select("s", "s_out", "s_out2", "n", "n_in").distinct())
-    reach = two_hop_reach(tests, edges, hubs_out, hubs_in, enum_limit)
+    adj = adjacency if adjacency is not None else target_adjacency(edges, stats)
+    adj = adj.where(F.col("dst_out") > 0)
+    enum_only = max_out2 is not None and max_out2 <= enum_limit
+    if enum_only:
+        # every test vertex is enumerated: member rows need no statistics
+        adj = adj.select(F.col("src").alias("s"), F.col("dst").alias("n"))
+        carry, n_cols = ["u", "v"], [F.col("n")]
+        side = {e: [F.lit(0).alias("s_out"), F.lit(0).alias("s_out2")] for e in ("u", "v")}
+        n_in = [F.lit(0).alias("n_in")]
+    else:
+        adj = adj.select(F.col("src").alias("s"), F.col("dst").alias("n"), F.col("dst_in").alias("n_in"))
+        carry = ["u", "v", "u_out", "u_out2", "v_out", "v_out2"]
+        side = {e: [F.col(f"{e}_out").alias("s_out"), F.col(f"{e}_out2").alias("s_out2")] for e in ("u", "v")}
+        n_in = [F.col("n_in")]
+    ends = pair_deg.select(*carry, F.explode(F.array("u", "v")).alias("s"))
+    s_out = F.when(F.col("s") == F.col("u"), F.col("u_out")).otherwise(F.col("v_out"))
+    if not enum_only:
+        ends = ends.where(s_out > 0)
+    # N = O(u) u O(v), members with an out-edge; one row per (u, v, n)
+    nb = expand(ends, "s", adj, "s", hubs_out).drop("s").dropDuplicates(["u", "v", "n"])
+    tests = nb.select(F.inline(F.array(
+        F.struct(F.col("u").alias("s"), *side["u"], F.col("n"), *n_in),
+        F.struct(F.col("v").alias("s"), *side["v"], F.col("n"), *n_in)))).dropDuplicates(["s", "n"])
+    starts = pair_deg.select(F.inline(F.array(
+        F.struct(F.col("u").alias("s"), F.col("u_out2").alias("s_out2")),
+        F.struct(F.col("v").alias("s"), F.col("v_out2").alias("s_out2")))))
+    reach = two_hop_reach(tests, edges, hubs_out, hubs_in, enum_limit, max_out2, starts)
     ru = reach.select(F.col("s").alias("u"), "n", F.lit(True).alias("_ru"))
     rv = reach.select(F.col("s").alias("v"), "n", F.lit(True).alias("_rv"))
-    marked = (nb.join(ru, ["u", "n"], "left").join(rv, ["v", "n"], "left")
+    marked = (nb.select("u", "v", "n").join(ru, ["u", "n"], "left").join(rv, ["v", "n"], "left")
                 .where(F.col("_ru").isNotNull() | F.col("_rv").isNotNull()))
     return marked.groupBy("u", "v").agg(F.count(F.lit(1)).alias("friends_measure"))

@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgewise.operators.graph import vertex_stats
-from edgewise.operators.neighbours import two_hop_volume
-from edgewise.operators.skew import DEFAULT_CHUNK, DEFAULT_MAX_HUBS, hub_table
+from edgewise.operators.neighbours import target_adjacency, two_hop_volume
+from edgewise.operators.skew import DEFAULT_CHUNK, DEFAULT_MAX_HUBS, hub_table, spread
 from edgewise.session import cut_lineage
 from edgewise.sources.graphs import simple_graph
 
@@ -28,10 +28,13 @@ class PreparedGraph:
     stats: DataFrame                  # id, degree, in_degree, out_degree, bi, out2
     hubs_out: DataFrame | None = None
     hubs_in: DataFrame | None = None
+    adjacency: DataFrame | None = None  # src, dst, dst_out, dst_in
+    max_out2: int | None = None         # largest two-hop volume (one scalar)
 
     def unpersist(self) -> None:
-        for df in (self.edges, self.stats):
-            df.unpersist()
+        for df in (self.edges, self.stats, self.adjacency):
+            if df is not None:
+                df.unpersist()
 
 
 def _materialize(df: DataFrame, how: str | None) -> DataFrame:
@@ -61,11 +64,14 @@ def prepare_graph(edges: DataFrame, simple: bool = True, materialize: str | None
                   chunk: int = DEFAULT_CHUNK, max_hubs: int = DEFAULT_MAX_HUBS,
                   salt: bool = True) -> PreparedGraph:
     e = simple_graph(edges) if simple else edges.select("src", "dst")
-    e = _materialize(e, materialize)
-    st = _materialize(graph_stats(e), materialize)
+    # hash-partitioned on the expansion keys; a checkpoint keeps the partitioning
+    e = _materialize(spread(e, "src"), materialize)
+    st = _materialize(spread(graph_stats(e), "id"), materialize)
     hubs_out = _fetch_hubs(st, "out_degree", chunk, max_hubs) if salt else None
     hubs_in = _fetch_hubs(st, "in_degree", chunk, max_hubs) if salt else None
-    return PreparedGraph(e, st, hubs_out, hubs_in)
+    adj = _materialize(spread(target_adjacency(e, st), "src"), materialize)
+    max_out2 = st.agg(F.max("out2")).first()[0] if materialize else None
+    return PreparedGraph(e, st, hubs_out, hubs_in, adj, max_out2)
 
 
 def as_prepared(graph, **kw) -> PreparedGraph:

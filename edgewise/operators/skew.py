@@ -21,6 +21,21 @@ DEFAULT_CHUNK = 200_000     # max adjacency entries per salt bucket
 DEFAULT_MAX_HUBS = 10_000   # bound on the broadcast hub table
 
 
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Hash-partition ``df`` on ``cols`` into ``spark.sql.shuffle.partitions``
+    parts before an expansion that multiplies its rows by a degree.
+
+    A small driving table would otherwise be coalesced by AQE into one or
+    two partitions, and every row the expansion produces would come from
+    those few tasks. The partitioning is on a hash *expression* of the
+    columns: a repartition on the bare columns is dropped by the planner
+    when an upstream exchange already hashes on them, and that upstream
+    exchange is the one AQE coalesces.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, F.xxhash64(*cols))
+
+
 def hub_table(degrees: DataFrame, degree_col: str, chunk: int = DEFAULT_CHUNK,
               max_hubs: int = DEFAULT_MAX_HUBS, id_col: str = "id") -> DataFrame:
     """(id, salts) for vertices whose ``degree_col`` exceeds ``chunk``.

@@ -65,6 +65,16 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint (survives executor loss), never a local one."""
+    """Reliable checkpoint (survives executor loss), never a local one.
+
+    The frame is persisted while the checkpoint is written, so its lineage
+    is computed once (the count and the checkpoint write share it).
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    if not eager:
+        return df.checkpoint(eager=False)
+    df.persist()
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
