@@ -1,0 +1 @@
+from edgewise.streaming.featurise import featurise_stream, pair_stream  # noqa: F401
