@@ -27,6 +27,7 @@ from edgewise.functions.hashing import (
 )
 from edgewise.operators.bounded import bounded_broadcast
 from edgewise.operators.graph import induced_subgraph, vertices_of
+from edgewise.session import cut_lineage
 
 HIST_BUCKETS = 1 << 16
 ENDPOINT_BUCKETS = 1024
@@ -49,19 +50,25 @@ def cap_by_hash(df: DataFrame, hcol: str, tiebreak: list[str], cap: int,
 
     A histogram of ``hcol`` (at most ``buckets`` rows reach the driver)
     gives the bucket that holds the cap-th row; only rows up to that
-    bucket enter the final ordered limit.
+    bucket enter the final ordered limit. The input is persisted across
+    the two passes and the (at most ``cap``-row) result is checkpointed,
+    so the input plan runs once.
     """
     width = MODULUS // buckets + 1
     b = (F.col(hcol) / F.lit(width)).cast("bigint")
-    hist = df.groupBy(b.alias("_b")).count().collect()
-    total, cut = 0, None
-    for row in sorted(hist, key=lambda r: r["_b"]):
-        total += row["count"]
-        if total >= cap:
-            cut = row["_b"]
-            break
-    pruned = df if cut is None else df.where(b <= F.lit(cut))
-    return pruned.orderBy(F.col(hcol), *[F.col(c) for c in tiebreak]).limit(cap)
+    df = df.persist()
+    try:
+        hist = df.groupBy(b.alias("_b")).count().collect()
+        total, cut = 0, None
+        for row in sorted(hist, key=lambda r: r["_b"]):
+            total += row["count"]
+            if total >= cap:
+                cut = row["_b"]
+                break
+        pruned = df if cut is None else df.where(b <= F.lit(cut))
+        return cut_lineage(pruned.orderBy(F.col(hcol), *[F.col(c) for c in tiebreak]).limit(cap))
+    finally:
+        df.unpersist()
 
 
 def vertex_sample(edges: DataFrame, seed: int, fraction: float = VERTEX_FRACTION,
@@ -165,11 +172,14 @@ def easy_negatives_weighted(edges: DataFrame, seed: int, n_draws: int = DRAWS_EA
                             cap: int = CAP_EASY_WEIGHTED) -> DataFrame:
     """Pairs of uniformly drawn endpoint occurrences (degree-weighted vertices)."""
     spark = edges.sparkSession
-    idx = endpoint_index(edges)
-    length = idx.count()            # one scalar
-    if length == 0:
-        return spark.createDataFrame([], "u bigint, v bigint, label string")
-    return _resolve_draws(idx, _draws(spark, n_draws, length, seed, 1, 2), n_draws, cap)
+    idx = endpoint_index(edges).persist()
+    try:
+        length = idx.count()            # one scalar
+        if length == 0:
+            return spark.createDataFrame([], "u bigint, v bigint, label string")
+        return cut_lineage(_resolve_draws(idx, _draws(spark, n_draws, length, seed, 1, 2), n_draws, cap))
+    finally:
+        idx.unpersist()
 
 
 def easy_negatives_uniform(vertices: DataFrame, seed: int, n_draws: int = DRAWS_EASY_UNIFORM,
@@ -183,7 +193,7 @@ def easy_negatives_uniform(vertices: DataFrame, seed: int, n_draws: int = DRAWS_
         return spark.createDataFrame([], "u bigint, v bigint, label string")
     idx = vertices.select((F.row_number().over(Window.orderBy("h", "id")) - 1).alias("idx"),
                           F.col("id").alias("vertex"))
-    return _resolve_draws(idx, _draws(spark, n_draws, length, seed, 3, 4), n_draws, cap)
+    return cut_lineage(_resolve_draws(idx, _draws(spark, n_draws, length, seed, 3, 4), n_draws, cap))
 
 
 def labelled_pairs(edges: DataFrame, seed: int, fraction: float = VERTEX_FRACTION,
