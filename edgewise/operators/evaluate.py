@@ -67,11 +67,16 @@ def auc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFr
 
 def roc_curve(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """(threshold, tp, fp, tpr, fpr): predicting positive when score >= threshold."""
-    g = _with_prefix(score_groups(scored, score, label), ["pos", "neg"])
-    tot = g.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    # totals are one row; attach them through a broadcast join on a constant key
-    tot = tot.withColumn("_k", F.lit(1))
-    g = g.withColumn("_k", F.lit(1)).join(F.broadcast(tot), "_k")
+    groups = score_groups(scored, score, label)
+    # the class totals are two scalars; they enter the plan as literals
+    t = groups.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
+    g = (_with_prefix(groups, ["pos", "neg"])
+         .withColumn("P", F.lit(int(t["P"] or 0)).cast("bigint"))
+         .withColumn("N", F.lit(int(t["N"] or 0)).cast("bigint")))
+    return _roc_points(g)
+
+
+def _roc_points(g: DataFrame) -> DataFrame:
     tp = (F.col("P") - F.col("pos_below")).cast("bigint")
     fp = (F.col("N") - F.col("neg_below")).cast("bigint")
     return g.select(F.col("score").alias("threshold"), tp.alias("tp"), fp.alias("fp"),
