@@ -79,7 +79,8 @@ def two_hop_volume(edges: DataFrame, degrees: DataFrame) -> DataFrame:
 
 def two_hop_reach(queries: DataFrame, edges: DataFrame, hubs_out: DataFrame | None = None,
                   hubs_in: DataFrame | None = None, enum_limit: int = DEFAULT_ENUM_LIMIT,
-                  max_out2: int | None = None, starts: DataFrame | None = None) -> DataFrame:
+                  max_out2: int | None = None, starts: DataFrame | None = None,
+                  second_hop: DataFrame | None = None) -> DataFrame:
     """Distinct (s, n) from ``queries`` for which a path s -> x -> n exists.
 
     ``queries`` columns: s, n, s_out (out-degree of s), s_out2 (two-hop
@@ -88,6 +89,8 @@ def two_hop_reach(queries: DataFrame, edges: DataFrame, hubs_out: DataFrame | No
     probe branch be left out of the plan when no vertex needs it.
     ``starts`` (optional): a superset of the enumerated ``s`` values with
     columns s, s_out2, cheaper to derive than from ``queries``.
+    ``second_hop`` (optional): (src, dst) edges restricted to targets that
+    can occur in ``queries`` (e.g. vertices with an out-edge).
     """
     q = queries
     # (a) small two-hop neighbourhood: enumerate once per distinct s
@@ -98,7 +101,8 @@ def two_hop_reach(queries: DataFrame, edges: DataFrame, hubs_out: DataFrame | No
         starts = starts.where(F.col("s_out2") <= enum_limit).select("s")
     starts = spread(starts.distinct(), "s")
     first = expand(starts, "s", _out_adj(edges, "s", "x"), "s", hubs_out)
-    second = expand(first, "x", _out_adj(edges, "x", "n"), "x", hubs_out)
+    second = expand(first, "x", _out_adj(second_hop if second_hop is not None else edges, "x", "n"),
+                    "x", hubs_out)
     reached = second.select("s", "n").distinct()
     out = enum_q.select("s", "n").join(reached, ["s", "n"], "left_semi")
     if max_out2 is not None and max_out2 <= enum_limit:
@@ -160,7 +164,8 @@ def friends_measure_counts(pair_deg: DataFrame, edges: DataFrame, stats: DataFra
     starts = pair_deg.select(F.inline(F.array(
         F.struct(F.col("u").alias("s"), F.col("u_out2").alias("s_out2")),
         F.struct(F.col("v").alias("s"), F.col("v_out2").alias("s_out2")))))
-    reach = two_hop_reach(tests, edges, hubs_out, hubs_in, enum_limit, max_out2, starts)
+    members = adj.select(F.col("s").alias("src"), F.col("n").alias("dst"))
+    reach = two_hop_reach(tests, edges, hubs_out, hubs_in, enum_limit, max_out2, starts, members)
     ru = reach.select(F.col("s").alias("u"), "n", F.lit(True).alias("_ru"))
     rv = reach.select(F.col("s").alias("v"), "n", F.lit(True).alias("_rv"))
     marked = (nb.select("u", "v", "n").join(ru, ["u", "n"], "left").join(rv, ["v", "n"], "left")

@@ -143,3 +143,25 @@ def test_feature_vectors_and_subset(spark, t1_edges):
     assert {(r.u, r.v): list(r.features) for r in vec}[(1, 2)] == [4.0, 4.0]
     sub = features.feature_subset(f, [12, 11, 4]).columns
     assert sub == ["u", "v", "friends_measure", "total_out", "u_bi", "label_value"]
+
+
+def test_hub_holding_a_third_of_edges(spark):
+    """One vertex owns a third of all edges (in and out); with a small salt
+    chunk its adjacency is split over many buckets and results stay exact."""
+    rnd = random.Random(11)
+    n, hub = 40, 0
+    edges = [(rnd.randrange(1, n), rnd.randrange(1, n)) for _ in range(160)]
+    edges += [(hub, v) for v in range(1, n)] + [(v, hub) for v in range(1, n, 2)]
+    pairs = [(hub, v, "Y") for v in range(1, 12)] + [(v, hub, "N") for v in range(5, 15)] + \
+            [(rnd.randrange(n), rnd.randrange(n), "N") for _ in range(40)]
+    e_df = spark.createDataFrame(edges, "src bigint, dst bigint")
+    g = prepare_graph(e_df, chunk=4, max_hubs=5)
+    hubs = {r.id: r.salts for r in g.hubs_out.collect()}
+    assert hubs[hub] >= 10                       # the hub is split into >= 10 salt buckets
+    expected = brute_features(edges, [(u, v) for u, v, _ in pairs])
+    for enum_limit in (1_000_000, 20):
+        got = _rows(features.pair_features(pairs_df(spark, pairs), g, enum_limit=enum_limit))
+        assert set(got) == set(expected)
+        for k, exp in expected.items():
+            for col, val in exp.items():
+                assert got[k][col] == val, (k, col, enum_limit)
