@@ -19,6 +19,8 @@ MULT_A = 48271
 MULT_B = 16807
 MIX = 69621
 INC = 7
+INC_2 = 11
+INC_3 = 13
 
 # Fixed seeds of the sampling / split jobs.
 SEED_TRAIN = 0x3133F
@@ -35,16 +37,28 @@ def _c(x) -> Column:
 
 
 def pair_hash(a, b, seed) -> Column:
-    """h(a, b, seed) in [0, MODULUS) for non-negative a, b (seed: int or Column)."""
+    """h(a, b, seed) in [0, MODULUS) for non-negative a, b (seed: int or Column).
+
+    An affine map of (a, b, seed) mod M, then square -> affine -> square,
+    each mod M. Every intermediate is < M < 2^31, so squares stay < 2^62
+    (no BIGINT overflow in either engine). The squarings matter: with an
+    affine hash, two seeds differ by a constant shift, so a split hash
+    would be fully correlated with the hash that selected the sample.
+    """
     m = F.lit(MODULUS).cast("bigint")
-    inner = ((_c(a) % m) * MULT_A + (_c(b) % m) * MULT_B + _c(seed)) % m
-    return (inner * MIX + INC) % m
+    x = ((_c(a) % m) * MULT_A + (_c(b) % m) * MULT_B + _c(seed)) % m
+    x = (x * x + INC) % m
+    x = (x * MIX + INC_2) % m
+    return (x * x + INC_3) % m
 
 
 def pair_hash_sql(a, b, seed) -> str:
     m = MODULUS
-    return (f"((((CAST({a} AS BIGINT) % {m}) * {MULT_A} + (CAST({b} AS BIGINT) % {m}) * {MULT_B}"
-            f" + CAST({seed} AS BIGINT)) % {m}) * {MIX} + {INC}) % {m}")
+    x = (f"(((CAST({a} AS BIGINT) % {m}) * {MULT_A} + (CAST({b} AS BIGINT) % {m}) * {MULT_B}"
+         f" + CAST({seed} AS BIGINT)) % {m})")
+    x = f"(({x} * {x} + {INC}) % {m})"
+    x = f"(({x} * {MIX} + {INC_2}) % {m})"
+    return f"(({x} * {x} + {INC_3}) % {m})"
 
 
 def threshold(fraction: float) -> int:

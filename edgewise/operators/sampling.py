@@ -98,12 +98,16 @@ def positive_pairs(edges: DataFrame, seed: int, rate: float = POSITIVE_RATE,
 
 
 def continuations(edges: DataFrame, seed: int) -> DataFrame:
-    """(b, c1, c2): b's two out-neighbours with the smallest hash h(b, c)."""
+    """(b, c1, c2): b's two out-neighbours smallest by (h(b, c), c).
+
+    ``min`` over a (h, c) struct is deterministic under hash ties and is
+    combined map-side like any other aggregate.
+    """
     h = pair_hash("src", "dst", seed)
     e = edges.select(F.col("src").alias("b"), F.col("dst").alias("c"), h.alias("h"))
-    first = e.groupBy("b").agg(F.min_by("c", "h").alias("c1"))
+    first = e.groupBy("b").agg(F.min(F.struct("h", "c"))["c"].alias("c1"))
     second = (e.join(first, "b").where(F.col("c") != F.col("c1"))
-               .groupBy("b").agg(F.min_by("c", "h").alias("c2")))
+               .groupBy("b").agg(F.min(F.struct("h", "c"))["c"].alias("c2")))
     return first.join(second, "b", "left")
 
 

@@ -56,9 +56,11 @@ def sample_ctes(seed: int, p: str):
                     f"ORDER BY h, u, v, copy LIMIT {S.CAP_POSITIVE}"),
         # hard negatives: one hash-chosen continuation per edge
         (f"{p}c0", f"SELECT src AS b, dst AS c, {H('src', 'dst', seed)} AS h FROM {p}sub"),
-        (f"{p}c1", f"SELECT b, arg_min(c, h) AS c1 FROM {p}c0 GROUP BY b"),
-        (f"{p}c2", f"SELECT x.b, arg_min(x.c, x.h) AS c2 FROM {p}c0 x JOIN {p}c1 y ON x.b = y.b "
-                   f"WHERE x.c <> y.c1 GROUP BY x.b"),
+        (f"{p}c1", f"SELECT x.b, min(x.c) AS c1 FROM {p}c0 x JOIN (SELECT b, min(h) AS mh FROM {p}c0 "
+                   f"GROUP BY b) m ON x.b = m.b AND x.h = m.mh GROUP BY x.b"),
+        (f"{p}c0b", f"SELECT x.b, x.c, x.h FROM {p}c0 x JOIN {p}c1 y ON x.b = y.b WHERE x.c <> y.c1"),
+        (f"{p}c2", f"SELECT x.b, min(x.c) AS c2 FROM {p}c0b x JOIN (SELECT b, min(h) AS mh FROM {p}c0b "
+                   f"GROUP BY b) m ON x.b = m.b AND x.h = m.mh GROUP BY x.b"),
         (f"{p}two", f"SELECT DISTINCT u, v FROM (SELECT s.src AS u, CASE WHEN y.c1 <> s.src THEN y.c1 "
                     f"ELSE z.c2 END AS v FROM {p}sub s JOIN {p}c1 y ON s.dst = y.b "
                     f"LEFT JOIN {p}c2 z ON s.dst = z.b) t WHERE v IS NOT NULL"),
@@ -348,9 +350,11 @@ def _two_hop_full():
     s = SEED_TRAIN
     return [
         ("f_c0", f"SELECT src AS b, dst AS c, {H('src', 'dst', s)} AS h FROM cp"),
-        ("f_c1", "SELECT b, arg_min(c, h) AS c1 FROM f_c0 GROUP BY b"),
-        ("f_c2", "SELECT x.b, arg_min(x.c, x.h) AS c2 FROM f_c0 x JOIN f_c1 y ON x.b = y.b "
-                 "WHERE x.c <> y.c1 GROUP BY x.b"),
+        ("f_c1", "SELECT x.b, min(x.c) AS c1 FROM f_c0 x JOIN (SELECT b, min(h) AS mh FROM f_c0 "
+                 "GROUP BY b) m ON x.b = m.b AND x.h = m.mh GROUP BY x.b"),
+        ("f_c0b", "SELECT x.b, x.c, x.h FROM f_c0 x JOIN f_c1 y ON x.b = y.b WHERE x.c <> y.c1"),
+        ("f_c2", "SELECT x.b, min(x.c) AS c2 FROM f_c0b x JOIN (SELECT b, min(h) AS mh FROM f_c0b "
+                 "GROUP BY b) m ON x.b = m.b AND x.h = m.mh GROUP BY x.b"),
         ("full_two", "SELECT DISTINCT u, v FROM (SELECT s.src AS u, CASE WHEN y.c1 <> s.src THEN y.c1 "
                      "ELSE z.c2 END AS v FROM cp s JOIN f_c1 y ON s.dst = y.b "
                      "LEFT JOIN f_c2 z ON s.dst = z.b) t WHERE v IS NOT NULL"),

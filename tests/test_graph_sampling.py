@@ -106,3 +106,18 @@ def test_edge_list_and_pairs_roundtrip(spark):
     files.write_pairs(pairs_df(spark, [(1, 2, "Y"), (3, 4, "N")]), p)
     back = sorted(tuple(r) for r in files.read_pairs(spark, p).collect())
     assert back == [(1, 2, "Y"), (3, 4, "N")]
+
+
+def test_split_independent_of_sampling_hash(spark):
+    """Pairs chosen by the train-seed hash (positives, smallest-hash caps) must
+    still spread 60/20/20 over the split hash (an affine hash would put them
+    all in one split)."""
+    from edgewise.functions.hashing import SEED_TRAIN
+    edges = spark.range(0, 40000).select((F.col("id") % 2000).alias("src"),
+                                          ((F.col("id") * 7919 + 17) % 5000).alias("dst"))
+    edges = graphs.simple_graph(edges)
+    for chosen in (S.positive_pairs(edges, SEED_TRAIN, cap=None),
+                   S.hard_negatives(edges, SEED_TRAIN, cap=3000)):
+        n = chosen.count()
+        c = {r.split: r["count"] / n for r in S.train_val_test_split(chosen).groupBy("split").count().collect()}
+        assert abs(c.get(0, 0) - 0.6) < 0.05 and abs(c.get(2, 0) - 0.2) < 0.05, c
