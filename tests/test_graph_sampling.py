@@ -121,3 +121,13 @@ def test_split_independent_of_sampling_hash(spark):
         n = chosen.count()
         c = {r.split: r["count"] / n for r in S.train_val_test_split(chosen).groupBy("split").count().collect()}
         assert abs(c.get(0, 0) - 0.6) < 0.05 and abs(c.get(2, 0) - 0.2) < 0.05, c
+
+
+def test_baseline_sink_and_feature_names(spark):
+    from edgewise.functions.features import names
+    assert names([12, 11, 4]) == ["friends_measure", "total_out", "u_bi"]
+    df = spark.createDataFrame([(1, 2, 3, 4, "Y")], "u bigint, v bigint, co_out bigint, co_in bigint, label string")
+    p = scratch_dir(spark, "baseline-test")
+    files.write_baseline(df, p)
+    back = spark.read.csv(p, schema="u bigint, v bigint, co_out bigint, co_in bigint, label string").collect()
+    assert [tuple(r) for r in back] == [(1, 2, 3, 4, "Y")]
