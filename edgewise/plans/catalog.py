@@ -16,10 +16,10 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from edgewise.functions.features import FEATURE_COLUMNS, SVM_LR_FEATURES, label_value
+from edgewise.functions.features import SVM_LR_FEATURES, label_value
 from edgewise.functions.hashing import SEED_SPLIT, SEED_TEST, SEED_TRAIN, pair_hash
 from edgewise.operators import evaluate, features, graph as G, models, sampling, selection
 from edgewise.operators.prepared import prepare_graph
