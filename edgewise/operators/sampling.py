@@ -30,7 +30,8 @@ from edgewise.operators.graph import induced_subgraph, vertices_of
 from edgewise.session import cut_lineage
 
 HIST_BUCKETS = 1 << 16
-ENDPOINT_BUCKETS = 1024
+ENDPOINT_BUCKETS = 1024          # minimum number of endpoint buckets
+ENDPOINT_BUCKET_ROWS = 1 << 20   # target endpoint rows per bucket (one window task)
 
 # Fixed sampler parameters of the original jobs.
 VERTEX_FRACTION = 0.25
@@ -155,10 +156,27 @@ def _resolve_draws(indexed: DataFrame, draws: DataFrame, n_draws: int, cap: int)
     return pairs.orderBy("i").limit(cap).select("u", "v", F.lit("N").alias("label"))
 
 
-def endpoint_index(edges: DataFrame, buckets: int = ENDPOINT_BUCKETS) -> DataFrame:
+def endpoint_buckets(n_edges: int) -> int:
+    """Bucket count for ``endpoint_index``: a power of two, at least
+    ENDPOINT_BUCKETS, with about ENDPOINT_BUCKET_ROWS endpoint rows per bucket."""
+    need = (2 * n_edges + ENDPOINT_BUCKET_ROWS - 1) // ENDPOINT_BUCKET_ROWS
+    b = ENDPOINT_BUCKETS
+    while b < need:
+        b *= 2
+    return b
+
+
+def endpoint_index(edges: DataFrame, buckets: int | None = None) -> DataFrame:
     """(idx, vertex): every edge endpoint occurrence with a dense 0-based index,
     ordered by (bucket, src, dst, tag). Row numbers are taken inside hash
-    buckets; the bucket offsets (at most ``buckets`` rows) are broadcast."""
+    buckets, so one window task holds about ENDPOINT_BUCKET_ROWS rows; the
+    bucket offsets (one row per bucket) are broadcast.
+
+    With ``buckets=None`` the count grows with the input (one scalar count);
+    up to 2^30 endpoint rows (2^29 edges) it is ENDPOINT_BUCKETS.
+    """
+    if buckets is None:
+        buckets = endpoint_buckets(edges.count())
     ep = edges.select("src", "dst", F.inline(F.array(
         F.struct(F.lit(0).alias("tag"), F.col("src").alias("vertex")),
         F.struct(F.lit(1).alias("tag"), F.col("dst").alias("vertex")))))

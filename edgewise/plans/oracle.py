@@ -67,6 +67,7 @@ def sample_ctes(seed: int, p: str):
         (f"{p}hard", f"SELECT u, v, 'N' AS label FROM {p}two ORDER BY {H('u', 'v', seed)}, u, v "
                      f"LIMIT {S.CAP_HARD}"),
         # weighted easy negatives: global index over endpoint occurrences
+        # (ENDPOINT_BUCKETS is the bucket count up to 2^29 edges)
         (f"{p}ep", f"SELECT src, dst, 0 AS tag, src AS vertex FROM {p}sub UNION ALL "
                    f"SELECT src, dst, 1 AS tag, dst AS vertex FROM {p}sub"),
         (f"{p}epi", f"SELECT row_number() OVER (ORDER BY {H('src', 'dst', 'tag')} % {S.ENDPOINT_BUCKETS}, "
