@@ -138,10 +138,9 @@ def without_hit_words(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) ->
     word = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
     base = docs.select("doc_id", "text", row_key(F.col("doc_id"), F.col("text")).alias("key"))
     base = base.join(cut, base["doc_id"].eqNullSafe(cut["d"]) & (base["key"] == cut["k"]), "left")
-    gaps, found = F.split("text", word, -1), F.regexp_extract_all("text", F.lit(word), 0)
-    kept = F.concat(F.element_at(gaps, 1), F.array_join(F.transform(
-        found, lambda x, i: F.concat(F.when(F.array_contains("cut", i), "").otherwise(x),
-                                     F.element_at(gaps, (i + 2).cast("int")))), ""))
+    zipped = F.arrays_zip(F.split("text", word, -1).alias("gap"), F.regexp_extract_all("text", F.lit(word), 0).alias("w"))
+    kept = F.array_join(F.transform(zipped, lambda x, i: F.concat(
+        x["gap"], F.when(F.array_contains("cut", i), "").otherwise(F.coalesce(x["w"], F.lit(""))))), "")
     return base.select("doc_id", F.when(F.col("cut").isNull(), F.col("text")).otherwise(kept).alias("text"))
 
 

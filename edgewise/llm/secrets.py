@@ -48,12 +48,19 @@ ENDPOINT = r"""https?://[^\x00-\x20"'<>|]+"""
 _SPAN = "array<struct<kind:int,family:int,i:int,gap:int,n:int>>"
 
 
-def _matches(text: Column, family: int, pattern: str, kind) -> Column:
-    """Array of (kind, family, i, gap, n) of the pattern's matches; kind None: counted for position, not kept."""
-    gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0)
-    return F.transform(found, lambda x, i: F.struct(
-        kind(x, i).cast("int").alias("kind"), F.lit(family).alias("family"), i.cast("int").alias("i"),
-        F.char_length(F.element_at(gaps, (i + 1).cast("int"))).alias("gap"), F.char_length(x).alias("n")))
+def _matches(text: Column, family: int, pattern: str, kind, group: int = 0) -> Column:
+    """Array of (kind, family, i, gap, n) of the pattern's matches; kind null: counted for position, not kept.
+
+    Gaps, matches and the group are zipped first: an expression named inside
+    the lambda would be worked out again for every match.
+    """
+    found = F.regexp_extract_all(text, F.lit(pattern), 0)
+    zipped = F.arrays_zip(found.alias("m"), F.split(text, pattern, -1).alias("gap"),
+                          F.regexp_extract_all(text, F.lit(pattern), group).alias("g"))
+    spans = F.transform(zipped, lambda x, i: F.struct(
+        kind(x["m"], x["g"]).cast("int").alias("kind"), F.lit(family).alias("family"), i.cast("int").alias("i"),
+        F.char_length(x["gap"]).alias("gap"), F.char_length(x["m"]).alias("n")))
+    return F.filter(spans, lambda x: x["n"].isNotNull())  # the gap after the last match has none
 
 
 def _marked(docs: DataFrame) -> DataFrame:
@@ -61,17 +68,15 @@ def _marked(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     base = docs.select("doc_id", row_key(F.col("doc_id"), text).alias("key"), text.alias("t"))
     t = F.col("t")
-    secret = F.regexp_extract_all(t, F.lit(ASSIGN), 2)
     none = F.array().cast(_SPAN)
-    run_kind = lambda x, i: F.when((F.char_length(x).between(16, 40)) & x.rlike("^[A-Z0-9]+$") & x.rlike("[A-Z]"), 3) \
+    run_kind = lambda x, g: F.when((F.char_length(x).between(16, 40)) & x.rlike("^[A-Z0-9]+$") & x.rlike("[A-Z]"), 3) \
         .when((F.char_length(x) >= 20) & x.rlike("[a-z]") & x.rlike("[A-Z]"), 4)
     families = [
-        (t.rlike(ASSIGN), _matches(t, 0, ASSIGN, lambda x, i: F.when(
-            F.char_length(F.element_at(secret, (i + 1).cast("int"))) >= 6, 0))),
-        (t.contains("AKIA"), _matches(t, 1, ACCESS, lambda x, i: F.when(F.char_length(x) >= 20, 1))),
-        (t.rlike(HEX), _matches(t, 2, HEX, lambda x, i: F.lit(2))),
+        (t.rlike(ASSIGN), _matches(t, 0, ASSIGN, lambda x, g: F.when(F.char_length(g) >= 6, 0), group=2)),
+        (t.contains("AKIA"), _matches(t, 1, ACCESS, lambda x, g: F.when(F.char_length(x) >= 20, 1))),
+        (t.rlike(HEX), _matches(t, 2, HEX, lambda x, g: F.lit(2))),
         (t.rlike("[0-9]"), _matches(t, 3, RUN, run_kind)),
-        (t.contains("://"), _matches(t, 4, ENDPOINT, lambda x, i: F.lit(5))),
+        (t.contains("://"), _matches(t, 4, ENDPOINT, lambda x, g: F.lit(5))),
     ]
     marker = F.array(F.struct(F.lit(None).cast("int").alias("kind"), F.lit(-1).alias("family"), F.lit(0).alias("i"),
                               F.lit(0).alias("gap"), F.lit(0).alias("n")))
@@ -161,11 +166,11 @@ def _oracle_family(i: int, pattern: str, kind: str) -> str:
     return f"""SELECT doc_id, {kind} AS kind, s AS start, s + n AS "end" FROM (
   SELECT doc_id, m, g2, length(m) AS n,
          sum(length(gap) + length(m)) OVER (PARTITION BY doc_id ORDER BY i) - length(m) AS s
-  FROM (SELECT doc_id, i, list_extract(gaps, i) AS gap, list_extract(ms, i) AS m, list_extract(g2s, i) AS g2
-        FROM (SELECT doc_id, string_split_regex(t, '{p}') AS gaps, regexp_extract_all(t, '{p}') AS ms,
-                     regexp_extract_all(t, '{p}', {2 if i == 0 else 0}) AS g2s,
-                     unnest(range(1, len(regexp_extract_all(t, '{p}')) + 1)) AS i
-              FROM docs)))"""
+  FROM (SELECT doc_id, z.i AS i, z.gap AS gap, z.m AS m, z.g2 AS g2
+        FROM (SELECT doc_id, unnest(list_transform(list_zip(ms, gaps, g2s), lambda x, i: {{'i': i, 'm': x[1], 'gap': x[2], 'g2': x[3]}})) AS z
+              FROM (SELECT doc_id, regexp_extract_all(t, '{p}') AS ms, string_split_regex(t, '{p}') AS gaps,
+                           regexp_extract_all(t, '{p}', {2 if i == 0 else 0}) AS g2s FROM docs))
+        WHERE z.m IS NOT NULL))"""
 
 
 _ORACLE_KINDS = [
