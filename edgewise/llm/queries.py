@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from edgewise.llm import decontaminate, secrets
+from edgewise.llm import bpe, decontaminate, secrets, token_counts
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -15,13 +16,24 @@ def op1_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contamination_report(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
 
+def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.secret_report(_table(spark, sf, "documents"))
 
 
+def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    return bpe.round_trip_report(_table(spark, sf, "documents"),
+                                 public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op6_token_counts": op6_token_counts,
     "op9_secrets": op9_secrets,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLE_SQL = {
