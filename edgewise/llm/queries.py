@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from edgewise.llm import bpe, decontaminate, secrets, token_counts
+from edgewise.llm import bpe, decontaminate, secrets, simhash, token_counts
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op1_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contamination_report(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
 
+def op3_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -31,6 +35,7 @@ def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op3_simhash": op3_simhash,
     "op6_token_counts": op6_token_counts,
     "op9_secrets": op9_secrets,
     "op10_byte_bpe": op10_byte_bpe,
