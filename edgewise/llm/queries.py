@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from edgewise.llm import bpe, decontaminate, secrets, simhash, token_counts
+from edgewise.llm import bpe, decontaminate, quality, secrets, simhash, token_counts
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.quality_report(_table(spark, sf, "documents"), _table(spark, sf, "labels")).drop("key")
+
+
 def op9_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.secret_report(_table(spark, sf, "documents"))
 
@@ -37,6 +41,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op3_simhash": op3_simhash,
     "op6_token_counts": op6_token_counts,
+    "op7_quality": op7_quality,
     "op9_secrets": op9_secrets,
     "op10_byte_bpe": op10_byte_bpe,
 }
