@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from edgewise.llm import bpe, decontaminate, quality, secrets, simhash, token_counts
+from edgewise.llm import bpe, decontaminate, fingerprints, quality, secrets, simhash, token_counts
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op3_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf, "documents"))
 
 
+def op5_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.fingerprint_report(_table(spark, sf, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -40,6 +44,7 @@ def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op3_simhash": op3_simhash,
+    "op5_fingerprints": op5_fingerprints,
     "op6_token_counts": op6_token_counts,
     "op7_quality": op7_quality,
     "op9_secrets": op9_secrets,
