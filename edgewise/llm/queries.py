@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from edgewise.llm import bpe, decontaminate, fingerprints, quality, secrets, simhash, token_counts
+from edgewise.llm import bpe, decontaminate, fingerprints, language, quality, secrets, simhash, token_counts
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op1_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contamination_report(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
 
+def op2_language(spark: SparkSession, sf: str) -> DataFrame:
+    return language.identify(_table(spark, sf, "pages"), _table(spark, sf, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf, "documents"))
 
@@ -43,6 +47,7 @@ def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_language": op2_language,
     "op3_simhash": op3_simhash,
     "op5_fingerprints": op5_fingerprints,
     "op6_token_counts": op6_token_counts,
