@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from edgewise.llm import bpe, decontaminate, fingerprints, language, quality, secrets, simhash, token_counts
+from edgewise.llm import bpe, decontaminate, fingerprints, language, quality, secrets, simhash, suffix_dedup, token_counts
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op3_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.removal_report(_table(spark, sf, "documents")).drop("spans")
+
+
 def op5_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.fingerprint_report(_table(spark, sf, "documents"))
 
@@ -49,6 +53,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_language": op2_language,
     "op3_simhash": op3_simhash,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_fingerprints": op5_fingerprints,
     "op6_token_counts": op6_token_counts,
     "op7_quality": op7_quality,
