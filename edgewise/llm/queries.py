@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from edgewise.llm import bpe, decontaminate, fingerprints, language, quality, secrets, simhash, suffix_dedup, token_counts
+from edgewise.llm import bpe, decontaminate, fingerprints, language, paragraphs, quality, secrets, simhash, suffix_dedup, token_counts
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_report(_table(spark, sf, "documents"), _table(spark, sf, "labels")).drop("key")
 
 
+def op8_paragraphs(spark: SparkSession, sf: str) -> DataFrame:
+    return paragraphs.repeat_report(_table(spark, sf, "documents"))
+
+
 def op9_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.secret_report(_table(spark, sf, "documents"))
 
@@ -57,6 +61,7 @@ QUERIES = {
     "op5_fingerprints": op5_fingerprints,
     "op6_token_counts": op6_token_counts,
     "op7_quality": op7_quality,
+    "op8_paragraphs": op8_paragraphs,
     "op9_secrets": op9_secrets,
     "op10_byte_bpe": op10_byte_bpe,
 }
