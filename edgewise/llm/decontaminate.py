@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from edgewise.llm.common import ascii_lower, fresh, row_key, sha256_hex
+from edgewise.llm.common import ascii_lower, fresh, row_key, sha256_hex, stored
 
 WINDOW = 13
 #: A document is contaminated when hit words are at least 1 in so many of its words.
@@ -45,10 +45,9 @@ def benchmark_windows(benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
     return items.select("item_id", size.alias("len"), F.explode(grams).alias("gram"))
 
 
-def _window_hashes(k: int) -> Column:
-    """Hash of every window of ``k`` words of ``w``; null where there are fewer words."""
-    return F.when(F.size("w") >= k, F.transform(
-        F.sequence(F.lit(1), F.size("w") - k + 1), lambda i: F.xxhash64(F.slice("w", i, k))))
+def _hash_of(words: Column, start: Column, k: int) -> Column:
+    """Hash of ``k`` words from ``start`` (0-based); plain column code, so it is compiled into the scan."""
+    return F.xxhash64(*[F.get(words, start + i) for i in range(k)])
 
 
 def contaminated_windows(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW,
@@ -62,8 +61,10 @@ def contaminated_windows(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW,
                         words_of(F.col("text")).alias("w"))
     found = []
     for k in sorted(lengths):
-        probes = words.select("doc_id", "key", "w", F.posexplode(_window_hashes(k)).alias("start", "h"))
-        side = grams.where(F.col("len") == k).select("gram", F.xxhash64(F.split("gram", " ")).alias("h"))
+        starts = F.when(F.size("w") >= k, F.sequence(F.lit(0), F.size("w") - k))
+        probes = words.select("doc_id", "key", "w", F.explode(starts).alias("start")) \
+            .withColumn("h", _hash_of(F.col("w"), F.col("start"), k))
+        side = grams.where(F.col("len") == k).select("gram", _hash_of(F.split("gram", " "), F.lit(0), k).alias("h"))
         if small:
             side = F.broadcast(side)
         here = F.concat_ws(" ", F.slice("w", F.col("start") + 1, k))
@@ -83,6 +84,7 @@ def hit_summary(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW,
                 broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """(doc_id, key, n_hit, items) of the documents that have a hit."""
     hits, windows = contaminated_windows(docs, benchmark, n, broadcast_windows)
+    hits = stored(hits, "hits")  # two aggregates read them; the texts are scanned once
     order = Window.partitionBy("doc_id", "key").orderBy("start", "len")
     before = F.max(F.col("start") + F.col("len")).over(order.rowsBetween(Window.unboundedPreceding, -1))
     new = F.greatest(F.lit(0), F.col("start") + F.col("len") - F.greatest(F.col("start"), F.coalesce(before, F.lit(0))))
