@@ -67,7 +67,7 @@ def paragraphs(text: str) -> list[tuple[int, int]]:
                 begin = m.end()
         cuts.append(len(line))
         if len(cuts) > 3:
-            h = [xxh64_intdigest(line[a:b].strip()) for a, b in zip(cuts, cuts[1:])]
+            h = [xxh64_intdigest(_normal(line[a:b])) for a, b in zip(cuts, cuts[1:])]
             cuts = [0, *[cuts[i] for i in range(1, len(h) - 1) if h[i - 1] > h[i] < h[i + 1]], len(line)]
         for a, b in zip(cuts, cuts[1:]):
             if line.count(" ", a, b) + 1 >= MIN_WORDS:

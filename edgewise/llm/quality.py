@@ -143,8 +143,10 @@ def train(trusted: DataFrame) -> DataFrame:
             low = lower.select("lang", F.col("gram").alias("low"), F.col("p").alias("p_low"))
             below = p.withColumn("low", F.col("gram").bitwiseAND(F.lit(_MASK[k - 1]))).join(low, ["lang", "low"])
             weights = contexts.select(F.col("lang").alias("wl"), F.col("context").alias("wg"), F.log("weight").alias("backoff"))
-            shorter = lower.join(weights, (F.col("lang") == F.col("wl")) & (F.col("gram") == F.col("wg")), "left")
-            tables.append(shorter.select("lang", F.lit(k - 1).alias("len"), "gram", F.log("p").alias("logp"), "backoff"))
+            # contexts that end before a text's first character are no grams themselves: they have no logp
+            shorter = lower.join(weights, (F.col("lang") == F.col("wl")) & (F.col("gram") == F.col("wg")), "full")
+            tables.append(shorter.select(F.coalesce("lang", "wl").alias("lang"), F.lit(k - 1).alias("len"),
+                                         F.coalesce("gram", "wg").alias("gram"), F.log("p").alias("logp"), "backoff"))
         lower = stored(below.select("lang", "gram", (own + F.col("weight") * F.col("p_low")).alias("p")), "order")
     tables.append(lower.select("lang", F.lit(ORDER).alias("len"), "gram", F.log("p").alias("logp"),
                                F.lit(None).cast("double").alias("backoff")))
