@@ -21,6 +21,7 @@ MIX = 69621
 INC = 7
 INC_2 = 11
 INC_3 = 13
+WIDE = 1009
 
 # Fixed seeds of the sampling / split jobs.
 SEED_TRAIN = 0x3133F
@@ -61,6 +62,15 @@ def pair_hash_sql(a, b, seed) -> str:
     return f"(({x} * {x} + {INC_3}) % {m})"
 
 
+def wide_hash(a, b, seed) -> Column:
+    """62-bit hash from two independent combinations of (a, b): for positions beyond 2^31."""
+    return pair_hash(a, b, seed) * F.lit(1 << 31) + pair_hash(b, a, _c(seed) + F.lit(WIDE))
+
+
+def wide_hash_sql(a, b, seed) -> str:
+    return f"({pair_hash_sql(a, b, seed)} * {1 << 31} + {pair_hash_sql(b, a, f'({seed} + {WIDE})')})"
+
+
 def threshold(fraction: float) -> int:
     """Integer cut-off: keep a row when its hash is below this value."""
     return int(fraction * MODULUS)

@@ -3,12 +3,14 @@
 ``scored`` frames have a numeric ``score`` and a ``label`` (1.0 / 0.0).
 
 Running sums over the score order are computed without a single-partition
-window: scores are first aggregated per distinct value, then cut into
-range buckets (boundaries from approximate quantiles, a bounded list);
-per-bucket totals give bucket offsets (bounded, broadcast) and the
-running sum inside a bucket is a window partitioned by bucket.
-The AUC is an integer numerator over one final division, so it is the
-same double in any engine.
+window: scores are first aggregated per distinct value, then written once,
+range-partitioned by score (as many parts as the session shuffles into);
+the parts' totals give their offsets and the running sum inside a part is a
+window partitioned by part. The AUC is an exact integer numerator
+(DECIMAL, so products of billions fit) over one final division: the same
+double in any engine.
+
+A null score ranks below every number, NaN above.
 """
 
 from __future__ import annotations
@@ -16,9 +18,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from edgewise.operators.bounded import bounded_broadcast
+from edgewise.session import cut_lineage
 
-RANGE_BUCKETS = 256
+BIG, _LONG = "decimal(38,0)", "decimal(19,0)"
 
 
 def score_groups(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
@@ -28,22 +30,15 @@ def score_groups(scored: DataFrame, score: str = "score", label: str = "label")
         F.count_if(F.col(label) != 1.0).cast("bigint").alias("neg"))
 
 
-def _with_prefix(groups: DataFrame, cols: list[str], buckets: int = RANGE_BUCKETS) -> DataFrame:
+def _with_prefix(groups: DataFrame, cols: list[str]) -> DataFrame:
     """Adds ``<c>_below`` = sum of c over all strictly smaller scores."""
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(groups.approxQuantile("score", probs, 0.001))) if buckets > 1 else []
-    if bounds:
-        from pyspark.ml.feature import Bucketizer
-        splits = [-float("inf")] + bounds + [float("inf")]
-        g = Bucketizer(splits=splits, inputCol="score", outputCol="_bk").transform(groups)
-        g = g.withColumn("_bk", F.col("_bk").cast("int"))
-    else:
-        g = groups.withColumn("_bk", F.lit(0))
-    tot = g.groupBy("_bk").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
-    offs = tot.select("_bk", *[(F.sum(f"_t_{c}").over(Window.orderBy("_bk")) - F.col(f"_t_{c}"))
-                               .alias(f"_o_{c}") for c in cols])
-    w = Window.partitionBy("_bk").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    g = g.join(bounded_broadcast(offs, len(bounds) + 1), "_bk")
+    g = cut_lineage(groups.repartitionByRange(F.col("score").asc_nulls_first())
+                    .withColumn("_part", F.spark_partition_id()))
+    tot = g.groupBy("_part").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    offs = tot.select("_part", *[(F.sum(f"_t_{c}").over(Window.orderBy("_part")) - F.col(f"_t_{c}"))
+                                 .alias(f"_o_{c}") for c in cols])
+    w = Window.partitionBy("_part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    g = g.join(offs, "_part")
     return g.select("score", "pos", "neg", *[
         (F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(w), F.lit(0))).cast("bigint").alias(f"{c}_below")
         for c in cols])
@@ -52,9 +47,14 @@ def _with_prefix(groups: DataFrame, cols: list[str], buckets: int = RANGE_BUCKET
 def auc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """One row (auc, positives, negatives): area under the ROC curve,
     ties counted half."""
-    g = _with_prefix(score_groups(scored, score, label), ["neg"])
+    return auc_of_groups(score_groups(scored, score, label))
+
+
+def auc_of_groups(groups: DataFrame) -> DataFrame:
+    """The same from counts per distinct score (score, pos, neg)."""
+    g = _with_prefix(groups, ["neg"])
     return g.agg(
-        F.sum(F.col("pos") * (2 * F.col("neg_below") + F.col("neg"))).cast("bigint").alias("_num"),
+        F.sum((F.col("pos").cast(_LONG) * (2 * F.col("neg_below") + F.col("neg")).cast(_LONG)).cast(BIG)).alias("_num"),
         F.sum("pos").cast("bigint").alias("positives"),
         F.sum("neg").cast("bigint").alias("negatives"),
     ).select(
@@ -68,10 +68,10 @@ def auc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFr
 def roc_curve(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """(threshold, tp, fp, tpr, fpr): predicting positive when score >= threshold."""
     groups = score_groups(scored, score, label)
+    g = _with_prefix(groups, ["pos", "neg"])
     # the class totals are two scalars; they enter the plan as literals
-    t = groups.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
-    g = (_with_prefix(groups, ["pos", "neg"])
-         .withColumn("P", F.lit(int(t["P"] or 0)).cast("bigint"))
+    t = g.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
+    g = (g.withColumn("P", F.lit(int(t["P"] or 0)).cast("bigint"))
          .withColumn("N", F.lit(int(t["N"] or 0)).cast("bigint")))
     return _roc_points(g)
 
@@ -88,14 +88,15 @@ def confusion_counts(scored: DataFrame, score: str = "score", label: str = "labe
                      threshold: float = 0.5) -> DataFrame:
     """One row (tp, fp, fn, tn, hard_auc) for ``prediction = score >= threshold``.
     ``hard_auc`` = (TPR + TNR) / 2, the AUC of 0/1 predictions."""
-    pred = F.col(score) >= F.lit(threshold)
+    pred = F.coalesce(F.col(score) >= F.lit(threshold), F.lit(False))
     pos = F.col(label) == 1.0
     c = scored.agg(F.count_if(pred & pos).cast("bigint").alias("tp"),
                    F.count_if(pred & ~pos).cast("bigint").alias("fp"),
                    F.count_if(~pred & pos).cast("bigint").alias("fn"),
                    F.count_if(~pred & ~pos).cast("bigint").alias("tn"))
-    num = 2 * F.col("tp") * F.col("tn") + F.col("tp") * F.col("fp") + F.col("fn") * F.col("tn")
-    den = 2 * (F.col("tp") + F.col("fn")) * (F.col("fp") + F.col("tn"))
+    tp, fp, fn, tn = (F.col(x).cast("decimal(18,0)") for x in ("tp", "fp", "fn", "tn"))
+    num = 2 * tp * tn + tp * fp + fn * tn
+    den = 2 * (tp + fn) * (fp + tn)
     return c.select("tp", "fp", "fn", "tn",
                     F.when(den > 0, num.cast("double") / den.cast("double")).alias("hard_auc"))
 

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgewise.operators.bounded import bounded_broadcast
-
 
 def reverse_edges(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
@@ -16,16 +14,13 @@ def drop_self_loops(edges: DataFrame) -> DataFrame:
     return edges.where(F.col("src") != F.col("dst"))
 
 
-def induced_subgraph(edges: DataFrame, vertices: DataFrame, id_col: str = "id",
-                     vertex_bound: int | None = None) -> DataFrame:
+def induced_subgraph(edges: DataFrame, vertices: DataFrame, id_col: str = "id") -> DataFrame:
     """Edges whose both ends are in ``vertices``; self-loops dropped.
 
-    ``vertex_bound`` is a proven upper bound on the vertex set size (e.g. the
-    sampler's cap); the set is broadcast only below the broadcast limit,
-    otherwise the semi joins shuffle.
+    The semi joins are left to the planner: AQE broadcasts the set when its
+    measured size allows and shuffles otherwise.
     """
     ids = vertices.select(F.col(id_col).alias("_id")).distinct()
-    ids = bounded_broadcast(ids, vertex_bound)
     e = drop_self_loops(edges)
     e = e.join(ids.withColumnRenamed("_id", "src"), "src", "left_semi")
     return e.join(ids.withColumnRenamed("_id", "dst"), "dst", "left_semi").select("src", "dst")

@@ -2,9 +2,9 @@
 
 Per-vertex statistics are reused by every feature, so they are built
 once (and optionally materialised) instead of being re-derived inside
-each sub-plan. The hub tables are top-k tables with a proven bound; they
-are fetched once (at most ``max_hubs`` small rows) so that graphs without
-hubs get plain joins and graphs with hubs get salted expansions.
+each sub-plan. The hub tables hold every vertex above the chunk size and
+are written once; graphs without hubs get plain joins, graphs with hubs
+salted expansions.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from edgewise.operators.graph import vertex_stats
 from edgewise.operators.neighbours import target_adjacency, two_hop_volume
-from edgewise.operators.skew import DEFAULT_CHUNK, DEFAULT_MAX_HUBS, hub_table, spread
+from edgewise.operators.skew import DEFAULT_CHUNK, hub_table, spread
 from edgewise.session import cut_lineage
 from edgewise.sources.graphs import simple_graph
 
@@ -45,12 +45,9 @@ def _materialize(df: DataFrame, how: str | None) -> DataFrame:
     return df
 
 
-def _fetch_hubs(stats: DataFrame, col: str, chunk: int, max_hubs: int) -> DataFrame | None:
-    rows = hub_table(stats, col, chunk, max_hubs).collect()   # <= max_hubs rows
-    if not rows:
-        return None
-    spark = stats.sparkSession
-    return spark.createDataFrame([(r["id"], r["salts"]) for r in rows], "id bigint, salts int")
+def _hubs(stats: DataFrame, col: str, chunk: int) -> DataFrame | None:
+    hubs = cut_lineage(hub_table(stats, col, chunk))
+    return None if hubs.isEmpty() else hubs
 
 
 def graph_stats(edges: DataFrame) -> DataFrame:
@@ -61,15 +58,14 @@ def graph_stats(edges: DataFrame) -> DataFrame:
 
 
 def prepare_graph(edges: DataFrame, simple: bool = True, materialize: str | None = "cache",
-                  chunk: int = DEFAULT_CHUNK, max_hubs: int = DEFAULT_MAX_HUBS,
-                  salt: bool = True) -> PreparedGraph:
+                  chunk: int = DEFAULT_CHUNK, salt: bool = True) -> PreparedGraph:
     e = simple_graph(edges) if simple else edges.select("src", "dst")
-    # hash-partitioned on the expansion keys; a checkpoint keeps the partitioning
-    e = _materialize(spread(e, "src"), materialize)
+    # spread over both ends: a hub's edges lie in all parts, not in one
+    e = _materialize(spread(e, "src", "dst"), materialize)
     st = _materialize(spread(graph_stats(e), "id"), materialize)
-    hubs_out = _fetch_hubs(st, "out_degree", chunk, max_hubs) if salt else None
-    hubs_in = _fetch_hubs(st, "in_degree", chunk, max_hubs) if salt else None
-    adj = _materialize(spread(target_adjacency(e, st), "src"), materialize)
+    hubs_out = _hubs(st, "out_degree", chunk) if salt else None
+    hubs_in = _hubs(st, "in_degree", chunk) if salt else None
+    adj = _materialize(spread(target_adjacency(e, st), "src", "dst"), materialize)
     max_out2 = st.agg(F.max("out2")).first()[0] if materialize else None
     return PreparedGraph(e, st, hubs_out, hubs_in, adj, max_out2)
 

@@ -3,12 +3,13 @@
 Every random choice is a deterministic hash (``functions.hashing``), so
 the same pairs come out on any cluster size and in any SQL engine.
 
-* vertex sample: hash threshold, then a cap on the smallest hashes
+* vertex sample: hash threshold; its size follows the graph (a cap is a parameter)
 * positives: edges, each with a Poisson(lam) number of copies
 * hard negatives: ends of length-2 paths a -> b -> c (a <> c). Each edge
-  a -> b proposes one continuation: b's out-neighbour with the smallest
-  hash (the next one if that is a). Two combinable aggregates per b --
-  no path enumeration, so a hub b never produces in(b) * out(b) rows.
+  a -> b draws one of b's out-neighbours uniformly by hash (the next one
+  if that is a): a join with a dense index of b's out-neighbours -- no path
+  enumeration, so a hub b never produces in(b) * out(b) rows. Real edges
+  are left out unless asked for.
 * easy negatives: uniform draws of positions in the endpoint multiset
   (degree-weighted) or in the sampled vertex list (uniform).
 
@@ -23,19 +24,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from edgewise.functions.hashing import (
-    MODULUS, SEED_SPLIT, pair_hash, poisson_copies, threshold,
+    MODULUS, SEED_SPLIT, pair_hash, poisson_copies, threshold, wide_hash,
 )
 from edgewise.operators.bounded import bounded_broadcast
 from edgewise.operators.graph import induced_subgraph, vertices_of
 from edgewise.session import cut_lineage
 
 HIST_BUCKETS = 1 << 16
-ENDPOINT_BUCKETS = 1024          # minimum number of endpoint buckets
-ENDPOINT_BUCKET_ROWS = 1 << 20   # target endpoint rows per bucket (one window task)
+INDEX_BUCKET_ROWS = 1 << 20      # rows that one window task of a dense index numbers
+NEIGHBOUR_SALTS = 64             # parts in which one vertex's neighbours are numbered
 
-# Fixed sampler parameters of the original jobs.
+# Fixed sampler parameters of the original jobs. The caps and draws bound the
+# labelled rows that the classifiers are fitted on; every function takes its own.
 VERTEX_FRACTION = 0.25
-VERTEX_CAP = 25_000
 POSITIVE_RATE = 0.20
 CAP_EASY_WEIGHTED = 3_000
 DRAWS_EASY_WEIGHTED = 5_500
@@ -73,17 +74,17 @@ def cap_by_hash(df: DataFrame, hcol: str, tiebreak: list[str], cap: int,
 
 
 def vertex_sample(edges: DataFrame, seed: int, fraction: float = VERTEX_FRACTION,
-                  cap: int | None = VERTEX_CAP) -> DataFrame:
-    """(id, h): vertices kept by hash threshold, at most ``cap`` of them."""
+                  cap: int | None = None) -> DataFrame:
+    """(id, h): vertices kept by hash threshold; with ``cap`` the smallest hashes only."""
     v = vertices_of(edges).select("id", pair_hash("id", 0, seed).alias("h"))
     v = v.where(F.col("h") < F.lit(threshold(fraction)))
     return cap_by_hash(v, "h", ["id"], cap) if cap else v
 
 
 def sampled_subgraph(edges: DataFrame, seed: int, fraction: float = VERTEX_FRACTION,
-                     cap: int | None = VERTEX_CAP) -> tuple[DataFrame, DataFrame]:
+                     cap: int | None = None) -> tuple[DataFrame, DataFrame]:
     vs = vertex_sample(edges, seed, fraction, cap)
-    return vs, induced_subgraph(edges, vs, vertex_bound=cap)
+    return vs, induced_subgraph(edges, vs)
 
 
 def positive_pairs(edges: DataFrame, seed: int, rate: float = POSITIVE_RATE,
@@ -98,31 +99,37 @@ def positive_pairs(edges: DataFrame, seed: int, rate: float = POSITIVE_RATE,
     return e.select("u", "v", F.lit("Y").alias("label"))
 
 
-def continuations(edges: DataFrame, seed: int) -> DataFrame:
-    """(b, c1, c2): b's two out-neighbours smallest by (h(b, c), c).
+def neighbour_index(edges: DataFrame, seed: int) -> DataFrame:
+    """(b, idx, c): b's out-neighbours numbered from 0 by (salt, c).
 
-    ``min`` over a (h, c) struct is deterministic under hash ties and is
-    combined map-side like any other aggregate.
+    The salt splits every list, a hub's too, into NEIGHBOUR_SALTS windows; the
+    parts' offsets come from at most that many counts per vertex.
     """
-    h = pair_hash("src", "dst", seed)
-    e = edges.select(F.col("src").alias("b"), F.col("dst").alias("c"), h.alias("h"))
-    first = e.groupBy("b").agg(F.min(F.struct("h", "c"))["c"].alias("c1"))
-    second = (e.join(first, "b").where(F.col("c") != F.col("c1"))
-               .groupBy("b").agg(F.min(F.struct("h", "c"))["c"].alias("c2")))
-    return first.join(second, "b", "left")
+    salt = pair_hash("dst", "src", seed) % F.lit(NEIGHBOUR_SALTS)
+    e = edges.select(F.col("src").alias("b"), F.col("dst").alias("c"), salt.alias("salt"))
+    before = Window.partitionBy("b").orderBy("salt")
+    parts = e.groupBy("b", "salt").agg(F.count(F.lit(1)).alias("n")) \
+        .select("b", "salt", (F.sum("n").over(before) - F.col("n")).alias("off"))
+    rank = F.row_number().over(Window.partitionBy("b", "salt").orderBy("c"))
+    return (e.withColumn("rank", rank).join(parts, ["b", "salt"])
+             .select("b", (F.col("off") + F.col("rank") - 1).alias("idx"), "c"))
 
 
 def two_hop_pairs(edges: DataFrame, seed: int) -> DataFrame:
-    """(u, v): distinct length-2 path ends, one proposal per edge u -> b."""
-    cont = continuations(edges, seed)
-    e = edges.select(F.col("src").alias("u"), F.col("dst").alias("b"))
-    j = e.join(cont, "b")
-    c = F.when(F.col("c1") != F.col("u"), F.col("c1")).otherwise(F.col("c2"))
-    return j.select("u", c.alias("v")).where(F.col("v").isNotNull()).distinct()
+    """(u, v): distinct length-2 path ends, one uniformly drawn end per edge u -> b."""
+    out = edges.groupBy(F.col("src").alias("b")).agg(F.count(F.lit(1)).alias("out"))
+    e = edges.select(F.col("src").alias("u"), F.col("dst").alias("b")).join(out, "b")
+    e = e.withColumn("idx", wide_hash("u", "b", seed) % F.col("out"))
+    index = neighbour_index(edges, seed)
+    first = e.join(index, ["b", "idx"])
+    back = first.where((F.col("c") == F.col("u")) & (F.col("out") > 1)) \
+        .select("u", "b", ((F.col("idx") + 1) % F.col("out")).alias("idx"))
+    ends = first.where(F.col("c") != F.col("u")).select("u", "c").unionAll(back.join(index, ["b", "idx"]).select("u", "c"))
+    return ends.select("u", F.col("c").alias("v")).distinct()
 
 
 def hard_negatives(edges: DataFrame, seed: int, cap: int | None = CAP_HARD,
-                   exclude_edges: bool = False) -> DataFrame:
+                   exclude_edges: bool = True) -> DataFrame:
     p = two_hop_pairs(edges, seed)
     if exclude_edges:
         p = non_edge_guard(p, edges)
@@ -140,8 +147,8 @@ def non_edge_guard(pairs: DataFrame, edges: DataFrame) -> DataFrame:
 
 def _draws(spark, n: int, length: int, seed: int, s1: int, s2: int) -> DataFrame:
     d = spark.range(n).select(F.col("id").alias("i"))
-    d = d.select("i", (pair_hash("i", s1, seed) % F.lit(length)).alias("i1"),
-                 (pair_hash("i", s2, seed) % F.lit(length)).alias("i2"))
+    d = d.select("i", (wide_hash("i", s1, seed) % F.lit(length)).alias("i1"),
+                 (wide_hash("i", s2, seed) % F.lit(length)).alias("i2"))
     return d.where(F.col("i1") != F.col("i2"))
 
 
@@ -156,87 +163,62 @@ def _resolve_draws(indexed: DataFrame, draws: DataFrame, n_draws: int, cap: int)
     return pairs.orderBy("i").limit(cap).select("u", "v", F.lit("N").alias("label"))
 
 
-def endpoint_buckets(n_edges: int) -> int:
-    """Bucket count for ``endpoint_index``: a power of two, at least
-    ENDPOINT_BUCKETS, with about ENDPOINT_BUCKET_ROWS endpoint rows per bucket."""
-    need = (2 * n_edges + ENDPOINT_BUCKET_ROWS - 1) // ENDPOINT_BUCKET_ROWS
-    b = ENDPOINT_BUCKETS
-    while b < need:
-        b *= 2
-    return b
+def dense_index(rows: DataFrame, order: list[str], bucket_rows: int = INDEX_BUCKET_ROWS) -> DataFrame:
+    """``rows`` with idx: the 0-based position in the order of (h, *order).
 
+    ``h`` (a pair hash) is cut into equal ranges, as many as the row count asks
+    for; rows are numbered inside a range and the ranges' counts give the
+    offsets. Ranges keep the order, so their number never changes an index.
+    """
+    buckets = max(1, -(-rows.count() // bucket_rows))       # one scalar
+    rows = rows.withColumn("_bucket", F.floor(F.col("h") * F.lit(buckets) / F.lit(MODULUS)))
+    counts = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_bucket", (F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).alias("_off"))
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("h", *order))
+    return (rows.withColumn("_rank", rank).join(bounded_broadcast(offsets, buckets), "_bucket")
+                .withColumn("idx", F.col("_off") + F.col("_rank") - 1).drop("_bucket", "_off", "_rank"))
 
-def endpoint_index(edges: DataFrame, buckets: int | None = None) -> DataFrame:
-    """(idx, vertex): every edge endpoint occurrence with a dense 0-based index,
-    ordered by (bucket, src, dst, tag). Row numbers are taken inside hash
-    buckets, so one window task holds about ENDPOINT_BUCKET_ROWS rows; the
-    bucket offsets (one row per bucket) are broadcast.
 
-    With ``buckets=None`` the count grows with the input (one scalar count);
-    up to 2^30 endpoint rows (2^29 edges) it is ENDPOINT_BUCKETS.
-    """
-    if buckets is None:
-        buckets = endpoint_buckets(edges.count())
+def endpoint_index(edges: DataFrame, bucket_rows: int = INDEX_BUCKET_ROWS) -> DataFrame:
+    """(idx, vertex): every edge endpoint occurrence with a dense 0-based index,
+    ordered by (hash, src, dst, tag)."""
     ep = edges.select("src", "dst", F.inline(F.array(
         F.struct(F.lit(0).alias("tag"), F.col("src").alias("vertex")),
         F.struct(F.lit(1).alias("tag"), F.col("dst").alias("vertex")))))
     # the seed is the endpoint side, so both occurrences of an edge spread
-    ep = ep.withColumn("bucket", pair_hash("src", "dst", F.col("tag")) % F.lit(buckets))
-    counts = ep.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    offsets = counts.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("off"))
-    rn = F.row_number().over(Window.partitionBy("bucket").orderBy("src", "dst", "tag"))
-    return (ep.withColumn("rn", rn)
-              .join(bounded_broadcast(offsets, buckets), "bucket")
-              .select((F.col("off") + F.col("rn") - 1).alias("idx"), "vertex"))
+    ep = ep.withColumn("h", pair_hash("src", "dst", F.col("tag")))
+    return dense_index(ep, ["src", "dst", "tag"], bucket_rows).select("idx", "vertex")
 
 
 def easy_negatives_weighted(edges: DataFrame, seed: int, n_draws: int = DRAWS_EASY_WEIGHTED,
                             cap: int = CAP_EASY_WEIGHTED) -> DataFrame:
     """Pairs of uniformly drawn endpoint occurrences (degree-weighted vertices)."""
     spark = edges.sparkSession
-    idx = endpoint_index(edges).persist()
-    try:
-        length = idx.count()            # one scalar
-        if length == 0:
-            return spark.createDataFrame([], "u bigint, v bigint, label string")
-        return cut_lineage(_resolve_draws(idx, _draws(spark, n_draws, length, seed, 1, 2), n_draws, cap))
-    finally:
-        idx.unpersist()
+    length = 2 * edges.count()          # one scalar
+    if length == 0:
+        return spark.createDataFrame([], "u bigint, v bigint, label string")
+    idx = endpoint_index(edges)
+    return cut_lineage(_resolve_draws(idx, _draws(spark, n_draws, length, seed, 1, 2), n_draws, cap))
 
 
 def easy_negatives_uniform(vertices: DataFrame, seed: int, n_draws: int = DRAWS_EASY_UNIFORM,
-                           cap: int = CAP_EASY_UNIFORM, vertex_bound: int | None = VERTEX_CAP) -> DataFrame:
-    """Pairs of uniformly drawn sampled vertices. ``vertices``: (id, h) from
-    ``vertex_sample``, whose size is bounded by its cap, so one ordered
-    window over it is bounded too."""
+                           cap: int = CAP_EASY_UNIFORM) -> DataFrame:
+    """Pairs of uniformly drawn sampled vertices. ``vertices``: (id, h) from ``vertex_sample``."""
     spark = vertices.sparkSession
     length = vertices.count()       # one scalar
     if length == 0:
         return spark.createDataFrame([], "u bigint, v bigint, label string")
-    idx = vertices.select((F.row_number().over(Window.orderBy("h", "id")) - 1).alias("idx"),
-                          F.col("id").alias("vertex"))
+    idx = dense_index(vertices.select("id", "h"), ["id"]).select("idx", F.col("id").alias("vertex"))
     return cut_lineage(_resolve_draws(idx, _draws(spark, n_draws, length, seed, 3, 4), n_draws, cap))
 
 
-def labelled_pairs(edges: DataFrame, seed: int, fraction: float = VERTEX_FRACTION,
-                   vertex_cap: int = VERTEX_CAP, positive_rate: float = POSITIVE_RATE,
-                   hard_exclude_edges: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(subgraph edges, labelled pairs u, v, label) -- the sampling job.
-
-    Classes in order: weighted easy negatives, uniform easy negatives,
-    hard negatives, positives.
-    """
-    vs, sub = sampled_subgraph(edges, seed, fraction, vertex_cap)
-    parts = [
-        easy_negatives_weighted(sub, seed),
-        easy_negatives_uniform(vs, seed, vertex_bound=vertex_cap),
-        hard_negatives(sub, seed, exclude_edges=hard_exclude_edges),
-        positive_pairs(sub, seed, positive_rate),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return sub, out
+def labelled_pairs(vertices: DataFrame, subgraph: DataFrame, seed: int) -> DataFrame:
+    """(u, v, label) on a sampled subgraph: weighted and uniform easy negatives,
+    hard negatives, positives."""
+    return (easy_negatives_weighted(subgraph, seed)
+            .unionByName(easy_negatives_uniform(vertices, seed))
+            .unionByName(hard_negatives(subgraph, seed))
+            .unionByName(positive_pairs(subgraph, seed)))
 
 
 def split_column(seed: int = SEED_SPLIT, fractions=(0.6, 0.2, 0.2)) -> F.Column:
@@ -249,9 +231,3 @@ def split_column(seed: int = SEED_SPLIT, fractions=(0.6, 0.2, 0.2)) -> F.Column:
 
 def train_val_test_split(df: DataFrame, seed: int = SEED_SPLIT, fractions=(0.6, 0.2, 0.2)) -> DataFrame:
     return df.withColumn("split", split_column(seed, fractions))
-
-
-def random_split(df: DataFrame, seed: int = SEED_SPLIT, fractions=(0.6, 0.2, 0.2)) -> list[DataFrame]:
-    """Spark's own random split, for users who do not need cross-engine
-    reproducibility."""
-    return df.randomSplit(list(fractions), seed=seed)

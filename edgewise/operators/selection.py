@@ -5,8 +5,8 @@ increasing order, keep the one with the best validation AUC (strict
 improvement, so the first wins ties); stop when the gain is below 1e-6
 or nothing improves.
 
-``forward_selection`` fits a Spark ML model per candidate (a driver loop
-of distributed fits over one cached, assembled frame).
+``forward_selection`` fits a Spark ML model per candidate (distributed fits
+over one cached frame, a few jobs at a time).
 ``forward_selection_heuristic`` scores a candidate set by the plain sum of
 its features; then all candidates of a step are evaluated by *one*
 aggregation (candidates stacked as rows), so a step is one Spark job.
@@ -14,6 +14,8 @@ aggregation (candidates stacked as rows), so a step is one Spark job.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,12 +25,18 @@ from edgewise.operators.evaluate import auc
 from edgewise.operators.models import fit, score
 
 MIN_GAIN = 1e-6
+FITS_AT_ONCE = 4
 
 
 def forward_selection(train: DataFrame, validation: DataFrame, kind: str = "nb",
                       candidates: list[int] | None = None, iterations: int | None = None,
-                      max_steps: int | None = None) -> DataFrame:
-    """(step, tried, auc, chosen): one row per fitted candidate set."""
+                      max_steps: int | None = None, test: DataFrame | None = None) -> DataFrame:
+    """(step, tried, names, auc, chosen, split): one row per fitted candidate set.
+
+    ``chosen`` marks the set that its step adopted. With ``test`` a last row
+    (split 'test') holds the adopted set, fitted once more, on the test rows.
+    The fits of a step are independent jobs and run side by side.
+    """
     spark = train.sparkSession
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     validation = validation.persist(StorageLevel.MEMORY_AND_DISK)
@@ -36,26 +44,36 @@ def forward_selection(train: DataFrame, validation: DataFrame, kind: str = "nb",
     chosen: list[int] = []
     current = 0.0
     log = []
-    step = 0
-    while max_steps is None or step < max_steps:
-        best_auc, best_idx = current, -1
-        for i in [c for c in pool if c not in chosen]:
-            idx = chosen + [i]
-            model, _ = fit(train, kind, idx, iterations)
-            a = auc(score(model, validation, kind, idx)).first()["auc"] or 0.0
-            log.append((step, ",".join(map(str, idx)), float(a)))
-            if a > best_auc:
-                best_auc, best_idx = a, i
-        if best_idx == -1 or abs(current - best_auc) < MIN_GAIN:
-            break
-        chosen.append(best_idx)
-        current = best_auc
-        step += 1
+
+    def fitted_auc(idx: list[int], rows: DataFrame) -> float:
+        model, _ = fit(train, kind, idx, iterations)
+        return float(auc(score(model, rows, kind, idx)).first()["auc"] or 0.0)
+
+    def row(step: int, idx: list[int], a: float, adopted: bool, split: str) -> tuple:
+        return step, ",".join(map(str, idx)), ",".join(FEATURE_NAMES[i] for i in idx), a, adopted, split
+
+    with ThreadPoolExecutor(FITS_AT_ONCE) as jobs:
+        step = 0
+        while max_steps is None or step < max_steps:
+            tried = [chosen + [i] for i in pool if i not in chosen]
+            aucs = list(jobs.map(lambda idx: fitted_auc(idx, validation), tried))
+            best = _best(aucs, current)
+            log += [row(step, idx, a, k == best, "validation") for k, (idx, a) in enumerate(zip(tried, aucs))]
+            if best is None:
+                break
+            chosen, current = tried[best], aucs[best]
+            step += 1
+    if test is not None and chosen:
+        log.append(row(len(chosen), chosen, fitted_auc(chosen, test), True, "test"))
     train.unpersist()
     validation.unpersist()
-    final = ",".join(map(str, chosen))
-    return spark.createDataFrame([(s, t, a, t == final and s == len(chosen) - 1) for s, t, a in log],
-                                 "step int, tried string, auc double, chosen boolean")
+    return spark.createDataFrame(log, "step int, tried string, names string, auc double, chosen boolean, split string")
+
+
+def _best(aucs: list[float | None], current: float) -> int | None:
+    """Place of the first largest AUC, if it gains at least MIN_GAIN."""
+    best = max(range(len(aucs)), key=lambda k: (aucs[k] or 0.0, -k), default=None)
+    return best if best is not None and (aucs[best] or 0.0) - current >= MIN_GAIN else None
 
 
 def _stack_candidates(df: DataFrame, chosen: list[int], pool: list[int]) -> DataFrame:
@@ -84,23 +102,21 @@ def candidate_aucs(df: DataFrame, chosen: list[int], pool: list[int]) -> DataFra
 
 
 def forward_selection_heuristic(validation: DataFrame, candidates: list[int] | None = None,
-                                max_steps: int = 2) -> DataFrame:
-    """(step, cand, auc, chosen) for a sum-of-features score."""
+                                max_steps: int | None = None) -> DataFrame:
+    """(step, cand, auc, chosen) for a sum-of-features score, to the stop of the rule."""
     spark = validation.sparkSession
     pool = list(range(len(FEATURE_NAMES))) if candidates is None else list(candidates)
     chosen: list[int] = []
     current = 0.0
     out = []
-    for step in range(max_steps):
+    step = 0
+    while (max_steps is None or step < max_steps) and len(chosen) < len(pool):
         rows = sorted(candidate_aucs(validation, chosen, pool).collect(), key=lambda r: r["cand"])
-        best_auc, best_idx = current, -1
-        for r in rows:
-            a = r["auc"] if r["auc"] is not None else 0.0
-            if a > best_auc:
-                best_auc, best_idx = a, r["cand"]
-        out.extend((step, r["cand"], r["auc"], r["cand"] == best_idx) for r in rows)
-        if best_idx == -1 or abs(current - best_auc) < MIN_GAIN:
+        best = _best([r["auc"] for r in rows], current)
+        out.extend((step, r["cand"], r["auc"], k == best) for k, r in enumerate(rows))
+        if best is None:
             break
-        chosen.append(best_idx)
-        current = best_auc
+        chosen.append(rows[best]["cand"])
+        current = rows[best]["auc"]
+        step += 1
     return spark.createDataFrame(out, "step int, cand int, auc double, chosen boolean")

@@ -8,8 +8,9 @@ into ``ceil(degree / chunk)`` salt buckets (by a hash of the neighbour),
 and rows referencing a hub are replicated once per bucket, so the output
 of one hub is spread across many tasks.
 
-The hub table has a proven size bound: it is a top-``max_hubs`` of the
-degree table, so it is always safe to broadcast.
+Every vertex above the chunk size is in the hub table, so it has fewer than
+E / chunk rows; its joins are left to the planner and to AQE, which broadcast
+it when its measured size allows.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_CHUNK = 200_000     # max adjacency entries per salt bucket
-DEFAULT_MAX_HUBS = 10_000   # bound on the broadcast hub table
 
 
 def spread(df: DataFrame, *cols: str) -> DataFrame:
@@ -37,16 +37,9 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def hub_table(degrees: DataFrame, degree_col: str, chunk: int = DEFAULT_CHUNK,
-              max_hubs: int = DEFAULT_MAX_HUBS, id_col: str = "id") -> DataFrame:
-    """(id, salts) for vertices whose ``degree_col`` exceeds ``chunk``.
-
-    At most ``max_hubs`` rows (the largest ones). A vertex outside the
-    table has degree <= chunk or is smaller than max_hubs others, so it
-    holds at most ``E / max_hubs`` entries.
-    """
+              id_col: str = "id") -> DataFrame:
+    """(id, salts) for every vertex whose ``degree_col`` exceeds ``chunk``."""
     return (degrees.where(F.col(degree_col) > chunk)
-                   .orderBy(F.col(degree_col).desc(), F.col(id_col))
-                   .limit(max_hubs)
                    .select(F.col(id_col).alias("id"),
                            F.ceil(F.col(degree_col) / F.lit(chunk)).cast("int").alias("salts")))
 
@@ -62,7 +55,7 @@ def expand(left: DataFrame, key: str, adj: DataFrame, adj_key: str,
     if hubs is None:
         return left.join(a, key)
     spread = spread_cols or [c for c in a.columns if c != key]
-    h = F.broadcast(hubs.select(F.col("id").alias(key), F.col("salts").alias("_ns")))
+    h = hubs.select(F.col("id").alias(key), F.col("salts").alias("_ns"))
     a = (a.join(h, key, "left")
           .withColumn("_salt", F.when(F.col("_ns").isNull(), F.lit(0))
                                 .otherwise(F.pmod(F.xxhash64(*spread), F.col("_ns")).cast("int")))

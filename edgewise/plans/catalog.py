@@ -61,26 +61,14 @@ def ev_prepared(spark, sf):
 def sample(spark, sf, seed=SEED_TRAIN):
     """(vertex sample, subgraph, labelled pairs) of the cp graph for a seed."""
     def build():
-        e = cp_prepared(spark, sf).edges
+        e = cp(spark, sf)
         vs, sub = sampling.sampled_subgraph(e, seed)
         vs = cut_lineage(vs)
         sub = cut_lineage(sub)
-        _, pairs = _labelled(vs, sub, seed)
-        return vs, sub, cut_lineage(pairs)
+        return vs, sub, cut_lineage(sampling.labelled_pairs(vs, sub, seed))
     return _memo(spark, sf, f"sample-{seed}", build)
 
 
-def _labelled(vs, sub, seed):
-    parts = [sampling.easy_negatives_weighted(sub, seed),
-             sampling.easy_negatives_uniform(vs, seed),
-             sampling.hard_negatives(sub, seed),
-             sampling.positive_pairs(sub, seed)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return sub, out
-
-
 def sub_prepared(spark, sf, seed=SEED_TRAIN):
     return _memo(spark, sf, f"sub-{seed}",
                  lambda: prepare_graph(sample(spark, sf, seed)[1], simple=False, materialize="checkpoint"))
@@ -320,9 +308,9 @@ def q_baseline_features(spark, sf):
     label multiplicity kept)."""
     pairs = sample(spark, sf)[2]
     c = features.common_friends(pairs, sub_prepared(spark, sf))
-    co = c.where(F.col("common_out") > 0).select("u", "v", F.col("common_out").alias("co_out"))
-    ci = c.where(F.col("common_in") > 0).select("u", "v", F.col("common_in").alias("co_in"))
-    return co.join(ci, ["u", "v"]).join(pairs, ["u", "v"]).select("u", "v", "co_out", "co_in", "label")
+    both = c.where((F.col("common_out") > 0) & (F.col("common_in") > 0))
+    return both.join(pairs, ["u", "v"]).select("u", "v", F.col("common_out").alias("co_out"),
+                                               F.col("common_in").alias("co_in"), "label")
 
 
 # ---------------------------------------------------------------- evaluation
@@ -344,7 +332,7 @@ def q_auc_of_scores(spark, sf):
 
 def q_forward_selection_heuristic(spark, sf):
     val = split_features(spark, sf).where(F.col("split") == 1)
-    return selection.forward_selection_heuristic(val, max_steps=2)
+    return selection.forward_selection_heuristic(val)
 
 
 # ---------------------------------------------------------------- ML (rows-only checks)
@@ -389,7 +377,7 @@ def q_holdout_eval(spark, sf):
 def q_forward_selection(spark, sf):
     f = split_features(spark, sf)
     return selection.forward_selection(f.where(F.col("split") == 0), f.where(F.col("split") == 1),
-                                       kind="nb", max_steps=2)
+                                       kind="nb", test=f.where(F.col("split") == 2))
 
 
 QUERIES = {name[2:]: fn for name, fn in dict(globals()).items()

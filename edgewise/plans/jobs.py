@@ -17,7 +17,6 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgewise.functions.features import FEATURE_NAMES
 from edgewise.functions.hashing import SEED_SPLIT, SEED_TEST
 from edgewise.operators import evaluate, models, sampling, selection
 from edgewise.operators.features import pair_features
@@ -27,20 +26,13 @@ from edgewise.sources import files, graphs
 
 
 def sample_job(spark: SparkSession, edges: DataFrame, out_dir: str, seed: int = SEED_TEST,
-               fraction: float = sampling.VERTEX_FRACTION, vertex_cap: int = sampling.VERTEX_CAP) -> None:
+               fraction: float = sampling.VERTEX_FRACTION, vertex_cap: int | None = None) -> None:
     """Vertex sample -> induced subgraph (written) -> labelled pairs (written)."""
     simple = graphs.simple_graph(edges)
     vs, sub = sampling.sampled_subgraph(simple, seed, fraction, vertex_cap)
     vs, sub = cut_lineage(vs), cut_lineage(sub)
-    parts = [sampling.easy_negatives_weighted(sub, seed),
-             sampling.easy_negatives_uniform(vs, seed, vertex_bound=vertex_cap),
-             sampling.hard_negatives(sub, seed),
-             sampling.positive_pairs(sub, seed)]
-    pairs = parts[0]
-    for p in parts[1:]:
-        pairs = pairs.unionByName(p)
     files.write_edges(sub, os.path.join(out_dir, "edges"))
-    files.write_pairs(pairs, os.path.join(out_dir, "pairs"))
+    files.write_pairs(sampling.labelled_pairs(vs, sub, seed), os.path.join(out_dir, "pairs"))
 
 
 def featurise_job(spark: SparkSession, edges_path: str, pairs_path: str, out: str,
@@ -69,10 +61,7 @@ def select_job(spark: SparkSession, features_path: str, out_dir: str, kind: str
                iterations: int | None = 20) -> DataFrame:
     f = cut_lineage(sampling.train_val_test_split(files.read_features(spark, features_path), SEED_SPLIT))
     log = selection.forward_selection(f.where(F.col("split") == 0), f.where(F.col("split") == 1),
-                                      kind=kind, iterations=iterations)
-    catalogue = F.array(*[F.lit(n) for n in FEATURE_NAMES])
-    log = log.withColumn("names", F.concat_ws(",", F.transform(
-        F.split("tried", ","), lambda i: F.element_at(catalogue, i.cast("int") + 1))))
+                                      kind=kind, iterations=iterations, test=f.where(F.col("split") == 2))
     files.write_metrics(log, os.path.join(out_dir, f"selection-{kind}"))
     return log
 

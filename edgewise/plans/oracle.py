@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from edgewise.functions.features import FEATURE_COLUMNS, FEATURE_NAMES, SVM_LR_FEATURES, derived_sql
 from edgewise.functions.hashing import (
-    SEED_SPLIT, SEED_TEST, SEED_TRAIN, pair_hash_sql as H, poisson_copies_sql, threshold,
+    SEED_SPLIT, SEED_TEST, SEED_TRAIN, pair_hash_sql as H, poisson_copies_sql, threshold, wide_hash_sql as HW,
 )
 from edgewise.operators import sampling as S
 
@@ -22,7 +22,7 @@ def W(ctes: list[tuple[str, str]], final: str) -> str:
         if name in seen:
             continue
         seen.add(name)
-        parts.append(f"{name} AS (\n{body}\n)")
+        parts.append(f"{name} AS {'MATERIALIZED ' if name.startswith('fs_') else ''}(\n{body}\n)")
     return "WITH " + ",\n".join(parts) + "\n" + final
 
 
@@ -40,13 +40,26 @@ def base_graphs():
             ("cp", "SELECT DISTINCT src, dst FROM cp_raw WHERE src <> dst")]
 
 
+def two_hop_ctes(e: str, p: str, seed: int):
+    """One uniformly drawn end of a length-2 path per edge of CTE ``e``."""
+    salt = f"{H('dst', 'src', seed)} % {S.NEIGHBOUR_SALTS}"
+    return [
+        (f"{p}nbi", f"SELECT src AS b, dst AS c, row_number() OVER (PARTITION BY src ORDER BY {salt}, dst) - 1 AS idx, "
+                    f"count(*) OVER (PARTITION BY src) AS n FROM {e}"),
+        (f"{p}drawn", f"SELECT s.src AS u, x.b, x.c, x.n, x.idx FROM {e} s JOIN {p}nbi x ON x.b = s.dst "
+                      f"AND x.idx = {HW('s.src', 's.dst', seed)} % x.n"),
+        (f"{p}two", f"SELECT DISTINCT u, v FROM (SELECT u, c AS v FROM {p}drawn WHERE c <> u UNION ALL "
+                    f"SELECT d.u, x.c AS v FROM {p}drawn d JOIN {p}nbi x ON x.b = d.b AND x.idx = (d.idx + 1) % d.n "
+                    f"WHERE d.c = d.u AND d.n > 1) t"),
+    ]
+
+
 def sample_ctes(seed: int, p: str):
     """Vertex sample, subgraph and labelled pairs of the cp graph; CTE names prefixed by p."""
     thr = threshold(S.VERTEX_FRACTION)
     return base_graphs() + [
         (f"{p}vs", f"SELECT id, h FROM (SELECT id, {H('id', 0, seed)} AS h FROM "
-                   f"(SELECT src AS id FROM cp UNION SELECT dst FROM cp)) t WHERE h < {thr} "
-                   f"ORDER BY h, id LIMIT {S.VERTEX_CAP}"),
+                   f"(SELECT src AS id FROM cp UNION SELECT dst FROM cp)) t WHERE h < {thr}"),
         (f"{p}sub", f"SELECT src, dst FROM cp WHERE src <> dst AND src IN (SELECT id FROM {p}vs) "
                     f"AND dst IN (SELECT id FROM {p}vs)"),
         # positives: Poisson copies, cap by hash
@@ -54,26 +67,18 @@ def sample_ctes(seed: int, p: str):
         (f"{p}pos1", f"SELECT u, v, h, {poisson_copies_sql('h', S.POSITIVE_RATE)} AS copies FROM {p}pos0"),
         (f"{p}pos", f"SELECT u, v, 'Y' AS label FROM {p}pos1 JOIN range(1, 20) r(copy) ON r.copy <= {p}pos1.copies "
                     f"ORDER BY h, u, v, copy LIMIT {S.CAP_POSITIVE}"),
-        # hard negatives: one hash-chosen continuation per edge
-        (f"{p}c0", f"SELECT src AS b, dst AS c, {H('src', 'dst', seed)} AS h FROM {p}sub"),
-        (f"{p}c1", f"SELECT x.b, min(x.c) AS c1 FROM {p}c0 x JOIN (SELECT b, min(h) AS mh FROM {p}c0 "
-                   f"GROUP BY b) m ON x.b = m.b AND x.h = m.mh GROUP BY x.b"),
-        (f"{p}c0b", f"SELECT x.b, x.c, x.h FROM {p}c0 x JOIN {p}c1 y ON x.b = y.b WHERE x.c <> y.c1"),
-        (f"{p}c2", f"SELECT x.b, min(x.c) AS c2 FROM {p}c0b x JOIN (SELECT b, min(h) AS mh FROM {p}c0b "
-                   f"GROUP BY b) m ON x.b = m.b AND x.h = m.mh GROUP BY x.b"),
-        (f"{p}two", f"SELECT DISTINCT u, v FROM (SELECT s.src AS u, CASE WHEN y.c1 <> s.src THEN y.c1 "
-                    f"ELSE z.c2 END AS v FROM {p}sub s JOIN {p}c1 y ON s.dst = y.b "
-                    f"LEFT JOIN {p}c2 z ON s.dst = z.b) t WHERE v IS NOT NULL"),
-        (f"{p}hard", f"SELECT u, v, 'N' AS label FROM {p}two ORDER BY {H('u', 'v', seed)}, u, v "
+        # hard negatives: one drawn continuation per edge, real edges left out
+        *two_hop_ctes(f"{p}sub", p, seed),
+        (f"{p}hard", f"SELECT u, v, 'N' AS label FROM {p}two WHERE NOT EXISTS (SELECT 1 FROM {p}sub s "
+                     f"WHERE s.src = {p}two.u AND s.dst = {p}two.v) ORDER BY {H('u', 'v', seed)}, u, v "
                      f"LIMIT {S.CAP_HARD}"),
         # weighted easy negatives: global index over endpoint occurrences
-        # (ENDPOINT_BUCKETS is the bucket count up to 2^29 edges)
         (f"{p}ep", f"SELECT src, dst, 0 AS tag, src AS vertex FROM {p}sub UNION ALL "
                    f"SELECT src, dst, 1 AS tag, dst AS vertex FROM {p}sub"),
-        (f"{p}epi", f"SELECT row_number() OVER (ORDER BY {H('src', 'dst', 'tag')} % {S.ENDPOINT_BUCKETS}, "
+        (f"{p}epi", f"SELECT row_number() OVER (ORDER BY {H('src', 'dst', 'tag')}, "
                     f"src, dst, tag) - 1 AS idx, vertex FROM {p}ep"),
         (f"{p}n1", f"SELECT count(*) AS len FROM {p}ep"),
-        (f"{p}d1", f"SELECT i, {H('i', 1, seed)} % len AS i1, {H('i', 2, seed)} % len AS i2 "
+        (f"{p}d1", f"SELECT i, {HW('i', 1, seed)} % len AS i1, {HW('i', 2, seed)} % len AS i2 "
                    f"FROM range(0, {S.DRAWS_EASY_WEIGHTED}) t(i), {p}n1 WHERE len > 0"),
         (f"{p}easy1", f"SELECT a.vertex AS u, b.vertex AS v, 'N' AS label FROM {p}d1 d "
                       f"JOIN {p}epi a ON a.idx = d.i1 JOIN {p}epi b ON b.idx = d.i2 WHERE d.i1 <> d.i2 "
@@ -81,7 +86,7 @@ def sample_ctes(seed: int, p: str):
         # uniform easy negatives over the vertex sample
         (f"{p}vi", f"SELECT row_number() OVER (ORDER BY h, id) - 1 AS idx, id AS vertex FROM {p}vs"),
         (f"{p}n2", f"SELECT count(*) AS len FROM {p}vs"),
-        (f"{p}d2", f"SELECT i, {H('i', 3, seed)} % len AS i1, {H('i', 4, seed)} % len AS i2 "
+        (f"{p}d2", f"SELECT i, {HW('i', 3, seed)} % len AS i1, {HW('i', 4, seed)} % len AS i2 "
                    f"FROM range(0, {S.DRAWS_EASY_UNIFORM}) t(i), {p}n2 WHERE len > 0"),
         (f"{p}easy2", f"SELECT a.vertex AS u, b.vertex AS v, 'N' AS label FROM {p}d2 d "
                       f"JOIN {p}vi a ON a.idx = d.i1 JOIN {p}vi b ON b.idx = d.i2 WHERE d.i1 <> d.i2 "
@@ -165,42 +170,33 @@ def auc_sql(scored: str) -> list[tuple[str, str]]:
 
 
 def _heuristic_sql() -> str:
+    """Every step until no feature gains 1e-6; the sums run in the order of adoption."""
     n = len(FEATURE_NAMES)
-    ctes = split_ctes() + [("val", f"SELECT *, {LABEL_VALUE} AS lv FROM spl WHERE split = 1")]
-
-    def step(name: str, base: str | None, exclude: str | None):
-        rows = []
-        for i in range(n):
-            s = f"CAST({FEATURE_NAMES[i]} AS DOUBLE)"
-            sc = s if base is None else f"({base}) + {s}"
-            rows.append(f"SELECT {i} AS cand, {sc} AS score, lv FROM val")
-        stacked = " UNION ALL ".join(rows)
-        where = f"WHERE cand NOT IN ({exclude})" if exclude else ""
-        return [
-            (f"{name}_st", f"SELECT * FROM ({stacked}) t {where}"),
-            (f"{name}_g", f"SELECT cand, score, count(*) FILTER (WHERE lv = 1.0) AS pos, "
-                          f"count(*) FILTER (WHERE lv <> 1.0) AS neg FROM {name}_st GROUP BY cand, score"),
-            (f"{name}_w", f"SELECT cand, score, pos, neg, coalesce(sum(neg) OVER (PARTITION BY cand ORDER BY score "
-                          f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below FROM {name}_g"),
-            (f"{name}_a", f"SELECT cand, CAST(sum(pos * (2 * neg_below + neg)) AS DOUBLE) / "
-                          f"(2.0 * CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc "
-                          f"FROM {name}_w GROUP BY cand"),
-        ]
-    ctes += step("s0", None, None)
-    ctes += [("b0", "SELECT cand, auc FROM s0_a WHERE coalesce(auc, 0.0) > 0.0 ORDER BY auc DESC, cand LIMIT 1")]
-    # step 1 only runs when step 0 improved by at least 1e-6
-    base = None
-    cases = " ".join(f"WHEN {i} THEN CAST({FEATURE_NAMES[i]} AS DOUBLE)" for i in range(n))
-    base = f"CASE (SELECT cand FROM b0) {cases} END"
-    ctes += step("s1", base, "SELECT cand FROM b0")
-    ctes += [("b1", "SELECT cand, auc FROM s1_a WHERE coalesce(auc, 0.0) > (SELECT auc FROM b0) "
-                    "ORDER BY auc DESC, cand LIMIT 1")]
-    final = ("SELECT CAST(0 AS INTEGER) AS step, CAST(cand AS INTEGER) AS cand, auc, "
-             "cand IN (SELECT cand FROM b0) AS chosen FROM s0_a "
-             "UNION ALL SELECT CAST(1 AS INTEGER) AS step, CAST(cand AS INTEGER) AS cand, auc, "
-             "cand IN (SELECT cand FROM b1) AS chosen FROM s1_a "
-             "WHERE EXISTS (SELECT 1 FROM b0 WHERE auc >= 1e-6)")
-    return W(ctes, final)
+    values = " UNION ALL ".join(f"SELECT u, v, {i} AS cand, CAST({c} AS DOUBLE) AS x, lv FROM fs_val"
+                                for i, c in enumerate(FEATURE_NAMES))
+    ctes = split_ctes() + [
+        ("fs_val", f"SELECT *, {LABEL_VALUE} AS lv FROM spl WHERE split = 1"), ("fs_x", values),
+        ("fs_base0", "SELECT u, v, CAST(0.0 AS DOUBLE) AS b FROM fs_val")]
+    final = []
+    for k in range(n):
+        out = " UNION ALL ".join(f"SELECT cand FROM fs_b{j}" for j in range(k))
+        before = f"coalesce((SELECT auc FROM fs_b{k - 1}), 0.0)" if k else "0.0"
+        where = f"WHERE EXISTS (SELECT 1 FROM fs_b{k - 1}) AND x.cand NOT IN ({out})" if k else ""
+        ctes += [
+            (f"fs_g{k}", f"SELECT x.cand, b.b + x.x AS score, count(*) FILTER (WHERE lv = 1.0) AS pos, "
+                         f"count(*) FILTER (WHERE lv <> 1.0) AS neg FROM fs_x x JOIN fs_base{k} b USING (u, v) {where} "
+                         f"GROUP BY x.cand, score"),
+            (f"fs_w{k}", f"SELECT cand, score, pos, neg, coalesce(sum(neg) OVER (PARTITION BY cand ORDER BY score "
+                         f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below FROM fs_g{k}"),
+            (f"fs_a{k}", f"SELECT cand, CAST(sum(pos * (2 * neg_below + neg)) AS DOUBLE) / "
+                         f"(2.0 * CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc FROM fs_w{k} GROUP BY cand"),
+            (f"fs_b{k}", f"SELECT cand, auc FROM fs_a{k} WHERE coalesce(auc, 0.0) - {before} >= 1e-6 "
+                         f"ORDER BY auc DESC, cand LIMIT 1"),
+            (f"fs_base{k + 1}", f"SELECT u, v, b + x AS b FROM fs_base{k} JOIN fs_x USING (u, v) "
+                                f"WHERE cand IN (SELECT cand FROM fs_b{k})")]
+        final.append(f"SELECT CAST({k} AS INTEGER) AS step, CAST(cand AS INTEGER) AS cand, auc, "
+                     f"cand IN (SELECT cand FROM fs_b{k}) AS chosen FROM fs_a{k}")
+    return W(ctes, " UNION ALL ".join(final))
 
 
 def _graph_q(final: str, extra=()) -> str:
@@ -348,18 +344,7 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _two_hop_full():
-    s = SEED_TRAIN
-    return [
-        ("f_c0", f"SELECT src AS b, dst AS c, {H('src', 'dst', s)} AS h FROM cp"),
-        ("f_c1", "SELECT x.b, min(x.c) AS c1 FROM f_c0 x JOIN (SELECT b, min(h) AS mh FROM f_c0 "
-                 "GROUP BY b) m ON x.b = m.b AND x.h = m.mh GROUP BY x.b"),
-        ("f_c0b", "SELECT x.b, x.c, x.h FROM f_c0 x JOIN f_c1 y ON x.b = y.b WHERE x.c <> y.c1"),
-        ("f_c2", "SELECT x.b, min(x.c) AS c2 FROM f_c0b x JOIN (SELECT b, min(h) AS mh FROM f_c0b "
-                 "GROUP BY b) m ON x.b = m.b AND x.h = m.mh GROUP BY x.b"),
-        ("full_two", "SELECT DISTINCT u, v FROM (SELECT s.src AS u, CASE WHEN y.c1 <> s.src THEN y.c1 "
-                     "ELSE z.c2 END AS v FROM cp s JOIN f_c1 y ON s.dst = y.b "
-                     "LEFT JOIN f_c2 z ON s.dst = z.b) t WHERE v IS NOT NULL"),
-    ]
+    return two_hop_ctes("cp", "full_", SEED_TRAIN)
 
 
 def _zero_pd():

@@ -53,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(_CKPT_KEY, None) or sc.getConf().get(_CKPT_KEY, None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError(f"set {_CKPT_KEY} to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="edgewise-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -64,17 +66,15 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint (survives executor loss), never a local one.
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet under the shared folder and read back.
 
-    The frame is persisted while the checkpoint is written, so its lineage
-    is computed once (the count and the checkpoint write share it).
+    It survives lost executors, its scans prune columns and push filters down,
+    and the files go when the session ends.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    if not eager:
-        return df.checkpoint(eager=False)
-    df.persist()
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
+    spark = df.sparkSession
+    path = scratch_dir(spark, "table")
+    df.write.parquet(path)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return spark.read.schema(df.schema).parquet(path)

@@ -64,3 +64,44 @@ def test_models_score_rows(spark):
         s = models.model_scores(f, f, kind, score_mode="probability")
         rows = s.collect()
         assert len(rows) == f.count() and all(0.0 <= r.score <= 1.0 for r in rows)
+
+
+def test_null_and_nan_scores_are_ranked_not_dropped(spark):
+    rows = [(None, 0.0), (float("nan"), 1.0), (0.5, 1.0), (0.2, 0.0), (None, 1.0)]
+    r = evaluate.auc(spark.createDataFrame(rows, "score double, label double")).first()
+    # pairs (positive, negative): NaN beats both, 0.5 beats both, the null positive ties the null and loses to 0.2
+    assert (r.positives, r.negatives) == (3, 2) and abs(r.auc - 4.5 / 6) < 1e-12
+    points = evaluate.roc_curve(spark.createDataFrame(rows, "score double, label double")).collect()
+    assert len(points) == 4 and max(p.tp for p in points) == 3
+    assert evaluate.auc(spark.createDataFrame([], "score double, label double")).first().auc is None
+
+
+def test_counts_of_billions_do_not_overflow(spark):
+    n = 3_000_000_000
+    groups = spark.createDataFrame([(0.1, 0, n), (0.5, n, n), (0.9, n, 0)], "score double, pos bigint, neg bigint")
+    r = evaluate.auc_of_groups(groups).first()
+    assert (r.positives, r.negatives) == (2 * n, 2 * n) and abs(r.auc - 0.875) < 1e-12
+
+
+def test_forward_selection_runs_to_its_stop_and_scores_the_test_rows(spark):
+    from edgewise.functions.features import FEATURE_NAMES
+    from edgewise.operators import selection
+    import random
+    rng = random.Random(3)
+    rows = []
+    for i in range(240):
+        y = i % 2
+        rows.append((i, i + 1, *[float(rng.randrange(5) + (3 * y if k == 4 else 0)) for k in range(len(FEATURE_NAMES))], "Y" if y else "N", i % 3))
+    cols = "u bigint, v bigint, " + ", ".join(f"{c} double" for c in FEATURE_NAMES) + ", label string, part int"
+    df = spark.createDataFrame(rows, cols)
+    parts = [df.where(f"part = {k}") for k in range(3)]
+    log = selection.forward_selection(parts[0], parts[1], kind="nb", candidates=[0, 4, 7], test=parts[2]).collect()
+    steps = [r for r in log if r.split == "validation"]
+    adopted = [r for r in steps if r.chosen]
+    assert [r.step for r in adopted] == list(range(len(adopted))) and adopted
+    assert log[-1].split == "test" and log[-1].tried == adopted[-1].tried and 0.0 <= log[-1].auc <= 1.0
+    assert adopted[0].names == ",".join(FEATURE_NAMES[int(i)] for i in adopted[0].tried.split(","))
+    last = max(r.step for r in steps)
+    assert last == len(adopted) or len(adopted) == 3
+    h = selection.forward_selection_heuristic(parts[1], candidates=[0, 4, 7]).collect()
+    assert [r.cand for r in h if r.chosen][0] == 4

@@ -155,7 +155,7 @@ def test_hub_holding_a_third_of_edges(spark):
     pairs = [(hub, v, "Y") for v in range(1, 12)] + [(v, hub, "N") for v in range(5, 15)] + \
             [(rnd.randrange(n), rnd.randrange(n), "N") for _ in range(40)]
     e_df = spark.createDataFrame(edges, "src bigint, dst bigint")
-    g = prepare_graph(e_df, chunk=4, max_hubs=5)
+    g = prepare_graph(e_df, chunk=4)
     hubs = {r.id: r.salts for r in g.hubs_out.collect()}
     assert hubs[hub] >= 10                       # the hub is split into >= 10 salt buckets
     expected = brute_features(edges, [(u, v) for u, v, _ in pairs])

@@ -27,7 +27,7 @@ def test_summary_and_subgraph(spark, t1_edges):
     s = G.graph_summary(t1_edges, pairs_df(spark, [(1, 2, "Y")])).first()
     assert (s.edges, s.vertices, s.pairs) == (9, 5, 1)
     vs = spark.createDataFrame([(1,), (2,), (3,)], "id bigint")
-    sub = sorted(tuple(r) for r in G.induced_subgraph(t1_edges, vs, vertex_bound=3).collect())
+    sub = sorted(tuple(r) for r in G.induced_subgraph(t1_edges, vs).collect())
     assert sub == [(1, 2), (1, 3), (2, 3), (3, 1)]
     rev = sorted(tuple(r) for r in G.reverse_edges(t1_edges).collect())
     assert (2, 1) in rev and len(rev) == 9
@@ -83,9 +83,39 @@ def test_samplers_deterministic_and_capped(spark):
     assert len(e2) == 40 and {r.u for r in e2} <= set(ids)
 
 
-def test_endpoint_index_dense(spark, t1_edges):
-    idx = sorted(r.idx for r in S.endpoint_index(t1_edges, buckets=4).collect())
-    assert idx == list(range(18))
+def test_endpoint_index_is_dense_and_the_same_for_any_bucket_size(spark, t1_edges):
+    whole = sorted(tuple(r) for r in S.endpoint_index(t1_edges).collect())
+    assert [i for i, _ in whole] == list(range(18))
+    for rows in (1, 3, 7):
+        assert sorted(tuple(r) for r in S.endpoint_index(t1_edges, bucket_rows=rows).collect()) == whole
+
+
+def test_vertex_sample_follows_the_graph_beyond_25000(spark):
+    counts = []
+    for n in (60_000, 240_000):
+        edges = spark.range(n).select(F.col("id").alias("src"), (F.col("id") * 31 + 7).alias("dst"))
+        counts.append(S.vertex_sample(edges, 5).count())
+    assert counts[1] > 3.5 * counts[0] > 3.5 * 25_000
+
+
+def test_draws_reach_positions_beyond_2_to_the_31(spark):
+    length = 1 << 40
+    rows = S._draws(spark, 2000, length, 9, 1, 2).collect()
+    at = [x for r in rows for x in (r.i1, r.i2)]
+    assert all(0 <= x < length for x in at) and len(set(at)) == len(at)
+    assert sum(x > length // 2 for x in at) > 0.45 * len(at) and max(at) > 0.99 * length
+
+
+def test_two_hop_draws_reach_every_end_and_leave_edges_out(spark):
+    # hub 0 has 600 in-neighbours and 40 out-neighbours
+    edges = [(1000 + i, 0) for i in range(600)] + [(0, 1 + i) for i in range(40)] + [(1000, 5)]
+    df = spark.createDataFrame(edges, "src bigint, dst bigint")
+    pairs = [tuple(r) for r in S.two_hop_pairs(df, 3).collect()]
+    assert len(pairs) == len(set(pairs)) == 600 and {v for _, v in pairs} == set(range(1, 41))
+    known = set(edges)
+    assert all((r.u, r.v) not in known for r in S.hard_negatives(df, 3, cap=None).collect())
+    back = spark.createDataFrame([(1, 2), (2, 1), (2, 3)], "src bigint, dst bigint")
+    assert [tuple(r) for r in S.two_hop_pairs(back, 3).collect()] == [(1, 3)]
 
 
 def test_split_fractions(spark):
