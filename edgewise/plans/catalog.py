@@ -4,8 +4,9 @@ Inputs are the driver's Parquet tables; the graphs are derived from them
 (``sources.graphs``). The link-prediction dataflow is the original one:
 sample a vertex set and its induced subgraph from the ``cp`` graph,
 draw labelled pairs on it, featurise the pairs on that subgraph, then
-split, score and evaluate. ``edge_features`` featurises every edge of
-the whole ``ev`` graph; ``two_hop_pairs``, degrees, reciprocity and the
+split, score and evaluate. The single feature queries and the baseline
+take those pairs as candidates on the whole ``cp`` graph; ``edge_features``
+featurises every edge of the whole ``ev`` graph; ``two_hop_pairs``, degrees, reciprocity and the
 other graph operators run on whole graphs.
 
 Within one session, the prepared graphs and samples are memoised so the
@@ -81,6 +82,12 @@ def labelled_features(spark, sf, seed=SEED_TRAIN):
     return _memo(spark, sf, f"features-{seed}", build)
 
 
+def whole_features(spark, sf):
+    """Features of the labelled pairs on the whole cp graph."""
+    return _memo(spark, sf, "whole-features", lambda: cut_lineage(
+        features.pair_features(sample(spark, sf)[2], cp_prepared(spark, sf))))
+
+
 def split_features(spark, sf):
     return sampling.train_val_test_split(labelled_features(spark, sf), SEED_SPLIT)
 
@@ -213,37 +220,37 @@ def q_train_val_test_split(spark, sf):
 # ---------------------------------------------------------------- features
 
 def q_pair_degrees(spark, sf):
-    return features.pair_degrees(sample(spark, sf)[2], sub_prepared(spark, sf))
+    return features.pair_degrees(sample(spark, sf)[2], cp_prepared(spark, sf))
 
 
 def q_total_friends(spark, sf):
-    return features.total_friends(sample(spark, sf)[2], sub_prepared(spark, sf))
+    return features.total_friends(sample(spark, sf)[2], cp_prepared(spark, sf))
 
 
 def q_common_friends(spark, sf):
-    return features.common_friends(sample(spark, sf)[2], sub_prepared(spark, sf))
+    return features.common_friends(sample(spark, sf)[2], cp_prepared(spark, sf))
 
 
 def q_shared_neighbour_rows(spark, sf):
-    return features.shared_neighbour_rows(sample(spark, sf)[2], sub_prepared(spark, sf))
+    return features.shared_neighbour_rows(sample(spark, sf)[2], cp_prepared(spark, sf))
 
 
 def q_friends_measure(spark, sf):
-    return features.friends_measure(sample(spark, sf)[2], sub_prepared(spark, sf))
+    return features.friends_measure(sample(spark, sf)[2], cp_prepared(spark, sf))
 
 
 def q_densities(spark, sf):
-    return labelled_features(spark, sf).select(
+    return whole_features(spark, sf).select(
         "u", "v", "u_in_density", "u_out_density", "u_bi_density",
         "v_in_density", "v_out_density", "v_bi_density")
 
 
 def q_pref_attachment(spark, sf):
-    return labelled_features(spark, sf).select("u", "v", "pref_attachment")
+    return whole_features(spark, sf).select("u", "v", "pref_attachment")
 
 
 def q_jaccard(spark, sf):
-    return labelled_features(spark, sf).select("u", "v", "jaccard_in", "jaccard_out")
+    return whole_features(spark, sf).select("u", "v", "jaccard_in", "jaccard_out")
 
 
 def q_pair_features(spark, sf):
@@ -263,16 +270,16 @@ def q_label_encode(spark, sf):
 
 
 def q_feature_subset(spark, sf):
-    return features.feature_subset(labelled_features(spark, sf), SVM_LR_FEATURES)
+    return features.feature_subset(whole_features(spark, sf), SVM_LR_FEATURES)
 
 
 def q_feature_vectors(spark, sf):
-    return features.feature_vectors(labelled_features(spark, sf), as_array=True)
+    return features.feature_vectors(whole_features(spark, sf), as_array=True)
 
 
 def q_features_roundtrip(spark, sf):
     path = scratch_dir(spark, "features")
-    files.write_features(labelled_features(spark, sf), path)
+    files.write_features(whole_features(spark, sf), path)
     return files.read_features(spark, path)
 
 
@@ -294,12 +301,12 @@ def q_pairs_scan(spark, sf):
 # ---------------------------------------------------------------- baseline
 
 def q_co_out_counts(spark, sf):
-    c = features.common_friends(sample(spark, sf)[2], sub_prepared(spark, sf))
+    c = features.common_friends(sample(spark, sf)[2], cp_prepared(spark, sf))
     return c.where(F.col("common_out") > 0).select("u", "v", F.col("common_out").alias("co_out"))
 
 
 def q_co_in_counts(spark, sf):
-    c = features.common_friends(sample(spark, sf)[2], sub_prepared(spark, sf))
+    c = features.common_friends(sample(spark, sf)[2], cp_prepared(spark, sf))
     return c.where(F.col("common_in") > 0).select("u", "v", F.col("common_in").alias("co_in"))
 
 
@@ -307,7 +314,7 @@ def q_baseline_features(spark, sf):
     """co-out and co-in counts joined with the labelled pairs (inner joins,
     label multiplicity kept)."""
     pairs = sample(spark, sf)[2]
-    c = features.common_friends(pairs, sub_prepared(spark, sf))
+    c = features.common_friends(pairs, cp_prepared(spark, sf))
     both = c.where((F.col("common_out") > 0) & (F.col("common_in") > 0))
     return both.join(pairs, ["u", "v"]).select("u", "v", F.col("common_out").alias("co_out"),
                                                F.col("common_in").alias("co_in"), "label")

@@ -221,6 +221,7 @@ def _scored_ctes():
 def oracle_sql() -> dict[str, str]:
     tr = train_ctes()
     ft = train_features()
+    fw = train_ctes() + feature_ctes("cp", f"{TR}pairs", "fw_")   # the pairs on the whole graph
     pv = "ftr_"
     q = {
         # graph core
@@ -281,39 +282,39 @@ def oracle_sql() -> dict[str, str]:
                                       f"AS split FROM (SELECT u, v, max(label) AS label FROM {TR}pairs "
                                       f"WHERE u <> v GROUP BY u, v) t"),
         # features
-        "pair_degrees": W(ft, f"SELECT u, v, u_degree, v_degree, u_in, u_out, v_in, v_out, label FROM {pv}pd"),
-        "total_friends": W(ft + _zero_pd(), "SELECT z.u, z.v, CAST(coalesce(tu.c, 0) AS BIGINT) AS total_out, "
+        "pair_degrees": W(fw, f"SELECT u, v, u_degree, v_degree, u_in, u_out, v_in, v_out, label FROM fw_pd"),
+        "total_friends": W(train_ctes() + _zero_pd(), "SELECT z.u, z.v, CAST(coalesce(tu.c, 0) AS BIGINT) AS total_out, "
                                             "CAST(coalesce(ti.c, 0) AS BIGINT) AS total_in FROM zp z "
                                             "LEFT JOIN ztout tu ON tu.u = z.u AND tu.v = z.v "
                                             "LEFT JOIN ztin ti ON ti.u = z.u AND ti.v = z.v"),
-        "common_friends": W(ft + _zero_pd(), "SELECT z.u, z.v, CAST(coalesce(co.c, 0) AS BIGINT) AS common_out, "
+        "common_friends": W(train_ctes() + _zero_pd(), "SELECT z.u, z.v, CAST(coalesce(co.c, 0) AS BIGINT) AS common_out, "
                                              "CAST(coalesce(ci.c, 0) AS BIGINT) AS common_in FROM zp z "
                                              "LEFT JOIN zco co ON co.u = z.u AND co.v = z.v "
                                              "LEFT JOIN zci ci ON ci.u = z.u AND ci.v = z.v"),
-        "shared_neighbour_rows": W(ft + _zero_pd(), f"SELECT z.u, z.v, a.dst AS x FROM zp z JOIN {TR}sub a "
-                                                    f"ON a.src = z.u JOIN {TR}sub b ON b.src = z.v AND b.dst = a.dst"),
-        "friends_measure": W(ft + _zero_pd(), "SELECT z.u, z.v, CAST(coalesce(fm.c, 0) AS BIGINT) AS friends_measure "
+        "shared_neighbour_rows": W(train_ctes() + _zero_pd(), f"SELECT z.u, z.v, a.dst AS x FROM zp z JOIN cp a "
+                                                    f"ON a.src = z.u JOIN cp b ON b.src = z.v AND b.dst = a.dst"),
+        "friends_measure": W(train_ctes() + _zero_pd(), "SELECT z.u, z.v, CAST(coalesce(fm.c, 0) AS BIGINT) AS friends_measure "
                                               "FROM zp z LEFT JOIN zfm fm ON fm.u = z.u AND fm.v = z.v"),
-        "densities": W(ft, f"SELECT u, v, u_in_density, u_out_density, u_bi_density, v_in_density, v_out_density, "
-                           f"v_bi_density FROM {pv}feat"),
-        "pref_attachment": W(ft, f"SELECT u, v, pref_attachment FROM {pv}feat"),
-        "jaccard": W(ft, f"SELECT u, v, jaccard_in, jaccard_out FROM {pv}feat"),
+        "densities": W(fw, f"SELECT u, v, u_in_density, u_out_density, u_bi_density, v_in_density, v_out_density, "
+                           f"v_bi_density FROM fw_feat"),
+        "pref_attachment": W(fw, f"SELECT u, v, pref_attachment FROM fw_feat"),
+        "jaccard": W(fw, f"SELECT u, v, jaccard_in, jaccard_out FROM fw_feat"),
         "pair_features": W(ft, f"SELECT * FROM {pv}feat"),
         "pair_features_test": _test_features_sql(),
         "edge_features": _edge_features_sql(),
         "label_encode": W(tr, f"SELECT u, v, label, {LABEL_VALUE} AS label_value FROM {TR}pairs"),
-        "feature_subset": W(ft, f"SELECT u, v, {', '.join(FEATURE_NAMES[i] for i in SVM_LR_FEATURES)}, "
-                                f"{LABEL_VALUE} AS label_value FROM {pv}feat"),
-        "feature_vectors": W(ft, f"SELECT u, v, {LABEL_VALUE} AS label_value, "
+        "feature_subset": W(fw, f"SELECT u, v, {', '.join(FEATURE_NAMES[i] for i in SVM_LR_FEATURES)}, "
+                                f"{LABEL_VALUE} AS label_value FROM fw_feat"),
+        "feature_vectors": W(fw, f"SELECT u, v, {LABEL_VALUE} AS label_value, "
                                  f"[{', '.join(f'CAST({c} AS DOUBLE)' for c in FEATURE_NAMES)}] AS features "
-                                 f"FROM {pv}feat"),
-        "features_roundtrip": W(ft, f"SELECT * FROM {pv}feat"),
+                                 f"FROM fw_feat"),
+        "features_roundtrip": W(fw, f"SELECT * FROM fw_feat"),
         "edge_list_scan": _graph_q("SELECT src, dst FROM ev_raw"),
         "pairs_scan": W(tr, f"SELECT * FROM {TR}pairs"),
         # baseline
-        "co_out_counts": W(ft + _zero_pd(), "SELECT u, v, CAST(c AS BIGINT) AS co_out FROM zco"),
-        "co_in_counts": W(ft + _zero_pd(), "SELECT u, v, CAST(c AS BIGINT) AS co_in FROM zci"),
-        "baseline_features": W(ft + _zero_pd(), f"SELECT a.u, a.v, CAST(a.c AS BIGINT) AS co_out, "
+        "co_out_counts": W(train_ctes() + _zero_pd(), "SELECT u, v, CAST(c AS BIGINT) AS co_out FROM zco"),
+        "co_in_counts": W(train_ctes() + _zero_pd(), "SELECT u, v, CAST(c AS BIGINT) AS co_in FROM zci"),
+        "baseline_features": W(train_ctes() + _zero_pd(), f"SELECT a.u, a.v, CAST(a.c AS BIGINT) AS co_out, "
                                                 f"CAST(b.c AS BIGINT) AS co_in, p.label FROM zco a "
                                                 f"JOIN zci b ON a.u = b.u AND a.v = b.v "
                                                 f"JOIN {TR}pairs p ON p.u = a.u AND p.v = a.v"),
@@ -349,7 +350,7 @@ def _two_hop_full():
 
 def _zero_pd():
     """Pair-level counts with isolated endpoints kept (zero degrees)."""
-    e = f"{TR}sub"
+    e = "cp"
     return [
         ("zp", f"SELECT u, v, max(label) AS label FROM {TR}pairs WHERE u <> v GROUP BY u, v"),
         ("zco", f"SELECT q.u, q.v, count(*) AS c FROM zp q JOIN {e} a ON a.src = q.u "
