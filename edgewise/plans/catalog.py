@@ -369,12 +369,48 @@ def q_gbt_scores(spark, sf):
     return models.gbt_scores(*_train_test(spark, sf), score_mode="label")
 
 
+MODELS = ("svm", "logreg", "nb", "rf", "gbt")
+
+
+def _all_scores(spark, sf):
+    """(model, u, v, score, label) of all five models on the test split, in 0/1 predictions."""
+    def build():
+        out = None
+        for kind in MODELS:
+            s = models.model_scores(*_train_test(spark, sf), kind, score_mode="label").withColumn("model", F.lit(kind))
+            out = s if out is None else out.unionByName(s)
+        return cut_lineage(out)
+    return _memo(spark, sf, "all-scores", build)
+
+
+def q_model_score_rows(spark, sf):
+    """Every scored row of every model, and whether its score is a 0/1 prediction."""
+    return _all_scores(spark, sf).select("model", "u", "v", "label", F.col("score").isin(0.0, 1.0).alias("valid"))
+
+
+def q_model_confusion(spark, sf):
+    """Per model: counts that add up to the split; the hard AUC is chance or better.
+
+    Small samples have few positives, where 0/1 predictions may all be 0: chance.
+    """
+    s = _all_scores(spark, sf)
+    hit, yes = F.col("score") == 1.0, F.col("label") == 1.0
+    c = s.groupBy("model").agg(
+        F.count_if(yes).alias("positives"), F.count_if(~yes).alias("negatives"),
+        F.count_if(hit & yes).alias("tp"), F.count_if(hit & ~yes).alias("fp"),
+        F.count_if(~hit & yes).alias("fn"), F.count_if(~hit & ~yes).alias("tn"))
+    hard = (F.col("tp") / F.col("positives") + F.col("tn") / F.col("negatives")) / 2
+    return c.select("model", "positives", "negatives",
+                    (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("n_rows"),
+                    (hard >= 0.5).alias("chance_or_better"))
+
+
 def q_holdout_eval(spark, sf):
     """Train on the train-seed sample, evaluate on the test-seed sample."""
     train = labelled_features(spark, sf)
     test = labelled_features(spark, sf, SEED_TEST)
     rows = []
-    for kind in ("svm", "logreg", "nb", "rf", "gbt"):
+    for kind in MODELS:
         s = models.model_scores(train, test, kind, score_mode="label")
         c = evaluate.confusion_counts(s).first()
         rows.append((kind, float(c["hard_auc"]) if c["hard_auc"] is not None else None))

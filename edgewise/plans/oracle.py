@@ -9,7 +9,9 @@ global ROW_NUMBER. Only the fixed hash and parameters are shared.
 
 from __future__ import annotations
 
-from edgewise.functions.features import FEATURE_COLUMNS, FEATURE_NAMES, SVM_LR_FEATURES, derived_sql
+from edgewise.functions.features import (
+    FEATURE_COLUMNS, FEATURE_NAMES, NB_FEATURES, SVM_LR_FEATURES, derived_sql,
+)
 from edgewise.functions.hashing import (
     SEED_SPLIT, SEED_TEST, SEED_TRAIN, pair_hash_sql as H, poisson_copies_sql, threshold, wide_hash_sql as HW,
 )
@@ -199,6 +201,22 @@ def _heuristic_sql() -> str:
     return W(ctes, " UNION ALL ".join(final))
 
 
+def _naive_bayes_sql() -> str:
+    """Multinomial naive Bayes with add-one smoothing in closed form: the 0/1 prediction of every test row."""
+    cols = [FEATURE_NAMES[i] for i in NB_FEATURES]
+    k = len(cols)
+    sums = ", ".join(f"sum(CAST({c} AS DOUBLE)) AS s{i}" for i, c in enumerate(cols))
+    total = " + ".join(f"s{i}" for i in range(k))
+    theta = ", ".join(f"ln(s{i} + 1.0) - ln({total} + {float(k)}) AS t{i}" for i in range(k))
+    margin = " + ".join(f"CAST(x.{c} AS DOUBLE) * (b.t{i} - a.t{i})" for i, c in enumerate(cols))
+    ctes = split_ctes() + [
+        ("nb_s", f"SELECT {LABEL_VALUE} AS y, count(*) AS n, {sums} FROM spl WHERE split = 0 GROUP BY y"),
+        ("nb_t", f"SELECT y, ln(n + 1.0) AS p, {theta} FROM nb_s")]
+    return W(ctes, f"SELECT x.u, x.v, CASE WHEN b.p - a.p + {margin} > 0 THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END "
+                   f"AS score, {LABEL_VALUE} AS label FROM spl x JOIN nb_t a ON a.y = 0.0 JOIN nb_t b ON b.y = 1.0 "
+                   f"WHERE x.split = 2")
+
+
 def _graph_q(final: str, extra=()) -> str:
     return W(base_graphs() + list(extra), final)
 
@@ -340,6 +358,14 @@ def oracle_sql() -> dict[str, str]:
                            "(2.0 * CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) END AS auc, "
                            "CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives FROM sp"),
         "forward_selection_heuristic": _heuristic_sql(),
+        # models
+        "nb_scores": _naive_bayes_sql(),
+        "model_score_rows": W(split_ctes(), f"SELECT m.model, u, v, {LABEL_VALUE} AS label, true AS valid FROM spl, "
+                              "(VALUES ('svm'), ('logreg'), ('nb'), ('rf'), ('gbt')) m(model) WHERE split = 2"),
+        "model_confusion": W(split_ctes(), "SELECT m.model, CAST(count(*) FILTER (WHERE label = 'Y') AS BIGINT) AS positives, "
+                             "CAST(count(*) FILTER (WHERE label <> 'Y') AS BIGINT) AS negatives, count(*) AS n_rows, "
+                             "true AS chance_or_better FROM spl, (VALUES ('svm'), ('logreg'), ('nb'), ('rf'), ('gbt')) m(model) "
+                             "WHERE split = 2 GROUP BY m.model"),
     }
     return q
 
