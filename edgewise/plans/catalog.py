@@ -9,14 +9,12 @@ take those pairs as candidates on the whole ``cp`` graph; ``edge_features``
 featurises every edge of the whole ``ev`` graph; ``two_hop_pairs``, degrees, reciprocity and the
 other graph operators run on whole graphs.
 
-Within one session, the prepared graphs and samples are memoised so the
-queries of one run share them.
+Within one application, the prepared graphs and samples are written once and
+shared by its queries; ``forget`` drops them (the bench does, for cold times).
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +28,13 @@ from edgewise.sources import files, graphs
 _MEMO: dict = {}
 
 
+def forget() -> None:
+    """Drop the stored inputs: the next query builds its own."""
+    _MEMO.clear()
+
+
 def _memo(spark: SparkSession, sf: str, key: str, build):
-    k = (id(spark), os.path.abspath(sf), key)
+    k = (spark.sparkContext.applicationId, sf, key)
     if k not in _MEMO:
         _MEMO[k] = build()
     return _MEMO[k]
