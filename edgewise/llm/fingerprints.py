@@ -186,7 +186,7 @@ def fingerprint_report(docs: DataFrame, rows_in_range: int = ROWS_IN_RANGE) -> D
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", key, F.coalesce("text", F.lit("")).alias("text"))
     placed = rows.mapInArrow(seated, f"doc_id {id_type}, key bigint, text string, seat int, guest tinyint") \
-        .repartition(len(cuts) + 1, "seat").sortWithinPartitions("seat", "guest", "key", F.md5("text"))
+        .repartitionById(len(cuts) + 1, "seat").sortWithinPartitions("seat", "guest", "key", F.md5("text"))
     return placed.select("doc_id", "text", "seat", "guest").mapInArrow(_report, f"doc_id {id_type}, {_OUT}")
 
 
