@@ -42,7 +42,7 @@ LENGTH = 100
 ANCHOR = 32
 HOT_RUNS = 20_000
 #: Bytes that one round of suffix sorting takes.
-SORT_BYTES = 4_000_000
+SORT_BYTES = 1_500_000
 ROWS_IN_BUCKET = 8_000
 
 _U = np.uint64
@@ -206,9 +206,12 @@ def _stretches(offsets: np.ndarray, length: int) -> list[tuple[int, int]]:
 
 
 def _bucketed(texts: DataFrame, rows: int) -> DataFrame:
-    """The texts as a table bucketed by id in the shared folder."""
+    """The texts as a table bucketed by id in the shared folder.
+
+    With fewer buckets than the session's shuffle partitions, the planner would shuffle the table again.
+    """
     spark = texts.sparkSession
-    n = max(8, rows // ROWS_IN_BUCKET)
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // ROWS_IN_BUCKET)
     name = f"edgewise_texts_{uuid.uuid4().hex}"
     path = f"{shared_folder(spark)}/{name}"
     texts.repartition(n, "id").write.bucketBy(n, "id").option("path", path).saveAsTable(name)
@@ -281,7 +284,7 @@ def _marks(texts: DataFrame, length: int, hot_runs: int) -> tuple[DataFrame, Dat
             for i, t in enumerate(b.column("text")):
                 held.append(t.as_py().encode())
                 size += len(held[-1])
-                if size > SORT_BYTES // 4 or i + 1 == b.num_rows:
+                if size > 1_000_000 or i + 1 == b.num_rows:
                     doc, a, n, anchor, content, inside = runs(held, length)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(ids[first:][doc]), pa.array(a.astype(np.int32)), pa.array(n.astype(np.int32)),
