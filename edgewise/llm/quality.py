@@ -38,6 +38,8 @@ QUANTILE = 0.99
 MARGIN = 0.15
 #: Grams of the finished tables (16 bytes each) that are sent to every task.
 BROADCAST_GRAMS = 4_000_000
+#: Documents whose grams a task holds at a time.
+SCORED_ROWS = 500
 #: Language of the model that serves null and unknown languages.
 ANY = "*"
 
@@ -230,7 +232,7 @@ def perplexities(docs: DataFrame, model: DataFrame, broadcast_grams: int = BROAD
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _received(sent)
-        for b in batches:
+        for b in (whole.slice(at, SCORED_ROWS) for whole in batches for at in range(0, whole.num_rows, SCORED_ROWS)):
             lang = b.column("lang").to_pylist()
             grams = [packed_grams(t.as_py() or "") for t in b.column("text")]
             n = np.array([len(g) for g in grams], np.int64)
@@ -292,7 +294,8 @@ def quality_report(docs: DataFrame, labels: DataFrame, quantile: float = QUANTIL
     trusted = labels.groupBy("doc_id").agg(F.min("quality").alias("q")).where((F.col("q") == 1) & F.col("doc_id").isNotNull()) \
         .select("doc_id")
     train_ids = trusted.where(~_held_out(F.col("doc_id")))
-    model = train(docs.select("doc_id", "text", "lang").join(train_ids, "doc_id", "left_semi"))
+    # labels grow with the corpus: this join is a shuffle at every size
+    model = train(docs.select("doc_id", "text", "lang").join(train_ids.hint("shuffle_merge"), "doc_id", "left_semi"))
     scored = stored(perplexities(docs, model, broadcast_grams), "perplexities")
     held = scored.join(trusted.where(_held_out(F.col("doc_id"))), "doc_id", "left_semi").where(F.col("n") > 0)
     cut = F.expr(f"approx_percentile(log_ppl, {quantile}, 10000)") + margin
