@@ -8,9 +8,10 @@ furniture, greetings) are left alone.
 Bands are tuned for recall: as few as give ``RECALL`` at the threshold.
 Paragraphs that share a band are compared by the exact Jaccard similarity of
 their sets of five-word shingles. A bucket is not paired out: its members are
-first compared with its smallest and its largest member; what that leaves in
-different components within one bucket is then compared pair by pair, so no
-link is lost, while a large bucket of near copies costs a star. Components of
+first compared with its smallest and its largest member, then, where the bucket
+still holds several components, with ``PIVOTS`` more; what that leaves in
+different components within one bucket is compared pair by pair, so no link is
+lost, while a large bucket of near copies costs some stars. Components of
 verified links are the classes; of each class the first paragraph in the
 corpus stays.
 
@@ -41,6 +42,8 @@ BAND_ROWS = 2
 MIN_WORDS = 14
 #: Shorter sentences are taken together with the next.
 SENTENCE_WORDS = 4
+#: Members that the others of a bucket are compared with before pairs across components are formed.
+PIVOTS = 8
 #: Text that one round of numpy work takes.
 BATCH_CHARS = 1_000_000
 
@@ -185,6 +188,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
         .where(common >= threshold * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
+def _open_members(members: DataFrame, linked: DataFrame) -> DataFrame:
+    """(unit, h, c) of the buckets that hold more than one component."""
+    bucket = Window.partitionBy("h")
+    labelled = members.join(linked, F.col("unit") == F.col("node"), "left") \
+        .select("unit", "h", F.coalesce("component", "unit").alias("c")).repartition("h") \
+        .withColumn("low", F.min("c").over(bucket)).withColumn("high", F.max("c").over(bucket))
+    return stored(labelled.where(F.col("low") != F.col("high")).select("unit", "h", "c"), "open_buckets")
+
+
 def paragraph_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """(doc_id, key, start, stop, class_doc_id, class_key, class_start): paragraphs of classes with two or more.
 
@@ -207,19 +219,22 @@ def paragraph_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: flo
                   .select(unit.alias("a"), F.col("high").alias("b"))).distinct()
     links = stored(_verified(stars, sets, threshold), "links")
     linked = stored(connected_components(links), "components")
-    # buckets whose members are not all in one component: the other pairs across components
-    labelled = members.join(linked, unit == F.col("node"), "left") \
-        .select("unit", "h", "low", "high", F.coalesce("component", "unit").alias("c")).repartition("h") \
-        .withColumn("c_low", F.min("c").over(bucket)).withColumn("c_high", F.max("c").over(bucket)) \
-        .where((F.col("c_low") != F.col("c_high")) & (unit != F.col("low")) & (unit != F.col("high")))
-    labelled = stored(labelled.select("unit", "h", "c"), "open_buckets")
-    x = labelled.select(unit.alias("a"), "h", F.col("c").alias("ca"))
-    y = labelled.select(unit.alias("b"), "h", F.col("c").alias("cb"))
-    rest = x.join(y, "h").where(F.col("ca") < F.col("cb")).select("a", "b").distinct()
-    more = stored(_verified(rest, sets, threshold), "links")
-    if not more.isEmpty():
-        linked = stored(connected_components(linked.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more)),
-                        "components")
+    # buckets whose members are not all in one component: more stars there, then the pairs across components
+    for stars_only in (True, False):
+        labelled = _open_members(members, linked)
+        if stars_only:
+            few = Window.partitionBy("h").orderBy(F.xxhash64("unit", "h"))
+            y = labelled.withColumn("place", F.row_number().over(few)).where(F.col("place") <= PIVOTS)
+        else:
+            y = labelled
+        x = labelled.select(unit.alias("a"), "h", F.col("c").alias("ca"))
+        y = y.select(unit.alias("b"), "h", F.col("c").alias("cb"))
+        differ = F.col("ca") != F.col("cb") if stars_only else F.col("ca") < F.col("cb")
+        rest = x.join(y, "h").where(differ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        more = stored(_verified(rest, sets, threshold), "links")
+        if not more.isEmpty():
+            known = linked.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            linked = stored(connected_components(known.unionAll(more)), "components")
     named = points.join(linked, unit == F.col("node"), "left") \
         .select("unit", "n", "first", F.coalesce("component", "unit").alias("component"), F.col("node").isNotNull().alias("linked")) \
         .where((F.col("n") > 1) | F.col("linked"))
