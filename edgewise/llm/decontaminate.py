@@ -45,11 +45,6 @@ def benchmark_windows(benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
     return items.select("item_id", size.alias("len"), F.explode(grams).alias("gram"))
 
 
-def _hash_of(words: Column, start: Column, k: int) -> Column:
-    """Hash of ``k`` words from ``start`` (0-based); plain column code, so it is compiled into the scan."""
-    return F.xxhash64(*[F.get(words, start + i) for i in range(k)])
-
-
 def contaminated_windows(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW,
                          broadcast_windows: int = BROADCAST_WINDOWS) -> tuple[DataFrame, DataFrame]:
     """Hits (doc_id, key, start, len, gram) of the documents, and the windows (item_id, len, gram)."""
@@ -63,8 +58,8 @@ def contaminated_windows(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW,
     for k in sorted(lengths):
         starts = F.when(F.size("w") >= k, F.sequence(F.lit(0), F.size("w") - k))
         probes = words.select("doc_id", "key", "w", F.explode(starts).alias("start")) \
-            .withColumn("h", _hash_of(F.col("w"), F.col("start"), k))
-        side = grams.where(F.col("len") == k).select("gram", _hash_of(F.split("gram", " "), F.lit(0), k).alias("h"))
+            .withColumn("h", F.xxhash64(F.slice("w", F.col("start") + 1, k)))
+        side = grams.where(F.col("len") == k).select("gram", F.xxhash64(F.split("gram", " ")).alias("h"))
         if small:
             side = F.broadcast(side)
         here = F.concat_ws(" ", F.slice("w", F.col("start") + 1, k))
