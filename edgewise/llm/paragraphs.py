@@ -2,8 +2,10 @@
 
 A paragraph is a line, or a part of a long line: sentences are grouped up to
 the next one whose hash is a local minimum, so the same passage is cut alike
-behind any lead-in. Paragraphs of fewer than ``MIN_WORDS`` words (page
-furniture, greetings) are left alone.
+behind any lead-in. Every paragraph that holds a word takes part; words are
+what ASCII blanks part, as in the normalised text. One of fewer than
+``SHINGLE`` words is a single shingle, its whole text, so it is alike to its
+exact copies only and forms no bands.
 
 Bands are tuned for recall: as few as give ``RECALL`` at the threshold.
 Paragraphs that share a band are compared by the exact Jaccard similarity of
@@ -15,7 +17,8 @@ lost, while a large bucket of near copies costs some stars. Components of
 verified links are the classes; of each class the first paragraph in the
 corpus stays.
 
-Equal paragraphs are one point from the start. Defined cases: null or short
+Equal paragraphs are one point from the start, so a line that a large part of
+the texts share costs one point in the joins. Defined cases: null or blank
 texts have no paragraphs; rows that repeat id and text count as one document
 and are reported each; rows without an id come first; an empty table gives an
 empty result; further columns are ignored by the report, kept by
@@ -39,7 +42,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.99
 BAND_ROWS = 2
-MIN_WORDS = 14
+#: Words of the shortest paragraph.
+MIN_WORDS = 1
 #: Shorter sentences are taken together with the next.
 SENTENCE_WORDS = 4
 #: Members that the others of a bucket are compared with before pairs across components are formed.
@@ -73,7 +77,7 @@ def paragraphs(text: str) -> list[tuple[int, int]]:
             h = [xxh64_intdigest(_normal(line[a:b])) for a, b in zip(cuts, cuts[1:])]
             cuts = [0, *[cuts[i] for i in range(1, len(h) - 1) if h[i - 1] > h[i] < h[i + 1]], len(line)]
         for a, b in zip(cuts, cuts[1:]):
-            if line.count(" ", a, b) + 1 >= MIN_WORDS:
+            if len(_normal(line[a:b]).split()) >= MIN_WORDS:
                 out.append((at + a, at + b))
         at += len(line) + 1
     return out
@@ -106,7 +110,9 @@ def shingle_arrays(units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(units: list[bytes], bands: int, rows: int = BAND_ROWS) -> np.ndarray:
-    """Band hashes, one line per unit; every unit must have a shingle."""
+    """Band hashes, one line per unit; every unit must have a five-word shingle."""
+    if not units:
+        return np.zeros((0, bands), np.uint64)
     s, count = shingle_arrays(units)
     begin = np.concatenate(([0], np.cumsum(count)[:-1])).astype(np.int64)
     odd = np.random.default_rng(8).integers(1, 1 << 63, bands * rows, dtype=np.uint64) | _U(1)
@@ -125,7 +131,10 @@ def _normal(text: str) -> bytes:
 
 
 def paragraph_units(docs: DataFrame, bands: int) -> DataFrame:
-    """(doc_id, key, start, stop, unit, bands) of every paragraph; ``unit`` names its normalised text."""
+    """(doc_id, key, start, stop, unit, bands) of every paragraph; ``unit`` names its normalised text.
+
+    Paragraphs without a five-word shingle have no bands.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest
 
@@ -134,21 +143,21 @@ def paragraph_units(docs: DataFrame, bands: int) -> DataFrame:
             for i, t in enumerate(b.column("text")):
                 text = t.as_py() or ""
                 for a, e in paragraphs(text):
-                    unit = _normal(text[a:e])
-                    if unit.count(b" ") + 1 >= MIN_WORDS:
-                        who.append(i)
-                        start.append(a)
-                        stop.append(e)
-                        units.append(unit)
+                    who.append(i)
+                    start.append(a)
+                    stop.append(e)
+                    units.append(_normal(text[a:e]))
                 size += len(text)
                 if units and (size > BATCH_CHARS or i + 1 == b.num_rows):
-                    sig = signatures(units, bands).view(np.int64)
+                    long = np.array([u.count(b" ") >= SHINGLE - 1 for u in units])
+                    sig = signatures([u for u, x in zip(units, long) if x], bands).view(np.int64)
+                    ends = np.concatenate(([0], np.cumsum(long * bands))).astype(np.int32)
                     take = pa.array(who, pa.int32())
                     yield pa.RecordBatch.from_arrays(
                         [b.column("doc_id").take(take), b.column("key").take(take), pa.array(start, pa.int32()),
                          pa.array(stop, pa.int32()),
                          pa.array(np.array([xxh3_64_intdigest(u) for u in units], np.uint64).view(np.int64)),
-                         pa.ListArray.from_arrays(pa.array(np.arange(len(units) + 1, dtype=np.int32) * bands), pa.array(sig.ravel()))],
+                         pa.ListArray.from_arrays(pa.array(ends), pa.array(sig.ravel()))],
                         ["doc_id", "key", "start", "stop", "unit", "bands"])
                     who, start, stop, units, size = [], [], [], [], 0
 

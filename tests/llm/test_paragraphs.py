@@ -70,3 +70,45 @@ def test_repeated_rows_and_an_empty_table(spark):
 def test_bands_reach_the_recall():
     bands = P.tuned_bands()
     assert 1 - (1 - P.THRESHOLD ** P.BAND_ROWS) ** bands >= P.RECALL > 1 - (1 - P.THRESHOLD ** P.BAND_ROWS) ** (bands - 1)
+
+
+def line_brute(docs):
+    """n_removed per document index, with every line that holds a word as a paragraph; uses nothing of the module."""
+    where, sets = [], []
+    for i, t in docs:
+        for line in (t or "").split("\n"):
+            w = line.encode().lower().split()
+            if w:
+                where.append(i)
+                sets.append({tuple(w[j:j + 5]) for j in range(max(1, len(w) - 4))})
+    head = list(range(len(sets)))
+
+    def find(x):
+        while head[x] != x:
+            x = head[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) >= 0.8 * len(a | sets[j]):
+                head[max(find(i), find(j))] = min(find(i), find(j))
+    return Counter(where[i] for i in range(len(sets)) if find(i) != i)
+
+
+def test_short_and_hot_lines_are_paragraphs(spark):
+    rng = random.Random(5)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(n))
+
+    hot, pool = words(9), [words(n) for n in range(1, 15)]
+    docs = []
+    for i in range(60):
+        lines = [words(rng.randrange(1, 20)) for _ in range(3)] + [rng.choice(pool), rng.choice([hot, hot.replace(" ", "\t"), hot.upper() + "  "])]
+        rng.shuffle(lines)
+        docs.append((i, "\n".join([*lines, "", " \t"])))
+    docs += [(60, pool[13] + "\n" + pool[13].replace(" ", " \t ")), (61, None), (62, " \n\t\n")]
+    got = {r.doc_id: r for r in P.repeat_report(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    want = line_brute(docs)
+    assert {i: r.n_removed for i, r in got.items() if r.n_removed} == dict(want)
+    assert sum(want.values()) > 100 and got[62].n_members == 0
