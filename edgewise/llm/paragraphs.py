@@ -1,8 +1,14 @@
 """Substring dedup by MinHash banding of paragraphs.
 
 A paragraph is a line, or a part of a long line: sentences are grouped up to
-the next one whose hash is a local minimum, so the same passage is cut alike
-behind any lead-in. Every paragraph that holds a word takes part; words are
+the next one whose hash is a local minimum. Two copies of a passage inside
+longer lines often hold no whole part in common, so lines of ``PASSAGE_WORDS``
+and more have a second kind of unit: ``UNIT_WORDS`` words from each place whose
+hash is the least of any ``PASSAGE_WORDS - UNIT_WORDS + 1`` places in a row.
+Every run of ``PASSAGE_WORDS`` words holds such a place with its whole unit,
+whatever stands before or after it and with or without sentence ends. These
+overlapping units are settled by equality alone: one changed word moves a unit
+of this size below the threshold anyway. Every paragraph that holds a word takes part; words are
 what ASCII blanks part, as in the normalised text. One of fewer than
 ``SHINGLE`` words is a single shingle, its whole text, so it is alike to its
 exact copies only and forms no bands.
@@ -32,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from edgewise.llm.common import fresh, row_key, stored
@@ -44,6 +50,9 @@ RECALL = 0.99
 BAND_ROWS = 2
 #: Words of the shortest paragraph.
 MIN_WORDS = 1
+#: Equal runs of so many words inside lines are always found, by units of so many words.
+PASSAGE_WORDS = 50
+UNIT_WORDS = 25
 #: Shorter sentences are taken together with the next.
 SENTENCE_WORDS = 4
 #: Members that the others of a bucket are compared with before pairs across components are formed.
@@ -166,6 +175,81 @@ def paragraph_units(docs: DataFrame, bands: int) -> DataFrame:
         run, f"doc_id {id_type}, key bigint, start int, stop int, unit bigint, bands array<bigint>")
 
 
+def _sliding(least, x: np.ndarray, width: int) -> np.ndarray:
+    """The least (or most, as the ufunc says) of every ``width`` numbers in a row."""
+    n, k = len(x) - width + 1, 1
+    while 2 * k <= width:
+        x = least(x[:-k], x[k:])
+        k *= 2
+    return least(x[:n], x[width - k: width - k + n])
+
+
+def passages(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, start, stop, unit) of the passage units: index of the text, code points in it, hash of the words."""
+    from xxhash import xxh64_intdigest
+
+    low = "\n".join(texts).encode().translate(_LOWER)
+    raw = np.frombuffer(low, np.uint8)
+    word = np.concatenate(([0], ~np.isin(raw, np.frombuffer(b" \t\n\r\x0b\x0c", np.uint8)), [0])).astype(np.int8)
+    begin, end = np.nonzero(np.diff(word) == 1)[0], np.nonzero(np.diff(word) == -1)[0]
+    n, width = len(begin), PASSAGE_WORDS - UNIT_WORDS + 1
+    if n < PASSAGE_WORDS:
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
+    h = np.array([xxh64_intdigest(w) for w in low.split()], np.uint64)
+    line = np.cumsum(raw == 10)[begin]
+    pair = _mixed(_mixed(h[:-1]) + h[1:])
+    inside = (line[:n - width] == line[width:]) & (np.bincount(line)[line] >= PASSAGE_WORDS)[:n - width]
+    least = np.where(inside, _sliding(np.minimum, pair, width), _U(0))
+    edge = np.zeros(width - 1, np.uint64)
+    chosen = (_sliding(np.maximum, np.concatenate((edge, least, edge)), width) == pair) & (pair > 0)
+    at = np.nonzero(chosen[:n - UNIT_WORDS + 1])[0]
+    at = at[line[at] == line[at + UNIT_WORDS - 1]]
+    unit = h[at]
+    for i in range(1, UNIT_WORDS):
+        unit = _mixed(unit) + h[at + i]
+    point = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))
+    first = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
+    start = point[begin[at]]
+    who = np.searchsorted(first, start, side="right") - 1
+    return who, start - first[who], point[end[at + UNIT_WORDS - 1]] - first[who], _mixed(unit)
+
+
+def passage_units(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, start, stop, unit) of every passage unit."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            held, size, first = [], 0, 0
+            for i, t in enumerate(b.column("text")):
+                held.append(t.as_py() or "")
+                size += len(held[-1])
+                if size > BATCH_CHARS or i + 1 == b.num_rows:
+                    who, start, stop, unit = passages(held)
+                    take = pa.array(who + first)
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column("doc_id").take(take), b.column("key").take(take), pa.array(start.astype(np.int32)),
+                         pa.array(stop.astype(np.int32)), pa.array(unit.view(np.int64))],
+                        ["doc_id", "key", "start", "stop", "unit"])
+                    held, size, first = [], 0, i + 1
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), "text").mapInArrow(
+        run, f"doc_id {id_type}, key bigint, start int, stop int, unit bigint")
+
+
+def passage_repeats(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, start, stop, class_doc_id): passage units that stand earlier in the corpus.
+
+    One that overlaps the first itself, as in a text of one repeated word, is left.
+    """
+    units = stored(passage_units(docs), "passages")
+    heads = units.groupBy("unit").agg(F.min(F.struct("doc_id", "key", "start", "stop")).alias("head"), F.count("*").alias("n")) \
+        .where(F.col("n") > 1).select("unit", "head")
+    own = F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("key") == F.col("head.key")) \
+        & (F.col("start") < F.col("head.stop"))
+    return units.join(heads, "unit").where(~own) \
+        .select("doc_id", "key", "start", "stop", F.col("head.doc_id").alias("class_doc_id"))
+
+
 def _shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(unit, set) of the paragraphs at (doc_id, key, start, stop, unit)."""
     lists = wanted.groupBy(F.col("doc_id").alias("d"), F.col("key").alias("k")) \
@@ -255,37 +339,58 @@ def paragraph_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: flo
         F.col("head.key").alias("class_key"), F.col("head.start").alias("class_start"))
 
 
-def _removed(classes: DataFrame) -> DataFrame:
-    """(d, k, n_members, cut, class_doc_ids): per document its paragraphs in classes, and those that are not the first."""
+def _merged(spans: Column) -> Column:
+    """Sorted spans with those that overlap made one."""
+    def add(done: Column, x: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        longer = F.struct(last["start"].alias("start"), F.greatest(last["stop"], x["stop"]).alias("stop"))
+        return F.when(F.coalesce(last["stop"] > x["start"], F.lit(False)),
+                      F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))).otherwise(F.concat(done, F.array(x)))
+
+    return F.aggregate(spans, F.array().cast("array<struct<start:int,stop:int>>"), add)
+
+
+def _removed(classes: DataFrame, repeats: DataFrame) -> DataFrame:
+    """(d, k, n_members, n_removed, n_passages, cut, class_doc_ids): per document its paragraphs in classes and what goes.
+
+    Paragraphs that are not the first and passage units that stand earlier go; ``cut`` is their union.
+    """
     head = F.col("doc_id").eqNullSafe(F.col("class_doc_id")) & (F.col("key") == F.col("class_key")) & (F.col("start") == F.col("class_start"))
-    later = F.when(~head, F.struct("start", "stop"))
-    return classes.groupBy(F.col("doc_id").alias("d"), F.col("key").alias("k")).agg(
-        F.countDistinct("start").alias("n_members"), F.array_sort(F.collect_set(later)).alias("cut"),
-        F.array_sort(F.collect_set(F.when(~head, F.col("class_doc_id")))).alias("class_doc_ids"))
+    both = classes.select("doc_id", "key", "start", "stop", "class_doc_id", F.lit(True).alias("whole"), (~head).alias("later")) \
+        .unionAll(repeats.select("doc_id", "key", "start", "stop", "class_doc_id", F.lit(False), F.lit(True)))
+    span, later, whole = F.struct("start", "stop"), F.col("later"), F.col("whole")
+    return both.groupBy(F.col("doc_id").alias("d"), F.col("key").alias("k")).agg(
+        F.countDistinct(F.when(whole, F.col("start"))).alias("n_members"),
+        F.collect_set(F.when(later & whole, span)).alias("p"), F.collect_set(F.when(later & ~whole, span)).alias("q"),
+        F.array_sort(F.collect_set(F.when(later, F.col("class_doc_id")))).alias("class_doc_ids")) \
+        .select("d", "k", "n_members", F.size("p").cast("bigint").alias("n_removed"), F.size("q").cast("bigint").alias("n_passages"),
+                _merged(F.array_sort(F.concat("p", "q"))).alias("cut"), "class_doc_ids")
 
 
 def repeat_report(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """One row per document row: doc_id, n_members, n_removed, n_chars_removed, spans, class_doc_ids.
+    """One row per document row: doc_id, n_members, n_removed, n_passages, n_chars_removed, spans, class_doc_ids.
 
     ``n_members`` paragraphs belong to a class of two or more, ``n_removed`` of
-    them are not its first; ``class_doc_ids`` hold the first ones.
+    them are not its first; ``n_passages`` passage units stand earlier;
+    ``class_doc_ids`` hold the first ones. ``spans`` are the union of what goes.
     """
-    found = _removed(paragraph_classes(docs, threshold, recall))
+    found = _removed(paragraph_classes(docs, threshold, recall), passage_repeats(docs))
     rows = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"))
     zero = F.lit(0).cast("bigint")
     chars = F.aggregate("cut", zero, lambda a, x: a + (x["stop"] - x["start"]))
     id_array = f"array<{docs.schema['doc_id'].dataType.simpleString()}>"
     return rows.join(found, rows["doc_id"].eqNullSafe(F.col("d")) & (rows["key"] == F.col("k")), "left").select(
         "doc_id", F.coalesce("n_members", zero).alias("n_members"),
-        F.coalesce(F.size("cut").cast("bigint"), zero).alias("n_removed"), F.coalesce(chars, zero).alias("n_chars_removed"),
+        F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_passages", zero).alias("n_passages"),
+        F.coalesce(chars, zero).alias("n_chars_removed"),
         F.coalesce(F.array_join(F.transform("cut", lambda x: F.concat_ws(":", x["start"].cast("string"), x["stop"].cast("string"))), ","),
                    F.lit("")).alias("spans"),
         F.coalesce("class_doc_ids", F.array().cast(id_array)).alias("class_doc_ids"))
 
 
 def without_repeats(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """All documents and columns, later paragraphs of each class cut out of the text."""
-    found = _removed(paragraph_classes(docs, threshold, recall)).select("d", "k", "cut")
+    """All documents and columns, later paragraphs of each class and later passages cut out of the text."""
+    found = _removed(paragraph_classes(docs, threshold, recall), passage_repeats(docs)).select("d", "k", "cut")
     k = fresh(docs, "ew_key")
     keyed = docs.withColumn(k, row_key(F.col("doc_id"), F.col("text")))
     both = keyed.join(found.select(F.col("d").alias("ew_d"), F.col("k").alias("ew_k"), F.col("cut").alias("ew_cut")),

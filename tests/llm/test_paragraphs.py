@@ -112,3 +112,41 @@ def test_short_and_hot_lines_are_paragraphs(spark):
     want = line_brute(docs)
     assert {i: r.n_removed for i, r in got.items() if r.n_removed} == dict(want)
     assert sum(want.values()) > 100 and got[62].n_members == 0
+
+
+def test_passages_in_mid_line_are_found(spark):
+    rng = random.Random(12)
+    number = iter(range(10 ** 6))
+
+    def run(words, low, high):  # words that occur once, in sentences of low to high words; high 0: without sentence ends
+        out, left = [], 0
+        for i in range(words):
+            out.append(f"wörd{next(number)}" if i % 3 else f"x{next(number)}")
+            left -= 1
+            if high and left <= 0:
+                out[-1] += "."
+                left = rng.randint(low, high)
+        return " ".join(out)
+
+    docs, shared = [], {}
+    for low, high in ((15, 30), (8, 18), (0, 0)):
+        for n in (50, 55, 65, 80, 100, 120):
+            for _ in range(5):
+                passage = run(n, low, high)
+                for text in (passage, passage.upper().replace("Ö", "ö")):
+                    docs.append((len(docs), "first line\n" + run(60, low, high) + "  " + text + "\t" + run(60, low, high)))
+                at = docs[-1][1].index("\t") - len(passage)
+                shared[len(docs) - 1] = at, at + len(passage)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    found = {}
+    for r in P.passage_repeats(df).collect():
+        assert r.class_doc_id == r.doc_id - 1
+        found.setdefault(r.doc_id, []).append((r.start, r.stop))
+    assert found.keys() == shared.keys()
+    for i, (first, last) in shared.items():
+        assert all(first <= a and b <= last and len(docs[i][1][a:b].split()) == P.UNIT_WORDS for a, b in found[i])
+    got = {r.doc_id: r for r in P.repeat_report(df).collect()}
+    cut = {r.doc_id: r.text for r in P.without_repeats(df).collect()}
+    for i, text in docs:
+        assert got[i].n_passages == len(found.get(i, [])) and len(cut[i]) == len(text) - got[i].n_chars_removed
+        assert i not in shared or got[i].n_chars_removed >= max(b - a for a, b in found[i])
