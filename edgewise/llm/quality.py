@@ -5,7 +5,8 @@ and interpolated with joins and aggregates on (lang, gram), sharded by that
 key. A gram of four characters packs into one long. Perplexity of a document
 is taken under the model of its declared language; a document is rejected when
 it lies above the language's threshold: a high quantile over trusted documents
-that the model was not trained on, plus a margin.
+that the model was not trained on, plus a margin. Trusted are documents
+labelled of good quality and not toxic.
 
 Scoring sends the finished tables to the tasks when their counted size is
 within ``BROADCAST_GRAMS``; beyond it the documents' grams are joined with the
@@ -14,7 +15,7 @@ tables by shuffle. Both ways give the same perplexities.
 Defined cases: null or empty texts have no perplexity and stay; a null or
 unknown language is scored under the model of all languages together and its
 threshold; without trusted documents nothing is rejected; labels repeated for
-a document count once; rows with null ids are scored but never trusted;
+a document count once, one that says bad or toxic decides; rows with null ids are scored but never trusted;
 repeated rows are judged each.
 """
 
@@ -291,8 +292,8 @@ def _held_out(doc_id: Column) -> Column:
 def quality_report(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN,
                    broadcast_grams: int = BROADCAST_GRAMS) -> DataFrame:
     """One row per document row: doc_id, key, lang, n_chars, perplexity, threshold, kept."""
-    trusted = labels.groupBy("doc_id").agg(F.min("quality").alias("q")).where((F.col("q") == 1) & F.col("doc_id").isNotNull()) \
-        .select("doc_id")
+    trusted = labels.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("toxic")) \
+        .where((F.col("q") == 1) & (F.coalesce("toxic", F.lit(0)) == 0) & F.col("doc_id").isNotNull()).select("doc_id")
     train_ids = trusted.where(~_held_out(F.col("doc_id")))
     # labels grow with the corpus: this join is a shuffle at every size
     model = train(docs.select("doc_id", "text", "lang").join(train_ids.hint("shuffle_merge"), "doc_id", "left_semi"))

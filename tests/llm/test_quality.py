@@ -85,3 +85,14 @@ def test_report_rejects_junk_and_keeps_clean(spark):
     nothing = Q.quality_report(docs, labels.limit(0)).collect()
     assert len(nothing) == docs.count() and all(r.kept for r in nothing)
     assert Q.quality_report(docs.limit(0), labels).count() == 0
+
+
+def test_documents_labelled_toxic_are_not_trusted(spark):
+    rng = random.Random(8)
+    clean = [(i, prose(rng), "en", 0) for i in range(120)]
+    toxic = [(1000 + i, " ".join("".join(rng.choice("%&*#XQZ!") for _ in range(6)) for _ in range(30)), "en", 0) for i in range(60)]
+    labels = [(i, 1, None if i % 2 else 0) for i in range(120)] + [(1000 + i, 1, 1) for i in range(60)] + [(1000, 1, 0)]
+    report = Q.quality_report(spark.createDataFrame(clean + toxic, SCHEMA),
+                              spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")).collect()
+    assert not [r.doc_id for r in report if r.doc_id >= 1000 and r.kept]
+    assert sum(r.kept for r in report if r.doc_id < 1000) >= 110
