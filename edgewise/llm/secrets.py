@@ -41,8 +41,10 @@ _KEYWORDS = "|".join([_any_case("password"), _any_case("passwd"), _any_case("sec
 ASSIGN = rf"""({_KEYWORDS})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"
-#: A whole run of key characters that holds a digit; starts only where a run starts.
-RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z+/_=-]*+[0-9][A-Za-z0-9+/_=-]*+"
+#: A whole run of key characters that holds a digit; starts only where a run starts, so after '=' but not at it.
+RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z+/_-]*+[0-9][A-Za-z0-9+/_-]*+(?:=++(?![A-Za-z0-9+/_-]))?"
+#: An identifier is a whole part between such characters as part names, values and paths: '=', ':' and '/' too.
+WEAK_ID = r"(?<![A-Za-z0-9+_-])(?=[A-Z]*[0-9])(?=[0-9]*[A-Z])[A-Z0-9]{16,40}+(?![A-Za-z0-9+_-])"
 ENDPOINT = r"""https?://[^\x00-\x20"'<>|]+"""
 
 _SPAN = "array<struct<kind:int,family:int,i:int,gap:int,n:int>>"
@@ -69,14 +71,17 @@ def _marked(docs: DataFrame) -> DataFrame:
     base = docs.select("doc_id", row_key(F.col("doc_id"), text).alias("key"), text.alias("t"))
     t = F.col("t")
     none = F.array().cast(_SPAN)
-    run_kind = lambda x, g: F.when((F.char_length(x).between(16, 40)) & x.rlike("^[A-Z0-9]+$") & x.rlike("[A-Z]"), 3) \
-        .when((F.char_length(x) >= 20) & x.rlike("[a-z]") & x.rlike("[A-Z]"), 4)
+    run_kind = lambda x, g: F.when((F.char_length(x) >= 20) & x.rlike("[a-z]") & x.rlike("[A-Z]"), 4)
+    # a path is no secret for the identifier in it: slashes beside identifiers part runs, lengths stay
+    parted = F.when(t.rlike(WEAK_ID), F.regexp_replace(F.regexp_replace(
+        t, F.lit(f"/(?={WEAK_ID})"), F.lit(" ")), F.lit(f"({WEAK_ID})/"), F.lit("$1 "))).otherwise(t)
     families = [
         (t.rlike(ASSIGN), _matches(t, 0, ASSIGN, lambda x, g: F.when(F.char_length(g) >= 6, 0), group=2)),
         (t.contains("AKIA"), _matches(t, 1, ACCESS, lambda x, g: F.when(F.char_length(x) >= 20, 1))),
         (t.rlike(HEX), _matches(t, 2, HEX, lambda x, g: F.lit(2))),
-        (t.rlike("[0-9]"), _matches(t, 3, RUN, run_kind)),
+        (t.rlike("[0-9]"), _matches(parted, 3, RUN, run_kind)),
         (t.contains("://"), _matches(t, 4, ENDPOINT, lambda x, g: F.lit(5))),
+        (t.rlike(WEAK_ID), _matches(t, 5, WEAK_ID, lambda x, g: F.lit(3))),
     ]
     marker = F.array(F.struct(F.lit(None).cast("int").alias("kind"), F.lit(-1).alias("family"), F.lit(0).alias("i"),
                               F.lit(0).alias("gap"), F.lit(0).alias("n")))

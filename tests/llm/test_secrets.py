@@ -56,3 +56,23 @@ def test_main_path_has_no_python(spark):
     docs = spark.createDataFrame(CASES, "doc_id bigint, text string")
     plan = S.secret_report(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|ArrowEval|Cartesian", plan)
+
+
+def test_values_of_names_and_paths_are_parts(spark):
+    weak = "ASIA1234567890ABCDEF"
+    rows = [(1, f"AWS_ACCESS_KEY_ID={weak}\nAWS_KEY={SECRET}\nURL=https://host.example.com/x"),
+            (2, f'{{"key_id":"{weak}","value":"{SECRET}"}}'), (3, f"https://host.example.com/{weak}/get?sig={SECRET}&x=1"),
+            (4, f"key_id={weak}"), (5, f"key_id={weak} sig={SECRET}=="), (6, "S3_V1_NAME=abc/" * 4000),
+            (7, f"https://host.example.com/{weak}/get"), (8, f"host/{weak}/{SECRET}")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    texts = dict(rows)
+    parts = {r.doc_id: [(k, texts[r.doc_id][int(a):int(b)]) for k, a, b in (x.split(":") for x in r.spans.split(",") if x)]
+             for r in S.secret_report(docs).collect()}
+    assert parts == {
+        1: [("weak_id", weak), ("weak_secret", SECRET), ("endpoint", "https://host.example.com/x")],
+        2: [("weak_id", weak), ("weak_secret", SECRET)],
+        3: [("endpoint", rows[2][1]), ("weak_id", weak), ("weak_secret", SECRET)],
+        4: [], 5: [("weak_id", weak), ("weak_secret", SECRET + "==")], 6: [], 7: [],
+        8: [("weak_id", weak), ("weak_secret", SECRET)]}
+    left = {r.doc_id: r.text for r in S.redacted(docs).collect()}
+    assert left[1] == "AWS_ACCESS_KEY_ID=[REDACTED]\nAWS_KEY=[REDACTED]\nURL=https://host.example.com/x" and left[4] == rows[3][1]
