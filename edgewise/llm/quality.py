@@ -5,7 +5,7 @@ and interpolated with joins and aggregates on (lang, gram), sharded by that
 key. A gram of four characters packs into one long. Perplexity of a document
 is taken under the model of its declared language; a document is rejected when
 it lies above the language's threshold: a high quantile over trusted documents
-that the model was not trained on, plus a margin. Trusted are documents
+that the model was not trained on. Trusted are documents
 labelled of good quality and not toxic.
 
 Scoring sends the finished tables to the tasks when their counted size is
@@ -35,8 +35,8 @@ ORDER = 4
 #: Of trusted documents, this share sets the thresholds and is not trained on.
 HELD_OUT = 5
 QUANTILE = 0.99
-#: Added to the quantile of the logarithm of perplexity.
-MARGIN = 0.15
+#: Added to the quantile of the logarithm of perplexity: the threshold is the quantile itself.
+MARGIN = 0.0
 #: Grams of the finished tables (16 bytes each) that are sent to every task.
 BROADCAST_GRAMS = 4_000_000
 #: Documents whose grams a task holds at a time.

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from edgewise.llm import quality as Q
 
@@ -96,3 +97,19 @@ def test_documents_labelled_toxic_are_not_trusted(spark):
                               spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")).collect()
     assert not [r.doc_id for r in report if r.doc_id >= 1000 and r.kept]
     assert sum(r.kept for r in report if r.doc_id < 1000) >= 110
+
+
+def test_threshold_is_the_held_out_quantile_and_rejects_repeated_words(spark):
+    rng = random.Random(21)
+    clean = [(i, prose(rng, 200), "en", 0) for i in range(400)]
+    junk = [(1000 + i, " ".join(["".join(rng.choice(["ba", "ne", "ri", "to", "shu"]) for _ in range(3)) + rng.choice(["", "h"])] * 80), "en", 0)
+            for i in range(60)]
+    docs = spark.createDataFrame(clean + junk, SCHEMA)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(400)], "doc_id bigint, quality int, toxic int")
+    report = Q.quality_report(docs, labels)
+    rows = report.withColumn("held", Q._held_out(F.col("doc_id")) & (F.col("doc_id") < 400)).collect()
+    held = sorted(r.perplexity for r in rows if r.held)
+    assert abs(rows[0].threshold - held[math.ceil(0.99 * len(held)) - 1]) < 1e-9
+    old = rows[0].threshold * math.exp(0.15)
+    gone = [r for r in rows if r.doc_id >= 1000 and not r.kept]
+    assert len(gone) > sum(r.perplexity > old for r in gone)
