@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from edgewise.llm import bpe, decontaminate, fingerprints, language, paragraphs, quality, secrets, simhash, suffix_dedup, token_counts
+from edgewise.llm import bpe, decontaminate, fingerprints, language, paragraphs, quality, secrets, simhash, suffix_dedup, token_counts, url_filter
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
                                  public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op11_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return url_filter.url_report(_table(spark, sf, "pages"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_language": op2_language,
@@ -64,9 +68,11 @@ QUERIES = {
     "op8_paragraphs": op8_paragraphs,
     "op9_secrets": op9_secrets,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_url_filter": op11_url_filter,
 }
 
 ORACLE_SQL = {
     "op1_decontaminate": decontaminate.ORACLE,
     "op9_secrets": secrets.ORACLE,
+    "op11_url_filter": url_filter.ORACLE,
 }
