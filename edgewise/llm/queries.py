@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from edgewise.llm import bpe, decontaminate, fingerprints, language, paragraphs, quality, secrets, simhash, suffix_dedup, token_counts, url_filter
+from edgewise.llm import alignment, bpe, decontaminate, fingerprints, language, paragraphs, phrases, quality, secrets, simhash, suffix_dedup, token_counts, url_filter
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -57,6 +57,15 @@ def op11_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return url_filter.url_report(_table(spark, sf, "pages"))
 
 
+def op12_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.alignment_report(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                      public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_language": op2_language,
@@ -69,10 +78,13 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_url_filter": op11_url_filter,
+    "op12_phrases": op12_phrases,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE_SQL = {
     "op1_decontaminate": decontaminate.ORACLE,
     "op9_secrets": secrets.ORACLE,
     "op11_url_filter": url_filter.ORACLE,
+    "op12_phrases": phrases.ORACLE,
 }

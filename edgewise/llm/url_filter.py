@@ -176,7 +176,8 @@ def _bin(score: Column) -> Column:
 
 
 def threshold(held: DataFrame) -> int:
-    """The least bin at which the shares of accepted URLs at or above it and of rejected ones below it sum highest.
+    """Between the least bin at which the shares of accepted URLs at or above it and of rejected ones below it
+    sum highest, and the next occupied bin below: half way, so that both sides have the same margin.
 
     The histogram has at most 2 * 100,000 + 1 bins at any size.
     """
@@ -185,12 +186,14 @@ def threshold(held: DataFrame) -> int:
     before, every = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
     wide = "decimal(19,0)"
     running = hist.select(
-        "bin", F.sum("a").over(every).cast(wide).alias("all_a"), F.sum("b").over(every).cast(wide).alias("all_b"),
+        "bin", F.lag("bin", 1).over(Window.orderBy("bin")).alias("next"), F.sum("a").over(every).cast(wide).alias("all_a"), F.sum("b").over(every).cast(wide).alias("all_b"),
         F.coalesce(F.sum("a").over(before), F.lit(0)).cast(wide).alias("under_a"),
         F.coalesce(F.sum("b").over(before), F.lit(0)).cast(wide).alias("under_b"))
     good = (F.col("all_a") - F.col("under_a")) * F.col("all_b") + F.col("under_b") * F.col("all_a")
     best = running.where("all_a > 0 AND all_b > 0").orderBy(good.desc(), "bin").first()
-    return best["bin"] if best else 0
+    if not best:
+        return 0
+    return (best["bin"] + (best["bin"] if best["next"] is None else best["next"])) // 2
 
 
 def _verdicts(pages: DataFrame, rules) -> DataFrame:
@@ -255,9 +258,9 @@ s AS (SELECT page_id, url, said, sum(d)::BIGINT // count(*) AS score FROM pos JO
 sb AS (SELECT *, 1000 * floor(greatest(-100000000, least(100000000, score)) / 1000.0::DOUBLE)::BIGINT AS bin FROM s),
 held AS (SELECT sb.bin, count(*) FILTER (j.said = 'allow') AS a, count(*) FILTER (j.said = 'block') AS b
          FROM sb JOIN j ON sb.url = j.url AND sb.page_id IS NOT DISTINCT FROM j.page_id WHERE sb.said IS NOT NULL GROUP BY 1),
-run AS (SELECT bin, sum(a) OVER () AS aa, sum(b) OVER () AS ab, coalesce(sum(a) OVER w, 0) AS ua, coalesce(sum(b) OVER w, 0) AS ub FROM held
+run AS (SELECT bin, coalesce(lag(bin) OVER (ORDER BY bin), bin) AS nxt, sum(a) OVER () AS aa, sum(b) OVER () AS ab, coalesce(sum(a) OVER w, 0) AS ua, coalesce(sum(b) OVER w, 0) AS ub FROM held
         WINDOW w AS (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-lim AS (SELECT coalesce((SELECT bin FROM run WHERE aa > 0 AND ab > 0 ORDER BY (aa - ua)::HUGEINT * ab + ub::HUGEINT * aa DESC, bin LIMIT 1), 0) AS t)
+lim AS (SELECT coalesce((SELECT (bin + nxt) // 2 FROM run WHERE aa > 0 AND ab > 0 ORDER BY (aa - ua)::HUGEINT * ab + ub::HUGEINT * aa DESC, bin LIMIT 1), 0) AS t)
 SELECT j.page_id, j.host, j.path, j.rule,
        coalesce(j.said, CASE WHEN bin >= t THEN 'allow' ELSE 'block' END) AS verdict,
        CASE WHEN j.said IS NULL THEN score ELSE 0 END AS score
