@@ -33,8 +33,8 @@ import hashlib
 import json
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,10 +45,14 @@ from edgewise.llm.bpe import byte_characters
 from edgewise.llm.common import stored
 
 #: Units whose alignment a worker keeps; the cache starts afresh beyond it.
-CACHE_UNITS = 200_000
+CACHE_UNITS = 300_000
 #: Texts are aligned in batches of this many rows, and in blocks of this many characters.
 BATCH_ROWS = 500
 BLOCK_CHARACTERS = 2_000_000
+#: Units that are encoded at a time; a group of more pairs than ``LISTED_PAIRS`` is never listed pair by pair.
+ENCODED_UNITS = 5_000
+RUN_UNITS = 500
+LISTED_PAIRS = 4_096
 #: A pair with at least 1 in so many of all (document, pair) rows is broadcast.
 HOT_PAIRS = 20_000
 
@@ -57,17 +61,31 @@ _CUT = re.compile(r"(?<=\S)[ \n]")
 _BLANK = "▁"
 
 
-def common_groups(a_sizes: list[int], b_sizes: list[int]) -> list[tuple[int, int]]:
+def common_ends(a_sizes: np.ndarray, b_sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(tokens of A, tokens of B) used up at each common end, from the byte sizes of both sides' tokens."""
-    def ends(sizes: list[int]) -> dict[int, int]:
-        out, at = {}, 0
-        for i, n in enumerate(sizes, 1):
-            at += n
-            out[at] = i
-        return out
-
-    of_a, of_b = ends(a_sizes), ends(b_sizes)
-    return [(of_a[e], of_b[e]) for e in sorted(of_a.keys() & of_b.keys())]
+    of_a = dict(zip(np.cumsum(a_sizes).tolist(), range(1, len(a_sizes) + 1)))
+    of_b = dict(zip(np.cumsum(b_sizes).tolist(), range(1, len(b_sizes) + 1)))
+    both = sorted(of_a.keys() & of_b.keys())
+    return np.array([of_a[e] for e in both], np.int64), np.array([of_b[e] for e in both], np.int64)
+
+
+def group_links(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(group, pair, times) of every group; a group of many pairs is counted by distinct ids."""
+    from_a, from_b = np.concatenate(([0], cut_a[:-1])), np.concatenate(([0], cut_b[:-1]))
+    of_a, of_b = cut_a - from_a, cut_b - from_b
+    small = of_a * of_b <= LISTED_PAIRS
+    size = np.where(small, of_a * of_b, 0)
+    group = np.repeat(np.arange(len(size)), size)
+    at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    pair = a[from_a[group] + at // of_b[group]] << 32 | b[from_b[group] + at % of_b[group]]
+    parts = [(group, pair, np.ones(len(pair), np.int64))]
+    for g in np.flatnonzero(~small):
+        x, n = np.unique(a[from_a[g]:cut_a[g]], return_counts=True)
+        y, m = np.unique(b[from_b[g]:cut_b[g]], return_counts=True)
+        parts.append((np.full(len(x) * len(y), g), (x[:, None] << 32 | y).ravel(), (n[:, None] * m).ravel()))
+    group, pair, times = (np.concatenate(c) for c in zip(*parts))
+    order = np.argsort(group, kind="stable") if len(parts) > 1 else slice(None)
+    return group[order], pair[order], times[order]
 
 
 class Aligner:
@@ -86,11 +104,16 @@ class Aligner:
         self.a.no_padding()
         back = {c: b for b, c in enumerate(byte_characters())}
         vocab = self.a.get_vocab(with_added_tokens=False)
-        self.a_bytes = {i: bytes(back[c] for c in t) for t, i in vocab.items() if all(c in back for c in t)}
+        a_bytes = [b""] * (max(vocab.values()) + 1)
+        for token, i in vocab.items():
+            a_bytes[i] = bytes(back[c] for c in token) if all(c in back for c in token) else b""
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_BLANK, " ").encode()
-                        for i, p in enumerate(pieces)]
+        b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_BLANK, " ").encode() for i, p in enumerate(pieces)]
+        self.raw = pa.array(a_bytes, pa.binary()), pa.array(b_bytes, pa.binary())
+        self.size = np.array([len(x) for x in a_bytes]), np.array([len(x) for x in b_bytes])
+        # an id with what follows it in a group: another id of its side, the other side, or the next group
+        self.shown = pa.array([f"{i}{c}" for n, ends in ((len(a_bytes), ",|"), (len(b_bytes), ",;")) for c in ends for i in range(n)])
         split = said.get("pre_tokenizer") or {}
         self.by_units = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space") \
             and not said.get("normalizer") and not any("\n" in p or re.search(f"[^{_BLANK}]{_BLANK}", p) for p in pieces) \
@@ -99,8 +122,7 @@ class Aligner:
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.pair_of: dict[tuple[int, int], int] = {}
-        self.sizes: list[tuple[int, int, int, bool]] = []  # tokens of A, of B, groups, whether both give the unit back
+        self.sizes = np.zeros((0, 4), np.int64)  # tokens of A, of B, groups, whether both give the unit back
         self.said: list[str] = []
         self.start, self.pair, self.times = np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -114,42 +136,83 @@ class Aligner:
         new = [u for u in units if u not in self.known]
         if not new:
             return
-        a_all = [e.ids for e in self.a.encode_batch(new, add_special_tokens=False)]
+        sizes, starts, pairs, times = [self.sizes], [self.start], [self.pair], [self.times]
+        plain = [u for u in new if self.by_units and not u[-1].isspace()]
+        rest = [u for u in new if not self.by_units or u[-1].isspace()]
+        for part, runs in [(some[at: at + ENCODED_UNITS], some is plain) for some in (plain, rest) for at in range(0, len(some), ENCODED_UNITS)]:
+            self.known.update(zip(part, range(len(self.said), len(self.said) + len(part))))
+            size, said, count, pair, n = self.align(part, runs)
+            sizes.append(size)
+            self.said += said
+            starts.append(starts[-1][-1] + np.cumsum(count))
+            pairs.append(pair)
+            times.append(n)
+        self.sizes = np.concatenate(sizes)
+        self.start, self.pair, self.times = np.concatenate(starts), np.concatenate(pairs), np.concatenate(times)
+
+    def encoded(self, units: list[str], raw: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each side (ids, number of ids of each unit, whether they give it back), unit by unit."""
+        a = [e.ids for e in self.a.encode_batch(units, add_special_tokens=False)]
         if self.by_units:  # behind an x the unit stands as in a text: no token crosses the cut
-            b_all = [ids[1:] for ids in self.b.encode(["x" + u for u in new], num_threads=1)]
+            b = [ids[1:] for ids in self.b.encode(["x" + u for u in units], num_threads=1)]
         else:  # the whole text: B adds the blank itself
-            b_all = self.b.encode([u[1:] for u in new], num_threads=1)
-        size, pair, times = [], [], []
-        for unit, a, b in zip(new, a_all, b_all):
-            raw = unit.encode()
-            a_raw, b_raw = [self.a_bytes.get(i, b"") for i in a], [self.b_bytes[i] for i in b]
-            self.known[unit] = len(self.sizes)
-            if b"".join(a_raw) != raw or b"".join(b_raw) != raw:
-                self.sizes.append((0, 0, 0, False))
-                self.said.append("")
-                size.append(0)
-                continue
-            cuts = common_groups([len(x) for x in a_raw], [len(x) for x in b_raw])
-            self.sizes.append((len(a), len(b), len(cuts), True))
-            said, links, at_a, at_b = [], Counter(), 0, 0
-            for to_a, to_b in cuts:
-                group_a, group_b = a[at_a:to_a], b[at_b:to_b]
-                said.append(f"{','.join(map(str, group_a))}|{','.join(map(str, group_b))}")
-                if len(group_a) == len(group_b) == 1:
-                    links[group_a[0], group_b[0]] += 1
-                else:
-                    of_b = Counter(group_b).items()
-                    for x, n in Counter(group_a).items():
-                        for y, m in of_b:
-                            links[x, y] += n * m
-                at_a, at_b = to_a, to_b
-            self.said.append(";".join(said))
-            size.append(len(links))
-            pair += [x << 32 | y for x, y in links]
-            times += links.values()
-        self.start = np.concatenate((self.start, self.start[-1] + np.cumsum(size)))
-        self.pair = np.concatenate((self.pair, np.array(pair, np.int64)))
-        self.times = np.concatenate((self.times, np.array(times, np.int64)))
+            b = self.b.encode([u[1:] for u in units], num_threads=1)
+        out = []
+        for side, ids in enumerate((a, b)):
+            n = np.array([len(x) for x in ids])
+            flat = np.fromiter(chain.from_iterable(ids), np.int64, n.sum())
+            joined = self.joined(flat, side)
+            cut = np.concatenate(([0], np.cumsum(self.size[side][flat])))[np.concatenate(([0], np.cumsum(n)))].tolist()
+            out.append((flat, n, np.array([joined[x:y] == u for u, x, y in zip(raw, cut, cut[1:])])))
+        return out
+
+    def encoded_in_runs(self, units: list[str], raw: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]] | None:
+        """The same, units that end in no white space encoded in runs, as they may stand in a text; None if bytes differ."""
+        runs = ["".join(units[at: at + RUN_UNITS]) for at in range(0, len(units), RUN_UNITS)]
+        a = [e.ids for e in self.a.encode_batch(runs, add_special_tokens=False)]
+        b = [ids[1:] for ids in self.b.encode(["x" + r for r in runs], num_threads=1)]
+        want, out = np.cumsum([len(u) for u in raw]), []
+        for side, ids in enumerate((a, b)):
+            flat = np.array(list(chain.from_iterable(ids)), np.int64)
+            ends = np.cumsum(self.size[side][flat])
+            last = np.searchsorted(ends, want, side="right")
+            if not last.all() or not np.array_equal(ends[last - 1], want) or self.joined(flat, side) != b"".join(raw):
+                return None
+            out.append((flat, np.diff(last, prepend=0), np.ones(len(units), bool)))
+        return out
+
+    def joined(self, ids: np.ndarray, side: int) -> bytes:
+        """The bytes of the tokens."""
+        return self.raw[side].take(pa.array(ids)).buffers()[2].to_pybytes()[:int(self.size[side][ids].sum())] if len(ids) else b""
+
+    def align(self, units: list[str], runs: bool) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """(sizes, groups as text, number of pairs of each unit, pairs, times): the units one behind the other, aligned at once."""
+        raw = [u.encode() for u in units]
+        found = (self.encoded_in_runs(units, raw) if runs else None) or self.encoded(units, raw)
+        flat, counts, (good_a, good_b) = zip(*found)
+        good = good_a & good_b
+        a, b = (f[np.repeat(good, n)] for f, n in zip(flat, counts))
+        n_a, n_b = (n * good for n in counts)
+        cut_a, cut_b = common_ends(self.size[0][a], self.size[1][b])
+        last = np.searchsorted(cut_a, np.cumsum(n_a), side="right")  # a unit's end is a common end
+        n_groups = np.diff(last, prepend=0)
+        group, pair, times = group_links(a, b, cut_a, cut_b)
+        unit_of = np.repeat(np.arange(len(units)), n_groups)
+        count = np.bincount(unit_of[group], minlength=len(units))
+        # the groups as text: A's ids of a group, then B's, each with the mark behind it
+        vocab_a, vocab_b = len(self.size[0]), len(self.size[1])
+        ends_a, ends_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        ends_a[cut_a - 1], ends_b[cut_b - 1] = 1, 1
+        group_a, group_b = np.cumsum(ends_a) - ends_a, np.cumsum(ends_b) - ends_b
+        order = np.empty(len(a) + len(b), np.int64)
+        before_b = np.concatenate(([0], cut_b))
+        order[np.arange(len(a)) + before_b[group_a]] = a + vocab_a * ends_a
+        order[np.arange(len(b)) + cut_a[group_b]] = b + 2 * vocab_a + vocab_b * ends_b
+        shown = self.shown.take(pa.array(order))
+        cut = np.frombuffer(shown.buffers()[1], np.int32, len(shown) + 1)[np.concatenate(([0], np.cumsum(n_a + n_b)))].tolist()
+        text = (shown.buffers()[2].to_pybytes() if len(shown) else b"").decode()
+        said = [text[x:max(x, y - 1)] for x, y in zip(cut, cut[1:])]
+        return np.stack([n_a, n_b, n_groups, good.astype(np.int64)], axis=1), said, count, pair, times
 
     def numbered(self, units: list[list[str]]) -> list[np.ndarray]:
         """Numbers of the units of each text, all learnt first."""
@@ -206,7 +269,7 @@ def _long(aligner: Aligner, text: str) -> tuple[list[int], str, np.ndarray, np.n
     whole = True
     for block in _blocks(text) if aligner.by_units else [" " + text]:
         numbers = aligner.numbered([aligner.units(block)])
-        sizes = np.array([aligner.sizes[i] for i in numbers[0]])
+        sizes = aligner.sizes[numbers[0]]
         whole = whole and bool(sizes[:, 3].all())
         digest.update((";" if total[2] else "").encode() + ";".join(map(aligner.said.__getitem__, numbers[0])).encode())
         total += sizes.sum(axis=0)
@@ -234,7 +297,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                 short.append(i)
         if short:
             numbers = aligner.numbered([aligner.units(" " + texts[i]) for i in short])
-            sizes = np.array(aligner.sizes)
+            sizes = aligner.sizes
             text, pair, times = aligner.links(numbers)
             cut = np.searchsorted(text, np.arange(len(short) + 1))
             for k, i in enumerate(short):
