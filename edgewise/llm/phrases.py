@@ -4,7 +4,7 @@ A suffix pointer is a word position with the words that follow it in its
 piece, up to the longest phrase. Tasks cut the texts and combine pointers with
 equal words into one weighted pointer, so that a passage repeated in a task
 travels once. Pointers are then routed over the cluster by their language and
-leading two words, and each task sorts its pointers by word, depth after depth:
+leading two words (words are counted in a pass of their own before), and each task sorts its pointers by word, depth after depth:
 a segment is parted around a pivot word into smaller, equal and greater ones,
 and the equal part goes one word deeper. The weight of an equal part is the
 count of its phrase; a part that weighs less than the least count is abandoned
@@ -55,7 +55,7 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 9 else 10 if b in b".,;:!
 
 def _slices(text: bytes, words: int, slice_bytes: int) -> Iterator[tuple[int, int, int]]:
     """(start, end, seen): starts of pointers lie in start:end, their words end before ``seen``."""
-    ahead = re.compile(rb"(?:[ \n]*[^ \n]+){1,%d}" % words)
+    ahead = re.compile(rb"(?:[ \n]*[^ \n]+){0,%d}" % words)
     at = 0
     while at < len(text):
         end = at + slice_bytes
@@ -67,8 +67,7 @@ def _slices(text: bytes, words: int, slice_bytes: int) -> Iterator[tuple[int, in
                 found = re.compile(rb"[ \n]").search(text, end)
                 cut = found.start() if found else len(text)
             end = cut
-        more = ahead.match(text, end)
-        yield at, end, more.end() if more else end
+        yield at, end, ahead.match(text, end).end()
         at = end
 
 
@@ -104,24 +103,18 @@ def combined_pointers(text: bytes, end: int, lang: np.ndarray, lang_at: np.ndarr
     return language[one], coded.dictionary, follow[:, one], weight
 
 
-def _pointers(docs: DataFrame, longest: int, slice_bytes: int) -> DataFrame:
-    """(lang, w1.., n): weighted pointers; words that the piece lacks are null."""
-    names = [f"w{d + 1}" for d in range(longest)]
-
+def _slice_rows(docs: DataFrame, rows, schema: str, ahead: int, slice_bytes: int) -> DataFrame:
+    """``rows(text, end, language numbers, their starts, languages)`` over slices of the texts, many texts to a slice."""
     def batch(texts: list[bytes], langs: list[str]) -> Iterator[pa.RecordBatch]:
         known = sorted(set(langs))
         number = {x: i for i, x in enumerate(known)}
         text = b"\n".join(texts).translate(_LOWER)
         at = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))[:-1]
         lang = np.array([number[x] for x in langs])
-        for start, end, seen in _slices(text, longest - 1, slice_bytes):
-            which, words, follow, n = combined_pointers(text[start:seen], end - start, lang, at - start, longest)
-            if not len(n):
-                continue
-            words = words.cast(pa.string())
-            columns = [pa.array(known, pa.string()).take(pa.array(which))]
-            columns += [words.take(pa.array(np.maximum(f, 0), mask=f < 0)) for f in follow]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64())], ["lang", *names, "n"])
+        for start, end, seen in _slices(text, ahead, slice_bytes):
+            found = rows(text[start:seen], end - start, lang, at - start, pa.array(known, pa.string()))
+            if found.num_rows:
+                yield found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, langs, size = [], [], 0
@@ -136,11 +129,35 @@ def _pointers(docs: DataFrame, longest: int, slice_bytes: int) -> DataFrame:
         if texts:
             yield from batch(texts, langs)
 
-    schema = "lang string, " + ", ".join(f"{w} string" for w in names) + ", n bigint"
     return docs.where(F.col("text").isNotNull()) \
         .select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), "text").mapInArrow(run, schema)
 
 
+def _words(docs: DataFrame, slice_bytes: int) -> DataFrame:
+    """(lang, w1, n): words and their counts in a slice."""
+    def rows(text: bytes, end: int, lang: np.ndarray, lang_at: np.ndarray, known: pa.Array) -> pa.RecordBatch:
+        which, words, follow, n = combined_pointers(text, end, lang, lang_at, 1)
+        return pa.RecordBatch.from_arrays(
+            [known.take(pa.array(which)), words.cast(pa.string()).take(pa.array(follow[0])), pa.array(n, pa.int64())], ["lang", "w1", "n"])
+
+    return _slice_rows(docs, rows, "lang string, w1 string, n bigint", 0, slice_bytes)
+
+
+def _pointers(docs: DataFrame, longest: int, slice_bytes: int) -> DataFrame:
+    """(lang, w1.., n): weighted pointers of two words and more; words that the piece lacks are null."""
+    names = [f"w{d + 1}" for d in range(longest)]
+
+    def rows(text: bytes, end: int, lang: np.ndarray, lang_at: np.ndarray, known: pa.Array) -> pa.RecordBatch:
+        which, words, follow, n = combined_pointers(text, end, lang, lang_at, longest)
+        pairs = np.flatnonzero(follow[1] >= 0)
+        which, follow, n, words = which[pairs], follow[:, pairs], n[pairs], words.cast(pa.string())
+        columns = [words.take(pa.array(np.maximum(f, 0), mask=f < 0)) for f in follow]
+        return pa.RecordBatch.from_arrays([known.take(pa.array(which)), *columns, pa.array(n, pa.int64())], ["lang", *names, "n"])
+
+    schema = "lang string, " + ", ".join(f"{w} string" for w in names) + ", n bigint"
+    return _slice_rows(docs, rows, schema, longest - 1, slice_bytes)
+
+
 def frequent_prefixes(symbols: list[np.ndarray], weight: np.ndarray, least: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Multikey three-way quicksort: (depth, one pointer, weight) of the equal parts that weigh enough.
 
@@ -239,17 +256,17 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
                   sorted_pointers: int = SORTED_POINTERS, hot_words: int = HOT_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """((lang, words, f) of words, the same of frequent phrases, (lang, words) of hot words); ``words`` is an array."""
     names = [f"w{d + 1}" for d in range(longest)]
-    pointers = stored(_pointers(docs, longest, slice_bytes), "pointers")
-    words = stored(pointers.groupBy("lang", "w1").agg(F.sum("n").alias("f"))
+    words = stored(_words(docs, slice_bytes).groupBy("lang", "w1").agg(F.sum("n").alias("f"))
                    .select("lang", F.array("w1").alias("words"), "f"), "words")
     total = words.agg(F.sum("f").alias("n")).first()["n"] or 0
     hot = words.where(F.col("f") * hot_words >= total)  # at most hot_words rows
     listed = hot.select(F.col("words")[0].alias("w")).distinct()
     is_hot = [r["w"] for r in listed.collect()]
     shared = F.col("w1").isin(is_hot) & F.col("w2").isin(is_hot) if is_hot else F.lit(False)
-    route = F.when(F.col("shared"), F.xxhash64("lang", *names)).otherwise(F.xxhash64("lang", "w1", "w2"))
-    routed = pointers.where(F.col("w2").isNotNull()).withColumn("shared", shared).withColumn("route", route) \
-        .repartition("route").sortWithinPartitions("route").select("route", "shared", "lang", *names, "n")
+    route = F.when(shared, F.xxhash64("lang", *names)).otherwise(F.xxhash64("lang", "w1", "w2"))
+    # the route is computed on both sides of the shuffle: eight bytes a pointer less to send
+    routed = _pointers(docs, longest, slice_bytes).repartition(route) \
+        .select(route.alias("route"), shared.alias("shared"), "lang", *names, "n").sortWithinPartitions("route")
     counts = _sorted_counts(routed, longest, least, sorted_pointers).groupBy("lang", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
     return words, stored(counts, "phrases"), hot.select("lang", "words")
 
