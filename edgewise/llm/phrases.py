@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,8 +48,8 @@ UNKNOWN = "und"
 #: A word with at least 1 in so many of all occurrences is hot.
 HOT_WORDS = 1000
 #: Bytes of text that a task cuts into words at a time, and pointers that it sorts at a time.
-SLICE_BYTES = 8_000_000
-SORTED_POINTERS = 1_000_000
+SLICE_BYTES = 4_000_000
+SORTED_POINTERS = 400_000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 9 else 10 if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
 
@@ -143,19 +144,22 @@ def _words(docs: DataFrame, slice_bytes: int) -> DataFrame:
     return _slice_rows(docs, rows, "lang string, w1 string, n bigint", 0, slice_bytes)
 
 
-def _pointers(docs: DataFrame, longest: int, slice_bytes: int) -> DataFrame:
-    """(lang, w1.., n): weighted pointers of two words and more; words that the piece lacks are null."""
-    names = [f"w{d + 1}" for d in range(longest)]
+def _pointers(docs: DataFrame, longest: int, slice_bytes: int, hot: set[str]) -> DataFrame:
+    """(lang, p, n): weighted pointers of two words and more, ``p`` their words, space-joined.
 
+    The weight is negative where the first two words are hot.
+    """
     def rows(text: bytes, end: int, lang: np.ndarray, lang_at: np.ndarray, known: pa.Array) -> pa.RecordBatch:
         which, words, follow, n = combined_pointers(text, end, lang, lang_at, longest)
         pairs = np.flatnonzero(follow[1] >= 0)
         which, follow, n, words = which[pairs], follow[:, pairs], n[pairs], words.cast(pa.string())
+        is_hot = pc.is_in(words, value_set=pa.array(sorted(hot), pa.string())).to_numpy(zero_copy_only=False)
+        n = np.where(is_hot[follow[0]] & is_hot[follow[1]], -n, n) if len(n) else n
         columns = [words.take(pa.array(np.maximum(f, 0), mask=f < 0)) for f in follow]
-        return pa.RecordBatch.from_arrays([known.take(pa.array(which)), *columns, pa.array(n, pa.int64())], ["lang", *names, "n"])
+        joined = pc.binary_join_element_wise(*columns, " ", null_handling="skip")
+        return pa.RecordBatch.from_arrays([known.take(pa.array(which)), joined, pa.array(n, pa.int64())], ["lang", "p", "n"])
 
-    schema = "lang string, " + ", ".join(f"{w} string" for w in names) + ", n bigint"
-    return _slice_rows(docs, rows, schema, longest - 1, slice_bytes)
+    return _slice_rows(docs, rows, "lang string, p string, n bigint", longest - 1, slice_bytes)
 
 
 def frequent_prefixes(symbols: list[np.ndarray], weight: np.ndarray, least: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -203,24 +207,27 @@ def frequent_prefixes(symbols: list[np.ndarray], weight: np.ndarray, least: np.n
 
 def _sorted_counts(routed: DataFrame, longest: int, least: int, sorted_pointers: int) -> DataFrame:
     """(lang, words, n): counts of phrases of 2 and more words in each task, equal phrases of cut routes in parts."""
-    names = [f"w{d + 1}" for d in range(longest)]
-
     def counted(table: pa.Table, open_ends: tuple[bool, bool]) -> Iterator[pa.RecordBatch]:
         n = table.num_rows
         route = table["route"].to_numpy()
+        weight = table["n"].to_numpy()
         # a route that lies in another slice too, or whose pairs lie in other tasks, keeps its small parts
-        partial = table["shared"].to_numpy(zero_copy_only=False).astype(bool)
+        partial = weight < 0
         if open_ends[0]:
             partial = partial | (route == route[0])
         if open_ends[1]:
             partial = partial | (route == route[-1])
-        words = pa.chunked_array([c for w in names for c in table[w].chunks]).combine_chunks().dictionary_encode()
-        ids = words.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).reshape(longest, n)
+        split = pc.split_pattern(table["p"].combine_chunks(), " ")
+        words = split.flatten().dictionary_encode()
+        size = pc.list_value_length(split).to_numpy()
+        owner = np.repeat(np.arange(n), size)
+        ids = np.full((longest, n), -1, np.int64)
+        ids[np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size), owner] = words.indices.to_numpy()
         lang = table["lang"].combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
         # first symbol: language and whether the route is whole, so that one bound holds in every part
         first = lang * 2 + partial
         bound = np.where(partial, 1, least)
-        for depth, one, total in frequent_prefixes([first, *ids], table["n"].to_numpy(), bound):
+        for depth, one, total in frequent_prefixes([first, *ids], np.abs(weight), bound):
             k = depth - 1
             if k < 2:
                 continue
@@ -255,18 +262,16 @@ def _sorted_counts(routed: DataFrame, longest: int, least: int, sorted_pointers:
 def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, slice_bytes: int = SLICE_BYTES,
                   sorted_pointers: int = SORTED_POINTERS, hot_words: int = HOT_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """((lang, words, f) of words, the same of frequent phrases, (lang, words) of hot words); ``words`` is an array."""
-    names = [f"w{d + 1}" for d in range(longest)]
     words = stored(_words(docs, slice_bytes).groupBy("lang", "w1").agg(F.sum("n").alias("f"))
                    .select("lang", F.array("w1").alias("words"), "f"), "words")
     total = words.agg(F.sum("f").alias("n")).first()["n"] or 0
     hot = words.where(F.col("f") * hot_words >= total)  # at most hot_words rows
     listed = hot.select(F.col("words")[0].alias("w")).distinct()
-    is_hot = [r["w"] for r in listed.collect()]
-    shared = F.col("w1").isin(is_hot) & F.col("w2").isin(is_hot) if is_hot else F.lit(False)
-    route = F.when(shared, F.xxhash64("lang", *names)).otherwise(F.xxhash64("lang", "w1", "w2"))
+    is_hot = {r["w"] for r in listed.collect()}
+    route = F.when(F.col("n") < 0, F.xxhash64("lang", "p")).otherwise(F.xxhash64("lang", F.substring_index("p", " ", 2)))
     # the route is computed on both sides of the shuffle: eight bytes a pointer less to send
-    routed = _pointers(docs, longest, slice_bytes).repartition(route) \
-        .select(route.alias("route"), shared.alias("shared"), "lang", *names, "n").sortWithinPartitions("route")
+    routed = _pointers(docs, longest, slice_bytes, is_hot).repartition(route) \
+        .select(route.alias("route"), "lang", "p", "n").sortWithinPartitions("route")
     counts = _sorted_counts(routed, longest, least, sorted_pointers).groupBy("lang", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
     return words, stored(counts, "phrases"), hot.select("lang", "words")
 
