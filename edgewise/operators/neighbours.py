@@ -1,173 +1,197 @@
 """Neighbourhood set sizes per vertex pair, as joins and aggregates.
 
-All functions work on the *simple* graph (distinct edges, no self-loops)
-and on pairs with ``u <> v``. No adjacency list is ever collected into an
-array, and no pairs are formed inside a neighbourhood: every step is an
-expansion of one vertex's adjacency (hub-salted, see ``skew.expand``)
-followed by an equi-join probe on the composite edge key ``(src, dst)``.
-
-* common neighbours: expand the endpoint with the *smaller* list, probe
-  each candidate against the other endpoint's edges -- cost
-  ``sum(min(deg u, deg v))`` rows, never ``deg u * deg v``.
-* total neighbours: ``|A u B| = |A| + |B| - |A n B|`` from degrees.
-* friends measure (N = O(u) u O(v)): the number of n in N with an out-edge
-  that some member of N points to. ``exists n' in N: n' -> n`` is the
-  same as ``n`` being two hops from u or from v, so it reduces to
-  "is n two hops from s" tests for s in {u, v}, de-duplicated across all
-  pairs. Each test vertex s is answered either by enumerating its two-hop
-  neighbourhood once (when that is small) or by a smaller-side probe per
-  (s, n) (when s's two-hop neighbourhood is large).
+No adjacency list is ever collected into an array, and no pairs are formed
+inside a neighbourhood: every step is an expansion of one vertex's adjacency
+(hub-salted, see ``skew.expand``) followed by an equi-join on a composite edge
+key. All functions work on ``links``: one row per distinct edge with its
+multiplicity ``m``, ``live`` (its target has an out-edge) and ``paths``.
+
+* common neighbours: expand the end with the *smaller* list, probe each
+  candidate against the other end's edges -- ``sum(min(deg u, deg v))`` rows,
+  never ``deg u * deg v``.
+* total neighbours: ``|A u B| = |A| + |B| - |A n B|``, from degrees.
+* closed edges: ``paths`` of s -> n is the number of x with s -> x -> n, found
+  once per graph, by the smaller of O(s) and I(n) for every edge. An edge is
+  closed when it has such a path.
+* friends measure: the n in O(u) u O(v) with an out-edge that are two hops from
+  u or v. With C(u) the counted ones among O(u),
+  ``|C(u)| + |C(v)| - |common n that are two hops from u or v|``:
+
+  - a common n is counted iff u -> n or v -> n is closed: read off the rows of
+    the common neighbours;
+  - if v -> u is an edge, all of O(u) is two hops from v: C(u) is a degree;
+  - otherwise C(u) holds the closed edges of u (a degree again) and those *open*
+    edges u -> n whose n is two hops from v. Only these cross terms are
+    enumerated, from the cheaper side: the two-hop set of v, or the open edges
+    of u with a test for each.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgewise.operators.skew import expand, spread
+from edgewise.operators.skew import expand, lookup, spread
+from edgewise.session import cut_lineage
 
 DEFAULT_ENUM_LIMIT = 1_000_000   # max two-hop volume enumerated for one vertex
 
 
-def _out_adj(edges: DataFrame, key: str, val: str) -> DataFrame:
-    return edges.select(F.col("src").alias(key), F.col("dst").alias(val))
-
+def _out_adj(links: DataFrame, key: str, val: str, *more: str) -> DataFrame:
+    return links.select(F.col("src").alias(key), F.col("dst").alias(val), *more)
 
-def _in_adj(edges: DataFrame, key: str, val: str) -> DataFrame:
-    return edges.select(F.col("dst").alias(key), F.col("src").alias(val))
 
+def _in_adj(links: DataFrame, key: str, val: str, *more: str) -> DataFrame:
+    return links.select(F.col("dst").alias(key), F.col("src").alias(val), *more)
 
-def common_neighbour_rows(pair_deg: DataFrame, edges: DataFrame, direction: str = "out",
-                          hubs: DataFrame | None = None) -> DataFrame:
-    """(u, v, x) for every x in O(u) n O(v) ('out') or I(u) n I(v) ('in').
 
-    ``pair_deg`` needs u, v and the degree columns u_out, v_out / u_in, v_in.
-    ``hubs`` is the hub table for the expanded direction.
-    """
+def _common(pair_deg: DataFrame, links: DataFrame, direction: str, hubs: DataFrame | None, carried: tuple[str, ...]) -> DataFrame:
+    """(u, v, x, u_first, <c>_p, <c>_q): shared neighbours with columns of both edges; p is u where ``u_first``."""
     if direction == "out":
-        du, dv, adj = "u_out", "v_out", _out_adj(edges, "p", "x")
-        probe = _out_adj(edges, "q", "x")
+        du, dv, adj = "u_out", "v_out", _out_adj
     elif direction == "in":
-        du, dv, adj = "u_in", "v_in", _in_adj(edges, "p", "x")
-        probe = _in_adj(edges, "q", "x")
+        du, dv, adj = "u_in", "v_in", _in_adj
     else:
         raise ValueError(direction)
     u_first = F.col(du) <= F.col(dv)
     q = (pair_deg.where(F.least(F.col(du), F.col(dv)) > 0)
-                 .select("u", "v",
+                 .select("u", "v", u_first.alias("u_first"),
                          F.when(u_first, F.col("u")).otherwise(F.col("v")).alias("p"),
                          F.when(u_first, F.col("v")).otherwise(F.col("u")).alias("q")))
-    cand = expand(q, "p", adj, "p", hubs)
-    return cand.join(probe, ["q", "x"], "left_semi").select("u", "v", "x")
-
-
-def common_counts(pair_deg: DataFrame, edges: DataFrame, direction: str,
-                  hubs: DataFrame | None = None, name: str | None = None) -> DataFrame:
-    name = name or f"common_{direction}"
-    return (common_neighbour_rows(pair_deg, edges, direction, hubs)
-            .groupBy("u", "v").agg(F.count(F.lit(1)).alias(name)))
-
-
-def two_hop_volume(edges: DataFrame, degrees: DataFrame) -> DataFrame:
-    """(id, out2): sum of out-degrees over a vertex's out-neighbours, i.e. the
-    number of length-2 paths starting there (its enumeration cost)."""
-    d = degrees.select(F.col("id").alias("dst"), F.col("out_degree").alias("_o"))
-    return (edges.join(d, "dst")
-                 .groupBy(F.col("src").alias("id"))
-                 .agg(F.sum("_o").cast("bigint").alias("out2")))
-
-
-def two_hop_reach(queries: DataFrame, edges: DataFrame, hubs_out: DataFrame | None = None,
-                  hubs_in: DataFrame | None = None, enum_limit: int = DEFAULT_ENUM_LIMIT,
-                  max_out2: int | None = None, starts: DataFrame | None = None,
-                  second_hop: DataFrame | None = None) -> DataFrame:
-    """Distinct (s, n) from ``queries`` for which a path s -> x -> n exists.
-
-    ``queries`` columns: s, n, s_out (out-degree of s), s_out2 (two-hop
-    volume of s), n_in (in-degree of n); rows distinct on (s, n).
-    ``max_out2`` (the graph's largest two-hop volume, if known) lets the
-    probe branch be left out of the plan when no vertex needs it.
-    ``starts`` (optional): a superset of the enumerated ``s`` values with
-    columns s, s_out2, cheaper to derive than from ``queries``.
-    ``second_hop`` (optional): (src, dst) edges restricted to targets that
-    can occur in ``queries`` (e.g. vertices with an out-edge).
+    near = adj(links, "p", "x", *[F.col(c).alias(f"{c}_p") for c in carried])
+    far = adj(links, "q", "x", *[F.col(c).alias(f"{c}_q") for c in carried])
+    return expand(q, "p", near, "p", hubs, spread_cols=["x"]).join(far, ["q", "x"]).drop("p", "q")
+
+
+def common_neighbour_rows(pair_deg: DataFrame, links: DataFrame, direction: str = "out",
+                          hubs: DataFrame | None = None) -> DataFrame:
+    """(u, v, x) for every x in O(u) n O(v) ('out') or I(u) n I(v) ('in').
+
+    ``pair_deg`` needs u, v and the degree columns u_out, v_out / u_in, v_in;
+    ``links`` one row per edge. ``hubs`` is the hub table for the expanded direction.
     """
-    q = queries
-    # (a) small two-hop neighbourhood: enumerate once per distinct s
-    enum_q = q.where(F.col("s_out2") <= enum_limit)
-    if starts is None:
-        starts = enum_q.select("s")
-    else:
-        starts = starts.where(F.col("s_out2") <= enum_limit).select("s")
-    starts = spread(starts.distinct(), "s")
-    first = expand(starts, "s", _out_adj(edges, "s", "x"), "s", hubs_out)
-    second = expand(first, "x", _out_adj(second_hop if second_hop is not None else edges, "x", "n"),
-                    "x", hubs_out)
-    reached = second.select("s", "n").distinct()
-    out = enum_q.select("s", "n").join(reached, ["s", "n"], "left_semi")
-    if max_out2 is not None and max_out2 <= enum_limit:
-        return out
-    # (b) large two-hop neighbourhood: smaller-side probe per (s, n)
-    probe_q = q.where(F.col("s_out2") > enum_limit)
-    via_out = (expand(probe_q.where(F.col("s_out") <= F.col("n_in")).select("s", "n"),
-                      "s", _out_adj(edges, "s", "x"), "s", hubs_out)
-               .join(_out_adj(edges, "x", "n"), ["x", "n"], "left_semi")
-               .select("s", "n"))
-    via_in = (expand(probe_q.where(F.col("s_out") > F.col("n_in")).select("s", "n"),
-                     "n", _in_adj(edges, "n", "x"), "n", hubs_in)
-              .join(_out_adj(edges, "s", "x"), ["s", "x"], "left_semi")
-              .select("s", "n"))
-    return out.unionByName(via_out.unionByName(via_in).distinct())
-
-
-def target_adjacency(edges: DataFrame, stats: DataFrame) -> DataFrame:
-    """(src, dst, dst_out, dst_in): out-adjacency carrying the target's degrees."""
-    return edges.join(stats.select(F.col("id").alias("dst"), F.col("out_degree").alias("dst_out"),
-                                   F.col("in_degree").alias("dst_in")), "dst") \
-                .select("src", "dst", "dst_out", "dst_in")
-
-
-def friends_measure_counts(pair_deg: DataFrame, edges: DataFrame, stats: DataFrame,
-                           hubs_out: DataFrame | None = None, hubs_in: DataFrame | None = None,
-                           enum_limit: int = DEFAULT_ENUM_LIMIT, adjacency: DataFrame | None = None,
-                           max_out2: int | None = None) -> DataFrame:
-    """(u, v, friends_measure) for pairs with a non-zero measure.
-
-    ``pair_deg``: u, v, u_out, v_out, u_out2, v_out2.
-    ``adjacency``: ``target_adjacency(edges, stats)`` if already built.
-    Vertex statistics travel with the rows only when the probe branch can
-    be needed; otherwise member rows are just (u, v, n).
+    return _common(pair_deg, links, direction, hubs, ()).select("u", "v", "x")
+
+
+def common_counts(pair_deg: DataFrame, links: DataFrame, direction: str, hubs: DataFrame | None = None) -> DataFrame:
+    """(u, v, n_common, n_repeated): shared neighbours, and how many of their edges occur more than once."""
+    rows = _common(pair_deg, links, direction, hubs, ("m",))
+    repeated = (F.col("m_p") > 1).cast("int") + (F.col("m_q") > 1).cast("int")
+    return rows.groupBy("u", "v").agg(F.count(F.lit(1)).alias("n_common"), F.sum(repeated).cast("bigint").alias("n_repeated"))
+
+
+def out_common_counts(pair_deg: DataFrame, links: DataFrame, hubs: DataFrame | None = None) -> DataFrame:
+    """``common_counts`` of the out-direction with what the friends measure takes from the same rows.
+
+    live_common: shared neighbours with an out-edge; reach_common: of those, closed from u or v;
+    reach_apart: the same when paths over u -> v do not count.
     """
-    adj = adjacency if adjacency is not None else target_adjacency(edges, stats)
-    adj = adj.where(F.col("dst_out") > 0)
-    enum_only = max_out2 is not None and max_out2 <= enum_limit
-    if enum_only:
-        # every test vertex is enumerated: member rows need no statistics
-        adj = adj.select(F.col("src").alias("s"), F.col("dst").alias("n"))
-        carry, n_cols = ["u", "v"], [F.col("n")]
-        side = {e: [F.lit(0).alias("s_out"), F.lit(0).alias("s_out2")] for e in ("u", "v")}
-        n_in = [F.lit(0).alias("n_in")]
-    else:
-        adj = adj.select(F.col("src").alias("s"), F.col("dst").alias("n"), F.col("dst_in").alias("n_in"))
-        carry = ["u", "v", "u_out", "u_out2", "v_out", "v_out2"]
-        side = {e: [F.col(f"{e}_out").alias("s_out"), F.col(f"{e}_out2").alias("s_out2")] for e in ("u", "v")}
-        n_in = [F.col("n_in")]
-    ends = pair_deg.select(*carry, F.explode(F.array("u", "v")).alias("s"))
-    s_out = F.when(F.col("s") == F.col("u"), F.col("u_out")).otherwise(F.col("v_out"))
-    if not enum_only:
-        ends = ends.where(s_out > 0)
-    # N = O(u) u O(v), members with an out-edge; one row per (u, v, n)
-    nb = expand(ends, "s", adj, "s", hubs_out).drop("s").dropDuplicates(["u", "v", "n"])
-    tests = nb.select(F.inline(F.array(
-        F.struct(F.col("u").alias("s"), *side["u"], F.col("n"), *n_in),
-        F.struct(F.col("v").alias("s"), *side["v"], F.col("n"), *n_in)))).dropDuplicates(["s", "n"])
-    starts = pair_deg.select(F.inline(F.array(
-        F.struct(F.col("u").alias("s"), F.col("u_out2").alias("s_out2")),
-        F.struct(F.col("v").alias("s"), F.col("v_out2").alias("s_out2")))))
-    members = adj.select(F.col("s").alias("src"), F.col("n").alias("dst"))
-    reach = two_hop_reach(tests, edges, hubs_out, hubs_in, enum_limit, max_out2, starts, members)
-    ru = reach.select(F.col("s").alias("u"), "n", F.lit(True).alias("_ru"))
-    rv = reach.select(F.col("s").alias("v"), "n", F.lit(True).alias("_rv"))
-    marked = (nb.select("u", "v", "n").join(ru, ["u", "n"], "left").join(rv, ["v", "n"], "left")
-                .where(F.col("_ru").isNotNull() | F.col("_rv").isNotNull()))
-    return marked.groupBy("u", "v").agg(F.count(F.lit(1)).alias("friends_measure"))
+    rows = _common(pair_deg, links, "out", hubs, ("m", "live", "paths"))
+    repeated = (F.col("m_p") > 1).cast("int") + (F.col("m_q") > 1).cast("int")
+    of_u = F.when(F.col("u_first"), F.col("paths_p")).otherwise(F.col("paths_q"))
+    of_v = F.when(F.col("u_first"), F.col("paths_q")).otherwise(F.col("paths_p"))
+    live = F.col("live_p")
+    return rows.groupBy("u", "v").agg(
+        F.count(F.lit(1)).alias("n_common"), F.sum(repeated).cast("bigint").alias("n_repeated"),
+        F.count_if(live).alias("live_common"), F.count_if(live & ((of_u > 0) | (of_v > 0))).alias("reach_common"),
+        F.count_if(live & ((of_u > 1) | (of_v > 0))).alias("reach_apart"))
+
+
+def two_hop_paths(queries: DataFrame, links: DataFrame, hubs_out: DataFrame | None = None,
+                  hubs_in: DataFrame | None = None) -> DataFrame:
+    """(s, n, paths): the number of x with s -> x -> n, for the distinct (s, n, s_out, n_in) of ``queries`` that have one.
+
+    The smaller of O(s) and I(n) is expanded, the other side probed.
+    """
+    by_out = F.col("s_out") <= F.col("n_in")
+    via_out = expand(queries.where(by_out).select("s", "n"), "s", _out_adj(links, "s", "x"), "s", hubs_out) \
+        .join(_out_adj(links, "x", "n"), ["x", "n"], "left_semi")
+    via_in = expand(queries.where(~by_out).select("s", "n"), "n", _in_adj(links, "n", "x"), "n", hubs_in) \
+        .join(_out_adj(links, "s", "x"), ["s", "x"], "left_semi")
+    return via_out.select("s", "n").unionAll(via_in.select("s", "n")).groupBy("s", "n").agg(F.count(F.lit(1)).alias("paths"))
+
+
+def linked_edges(edges: DataFrame, stats: DataFrame, hubs_out: DataFrame | None = None,
+                 hubs_in: DataFrame | None = None) -> DataFrame:
+    """(src, dst, m, dst_out, live, paths): the edges with the target's out-neighbours and the paths that close them.
+
+    ``edges``: distinct (src, dst, m). ``stats``: id, out_n, in_n. Paths of edges to a
+    target without out-edges are not asked for by any feature and stay 0.
+    """
+    to = lookup(edges, "dst", stats.select(F.col("id").alias("dst"), F.col("out_n").alias("dst_out"), F.col("in_n").alias("dst_in")), hubs_in)
+    both = lookup(to, "src", stats.select(F.col("id").alias("src"), F.col("out_n").alias("src_out")), hubs_out)
+    both = cut_lineage(spread(both, "src", "dst"))
+    tests = both.where(F.col("dst_out") > 0) \
+        .select(F.col("src").alias("s"), F.col("dst").alias("n"), F.col("src_out").alias("s_out"), F.col("dst_in").alias("n_in"))
+    found = two_hop_paths(tests, both, hubs_out, hubs_in).select(F.col("s").alias("src"), F.col("n").alias("dst"), "paths")
+    return both.join(found, ["src", "dst"], "left") \
+        .select("src", "dst", "m", "dst_out", (F.col("dst_out") > 0).alias("live"), F.coalesce("paths", F.lit(0)).cast("bigint").alias("paths"))
+
+
+def link_stats(links: DataFrame) -> DataFrame:
+    """(id, live_out, closed_out, out2): live and closed out-edges, and length-2 paths that start at the vertex."""
+    return links.groupBy(F.col("src").alias("id")).agg(
+        F.count_if("live").alias("live_out"), F.count_if(F.col("live") & (F.col("paths") > 0)).alias("closed_out"),
+        F.sum("dst_out").cast("bigint").alias("out2"))
+
+
+def cross_queries(pair_deg: DataFrame, apart: bool = False) -> DataFrame:
+    """(u, v, o, s, need, skip, o_open, s_out, s_out2): open edges of ``o`` to be tested for two hops from ``s``.
+
+    ``pair_deg``: u, v, uv, vu (whether the pair is an edge, either way) and both
+    ends' out, out2, open. With ``apart`` the edge u -> v does not count: neither
+    as an open edge of u (``skip``), nor as a first hop, so that two paths are needed
+    to a neighbour of v.
+    """
+    def side(o: str, s: str):
+        joined = F.col("vu") if o == "u" else F.col("uv") & ~F.lit(apart)
+        need = F.when(F.col("uv"), 2).otherwise(1) if apart and o == "v" else F.lit(1)
+        skip = F.when(F.col("uv"), F.col("v")) if apart and o == "u" else F.lit(None).cast("bigint")
+        return F.when(~joined & (F.col(f"{o}_open") > 0) & (F.col(f"{s}_out") > 0), F.struct(
+            F.col(o).alias("o"), F.col(s).alias("s"), need.alias("need"), skip.alias("skip"), F.col(f"{o}_open").alias("o_open"),
+            F.col(f"{s}_out").alias("s_out"), F.col(f"{s}_out2").alias("s_out2")))
+
+    return pair_deg.select("u", "v", F.explode(F.array(side("u", "v"), side("v", "u"))).alias("q")) \
+        .where(F.col("q").isNotNull()).select("u", "v", "q.*")
+
+
+def cross_counts(queries: DataFrame, links: DataFrame, stats: DataFrame, hubs_out: DataFrame | None = None,
+                 hubs_in: DataFrame | None = None, enum_limit: int = DEFAULT_ENUM_LIMIT) -> DataFrame | None:
+    """(u, v, cross_u, cross_v): open edges of u (of v) that end two hops from the other end; None without queries.
+
+    The two-hop set of ``s`` is enumerated, once, when that is no more work than
+    testing all open edges asked of it one by one; a query then expands the smaller of
+    the two-hop set and its open edges. The other queries test each open edge.
+    """
+    asked = queries.groupBy("s").agg(F.sum("o_open").alias("asked"))
+    enum = (F.col("s_out2") <= enum_limit) & (F.col("s_out2") <= F.col("s_out") * F.col("asked"))
+    way = F.when(~enum, "probe").when(F.col("s_out2") <= F.col("o_open"), "reach").otherwise("open")
+    queries = cut_lineage(lookup(queries, "s", asked, hubs_out).withColumn("way", way))
+    ways = {r["way"] for r in queries.select("way").distinct().collect()}
+    open_ = links.where(F.col("live") & (F.col("paths") == 0))
+    found = []
+    if ways & {"reach", "open"}:
+        starts = spread(queries.where(F.col("way") != "probe").select("s").distinct(), "s")
+        first = expand(starts, "s", _out_adj(links, "s", "x"), "s", hubs_out)
+        reach = expand(first, "x", _out_adj(links.where("live"), "x", "n"), "x", hubs_out) \
+            .groupBy("s", "n").agg(F.count(F.lit(1)).alias("paths"))
+        reach = cut_lineage(reach) if {"reach", "open"} <= ways else reach
+    if "reach" in ways:
+        rows = expand(queries.where(F.col("way") == "reach"), "s", reach, "s", hubs_in, spread_cols=["n"])
+        found.append(rows.where(F.col("paths") >= F.col("need")).join(_out_adj(open_, "o", "n"), ["o", "n"], "left_semi"))
+    if ways & {"open", "probe"}:
+        rows = expand(spread(queries.where(F.col("way") != "reach"), "u", "v"), "o", _out_adj(open_, "o", "n"), "o", hubs_out)
+        if "open" in ways:
+            found.append(rows.where(F.col("way") == "open").join(reach, ["s", "n"]).where(F.col("paths") >= F.col("need")))
+        if "probe" in ways:
+            probes = rows.where(F.col("way") == "probe")
+            tests = lookup(probes.select("s", "n", "s_out").distinct(), "n", stats.select(F.col("id").alias("n"), F.col("in_n").alias("n_in")), hubs_in)
+            found.append(probes.join(two_hop_paths(tests, links, hubs_out, hubs_in), ["s", "n"]).where(F.col("paths") >= F.col("need")))
+    if not found:
+        return None
+    rows = reduce(DataFrame.unionAll, [f.select("u", "v", "o", "n", "skip") for f in found])
+    kept = F.col("skip").isNull() | (F.col("n") != F.col("skip"))
+    return rows.where(kept).groupBy("u", "v").agg(F.count_if(F.col("o") == F.col("u")).alias("cross_u"),
+                                                  F.count_if(F.col("o") == F.col("v")).alias("cross_v"))

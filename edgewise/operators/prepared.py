@@ -1,10 +1,13 @@
 """A graph prepared once for many pair-feature queries.
 
-Per-vertex statistics are reused by every feature, so they are built
-once (and optionally materialised) instead of being re-derived inside
-each sub-plan. The hub tables hold every vertex above the chunk size and
-are written once; graphs without hubs get plain joins, graphs with hubs
+Per-vertex statistics and the paths that close each edge are reused by every
+feature, so they are built once (and optionally materialised) instead of being
+re-derived inside each sub-plan. The hub tables hold every vertex above the hub
+bound and are written once; graphs without hubs get plain joins, graphs with hubs
 salted expansions.
+
+With ``multi`` the graph is taken as it comes: repeated edges count in degrees and
+make a neighbour common, reciprocal counts multiply, self-loops stay.
 """
 
 from __future__ import annotations
@@ -15,26 +18,24 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgewise.operators.graph import vertex_stats
-from edgewise.operators.neighbours import target_adjacency, two_hop_volume
-from edgewise.operators.skew import DEFAULT_CHUNK, hub_table, spread
+from edgewise.operators.neighbours import link_stats, linked_edges
+from edgewise.operators.skew import DEFAULT_CHUNK, hub_bound, hub_table, spread
 from edgewise.session import cut_lineage
 from edgewise.sources.graphs import simple_graph
 
 
 @dataclass
 class PreparedGraph:
-    edges: DataFrame                  # simple edges (src, dst)
-    stats: DataFrame                  # id, degree, in_degree, out_degree, bi, out2
+    edges: DataFrame                  # distinct edges (src, dst)
+    stats: DataFrame                  # id, degree, in_degree, out_degree, bi, out_n, in_n, rep_out, rep_in, live_out, closed_out, out2
+    links: DataFrame                  # src, dst, m, dst_out, live, paths
     hubs_out: DataFrame | None = None
     hubs_in: DataFrame | None = None
-    adjacency: DataFrame | None = None  # src, dst, dst_out, dst_in
-    max_out2: int | None = None         # largest two-hop volume (one scalar)
+    multi: bool = False
 
     def unpersist(self) -> None:
-        for df in (self.edges, self.stats, self.adjacency):
-            if df is not None:
-                df.unpersist()
+        for df in (self.edges, self.stats, self.links):
+            df.unpersist()
 
 
 def _materialize(df: DataFrame, how: str | None) -> DataFrame:
@@ -45,33 +46,52 @@ def _materialize(df: DataFrame, how: str | None) -> DataFrame:
     return df
 
 
-def _hubs(stats: DataFrame, col: str, chunk: int) -> DataFrame | None:
-    hubs = cut_lineage(hub_table(stats, col, chunk))
+def _hubs(stats: DataFrame, col: str, bound: int) -> DataFrame | None:
+    hubs = cut_lineage(hub_table(stats, col, bound))
     return None if hubs.isEmpty() else hubs
 
 
-def graph_stats(edges: DataFrame) -> DataFrame:
-    """(id, degree, in_degree, out_degree, bi, out2) per vertex."""
-    st = vertex_stats(edges)
-    return (st.join(two_hop_volume(edges, st), "id", "left")
-              .withColumn("out2", F.coalesce(F.col("out2"), F.lit(0)).cast("bigint")))
+def vertex_counts(weighted: DataFrame) -> DataFrame:
+    """Per vertex of (src, dst, m): degrees with multiplicity, distinct neighbours, repeated neighbours, reciprocal degree."""
+    def end(c: str, out: bool):
+        zero, one, many = F.lit(0).cast("bigint"), F.lit(1).cast("bigint"), (F.col("m") > 1).cast("bigint")
+        here, there = (F.col("m"), one, many), (zero, zero, zero)
+        o, i = (here, there) if out else (there, here)
+        return F.struct(F.col(c).alias("id"), *[x.alias(n) for x, n in zip((*o, *i), ("o", "on", "orep", "i", "inn", "irep"))])
+
+    sums = weighted.select(F.inline(F.array(end("src", True), end("dst", False)))).groupBy("id").agg(
+        F.sum("o").alias("out_degree"), F.sum("i").alias("in_degree"), F.sum("on").alias("out_n"), F.sum("inn").alias("in_n"),
+        F.sum("orep").alias("rep_out"), F.sum("irep").alias("rep_in"))
+    back = weighted.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.col("m").alias("back"))
+    bi = weighted.join(back, ["src", "dst"]).groupBy(F.col("src").alias("id")).agg(F.sum(F.col("m") * F.col("back")).alias("bi"))
+    return sums.join(bi, "id", "left").select(
+        "id", (F.col("in_degree") + F.col("out_degree")).alias("degree"), "in_degree", "out_degree",
+        F.coalesce("bi", F.lit(0)).cast("bigint").alias("bi"), "out_n", "in_n", "rep_out", "rep_in")
 
 
 def prepare_graph(edges: DataFrame, simple: bool = True, materialize: str | None = "cache",
-                  chunk: int = DEFAULT_CHUNK, salt: bool = True) -> PreparedGraph:
-    e = simple_graph(edges) if simple else edges.select("src", "dst")
+                  chunk: int = DEFAULT_CHUNK, salt: bool = True, multi: bool = False) -> PreparedGraph:
+    """``simple``: drop repeated edges and self-loops first (off: the edges are known to be simple).
+    ``multi``: keep both, with the bag semantics of the module's docstring."""
+    if multi:
+        e = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m"))
+    else:
+        e = (simple_graph(edges) if simple else edges.select("src", "dst")).withColumn("m", F.lit(1).cast("bigint"))
     # spread over both ends: a hub's edges lie in all parts, not in one
     e = _materialize(spread(e, "src", "dst"), materialize)
-    st = _materialize(spread(graph_stats(e), "id"), materialize)
-    hubs_out = _hubs(st, "out_degree", chunk) if salt else None
-    hubs_in = _hubs(st, "in_degree", chunk) if salt else None
-    adj = _materialize(spread(target_adjacency(e, st), "src", "dst"), materialize)
-    max_out2 = st.agg(F.max("out2")).first()[0] if materialize else None
-    return PreparedGraph(e, st, hubs_out, hubs_in, adj, max_out2)
+    counts = _materialize(spread(vertex_counts(e), "id"), materialize)
+    hubs_out = hubs_in = None
+    if salt:
+        bound = hub_bound(counts.agg(F.sum("out_n")).first()[0] or 0, chunk)
+        hubs_out, hubs_in = _hubs(counts, "out_n", bound), _hubs(counts, "in_n", bound)
+    links = _materialize(spread(linked_edges(e, counts, hubs_out, hubs_in), "src", "dst"), materialize)
+    st = counts.join(link_stats(links), "id", "left").fillna(0, ["live_out", "closed_out", "out2"])
+    st = _materialize(spread(st, "id"), materialize)
+    return PreparedGraph(e.select("src", "dst"), st, links, hubs_out, hubs_in, multi)
 
 
 def as_prepared(graph, **kw) -> PreparedGraph:
     if isinstance(graph, PreparedGraph):
         return graph
-    kw.setdefault("materialize", None)
+    kw.setdefault("materialize", "checkpoint")  # the parts are read several times
     return prepare_graph(graph, **kw)

@@ -8,9 +8,9 @@ into ``ceil(degree / chunk)`` salt buckets (by a hash of the neighbour),
 and rows referencing a hub are replicated once per bucket, so the output
 of one hub is spread across many tasks.
 
-Every vertex above the chunk size is in the hub table, so it has fewer than
-E / chunk rows; its joins are left to the planner and to AQE, which broadcast
-it when its measured size allows.
+The hub table holds every vertex above ``hub_bound``: the chunk size, or one
+part in ``MAX_HUBS`` of all edges if that is more. No more than ``MAX_HUBS``
+vertices can lie above it, so the table is broadcast.
 """
 
 from __future__ import annotations
@@ -18,7 +18,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from edgewise.operators.bounded import bounded_broadcast
+
 DEFAULT_CHUNK = 200_000     # max adjacency entries per salt bucket
+MAX_HUBS = 10_000           # vertices that can hold more than one in so many of all edges
 
 
 def spread(df: DataFrame, *cols: str) -> DataFrame:
@@ -36,12 +39,36 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
     return df.repartition(n, F.xxhash64(*cols))
 
 
-def hub_table(degrees: DataFrame, degree_col: str, chunk: int = DEFAULT_CHUNK,
-              id_col: str = "id") -> DataFrame:
-    """(id, salts) for every vertex whose ``degree_col`` exceeds ``chunk``."""
-    return (degrees.where(F.col(degree_col) > chunk)
+def hub_bound(n_edges: int, chunk: int = DEFAULT_CHUNK) -> int:
+    """Degree beyond which a vertex is a hub: at most MAX_HUBS vertices are, whatever the graph."""
+    return max(chunk, n_edges // MAX_HUBS)
+
+
+def hub_table(degrees: DataFrame, degree_col: str, bound: int = DEFAULT_CHUNK, id_col: str = "id") -> DataFrame:
+    """(id, salts) for every vertex whose ``degree_col`` exceeds ``bound``."""
+    return (degrees.where(F.col(degree_col) > bound)
                    .select(F.col(id_col).alias("id"),
-                           F.ceil(F.col(degree_col) / F.lit(chunk)).cast("int").alias("salts")))
+                           F.ceil(F.col(degree_col) / F.lit(bound)).cast("int").alias("salts")))
+
+
+def _salts(hubs: DataFrame, key: str) -> DataFrame:
+    return bounded_broadcast(hubs.select(F.col("id").alias(key), F.col("salts").alias("_ns")), MAX_HUBS)
+
+
+def lookup(rows: DataFrame, key: str, table: DataFrame, hubs: DataFrame | None = None, how: str = "inner") -> DataFrame:
+    """Equi-join of ``rows`` with a ``table`` of one row per ``key``.
+
+    Rows of a hub are dealt over its salts by a hash of their other columns,
+    and its table row is repeated for each: no task gets all of a hub's rows.
+    """
+    if hubs is None:
+        return rows.join(table, key, how)
+    h = _salts(hubs, key)
+    salt = F.when(F.col("_ns").isNull(), 0).otherwise(F.pmod(F.xxhash64(*rows.columns), F.col("_ns")).cast("int"))
+    left = rows.join(h, key, "left").withColumn("_salt", salt).drop("_ns")
+    right = table.join(h, key, "left") \
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_ns"), F.lit(1)) - 1))).drop("_ns")
+    return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
 def expand(left: DataFrame, key: str, adj: DataFrame, adj_key: str,
@@ -55,7 +82,7 @@ def expand(left: DataFrame, key: str, adj: DataFrame, adj_key: str,
     if hubs is None:
         return left.join(a, key)
     spread = spread_cols or [c for c in a.columns if c != key]
-    h = hubs.select(F.col("id").alias(key), F.col("salts").alias("_ns"))
+    h = _salts(hubs, key)
     a = (a.join(h, key, "left")
           .withColumn("_salt", F.when(F.col("_ns").isNull(), F.lit(0))
                                 .otherwise(F.pmod(F.xxhash64(*spread), F.col("_ns")).cast("int")))

@@ -268,6 +268,22 @@ def q_edge_features(spark, sf):
     return features.edge_features(ev_prepared(spark, sf))
 
 
+def q_edge_features_multi(spark, sf):
+    """Features of every edge of the raw event graph, repeated edges and self-loops kept."""
+    g = _memo(spark, sf, "ev_multi", lambda: prepare_graph(ev_raw(spark, sf), multi=True, materialize="checkpoint"))
+    return features.edge_features(g)
+
+
+def q_pair_features_excluded(spark, sf):
+    """Features of the labelled pairs, each pair's own edge left out of the graph."""
+    return features.pair_features(sample(spark, sf)[2], sub_prepared(spark, sf), isolated="zero", exclude_target=True)
+
+
+def q_edge_features_excluded(spark, sf):
+    """Features of every edge of the event graph as if it were not there."""
+    return features.edge_features(ev_prepared(spark, sf), isolated="zero", exclude_target=True)
+
+
 def q_label_encode(spark, sf):
     return features.label_encode(sample(spark, sf)[2])
 
@@ -304,12 +320,12 @@ def q_pairs_scan(spark, sf):
 # ---------------------------------------------------------------- baseline
 
 def q_co_out_counts(spark, sf):
-    c = features.common_friends(sample(spark, sf)[2], cp_prepared(spark, sf))
+    c = features.common_friends(sample(spark, sf)[2], cp_prepared(spark, sf), ("out",))
     return c.where(F.col("common_out") > 0).select("u", "v", F.col("common_out").alias("co_out"))
 
 
 def q_co_in_counts(spark, sf):
-    c = features.common_friends(sample(spark, sf)[2], cp_prepared(spark, sf))
+    c = features.common_friends(sample(spark, sf)[2], cp_prepared(spark, sf), ("in",))
     return c.where(F.col("common_in") > 0).select("u", "v", F.col("common_in").alias("co_in"))
 
 

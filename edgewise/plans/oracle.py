@@ -147,6 +147,47 @@ def feature_ctes(e: str, pairs: str, p: str):
     ]
 
 
+def bag_feature_ctes(e: str, pairs: str, p: str, own: bool = False):
+    """22 features of all pairs, isolated ends too, over edge rows as they come (repeats, self-loops).
+
+    With ``own`` each pair's edge u -> v is deleted from the graph, pair by pair.
+    """
+    def kept(a: str, q: str = "q") -> str:
+        return f"NOT ({a}.src = {q}.u AND {a}.dst = {q}.v)" if own else "true"
+
+    def ends(key: str, far: str) -> str:
+        return " UNION ALL ".join(f"SELECT q.u, q.v, '{s}' AS s, a.{far} AS n FROM {p}p q JOIN {e} a ON a.{key} = q.{s} WHERE {kept('a')}"
+                                  for s in "uv")
+
+    def sides(rows: str, s: str, name: str):
+        return f"(SELECT u, v, count(*) FILTER (s = 'u') AS u_{name}, count(*) FILTER (s = 'v') AS v_{name} FROM {rows} GROUP BY u, v) {s}"
+
+    def per_pair(rows: str, s: str, name: str):
+        return (f"(SELECT u, v, count(*) AS total_{name}, count(*) FILTER (c > 1) AS common_{name} FROM "
+                f"(SELECT u, v, n, count(*) AS c FROM {rows} GROUP BY u, v, n) t GROUP BY u, v) {s}")
+
+    joins = "".join(f" LEFT JOIN {x} ON {a}.u = q.u AND {a}.v = q.v" for a, x in (
+        ("o", sides(f"{p}o", "o", "out")), ("i", sides(f"{p}i", "i", "in")), ("b", sides(f"{p}b", "b", "bi")),
+        ("co", per_pair(f"{p}o", "co", "out")), ("ci", per_pair(f"{p}i", "ci", "in")), ("f", f"{p}f f")))
+    names = ("u_in", "u_out", "u_bi", "v_in", "v_out", "v_bi", "common_in", "common_out", "total_in", "total_out", "friends_measure")
+    return [
+        (f"{p}p", f"SELECT u, v, max(label) AS label FROM {pairs} WHERE u <> v GROUP BY u, v"),
+        (f"{p}e", f"SELECT DISTINCT src, dst FROM {e}"),
+        (f"{p}o", ends("src", "dst")),
+        (f"{p}i", ends("dst", "src")),
+        (f"{p}b", f"SELECT q.u, q.v, q.s FROM {p}o q JOIN {e} a ON a.src = q.n AND a.dst = CASE WHEN q.s = 'u' THEN q.u ELSE q.v END "
+                  f"WHERE {kept('a')}"),
+        (f"{p}nb", f"SELECT DISTINCT u, v, n FROM {p}o"),
+        (f"{p}hop", f"SELECT q.u, q.v, q.n, a.dst AS m FROM {p}nb q JOIN {p}e a ON a.src = q.n WHERE {kept('a')}"),
+        (f"{p}f", f"SELECT q.u, q.v, count(*) AS friends_measure FROM {p}nb q "
+                  f"SEMI JOIN (SELECT DISTINCT u, v, m FROM {p}hop) t ON t.u = q.u AND t.v = q.v AND t.m = q.n "
+                  f"SEMI JOIN (SELECT DISTINCT u, v, n FROM {p}hop) l ON l.u = q.u AND l.v = q.v AND l.n = q.n GROUP BY q.u, q.v"),
+        (f"{p}cnt", f"SELECT q.u, q.v, label, {', '.join(f'CAST(coalesce({c}, 0) AS BIGINT) AS {c}' for c in names)} FROM {p}p q{joins}"),
+        (f"{p}feat", f"SELECT {', '.join(FEATURE_COLUMNS)} FROM (SELECT *, {derived_sql()} FROM "
+                     f"(SELECT *, u_in + u_out AS u_degree, v_in + v_out AS v_degree FROM {p}cnt) t) t"),
+    ]
+
+
 def train_features():
     return train_ctes() + feature_ctes(f"{TR}sub", f"{TR}pairs", "ftr_")
 
@@ -320,6 +361,11 @@ def oracle_sql() -> dict[str, str]:
         "pair_features": W(ft, f"SELECT * FROM {pv}feat"),
         "pair_features_test": _test_features_sql(),
         "edge_features": _edge_features_sql(),
+        "edge_features_multi": W(base_graphs() + [("evm", "SELECT DISTINCT src AS u, dst AS v, 'Y' AS label FROM ev_raw")]
+                                 + bag_feature_ctes("ev_raw", "evm", "fem_"), "SELECT * FROM fem_feat"),
+        "pair_features_excluded": W(tr + bag_feature_ctes(f"{TR}sub", f"{TR}pairs", "fx_", own=True), "SELECT * FROM fx_feat"),
+        "edge_features_excluded": W(base_graphs() + [("evp", "SELECT src AS u, dst AS v, 'Y' AS label FROM ev")]
+                                    + bag_feature_ctes("ev", "evp", "fex_", own=True), "SELECT * FROM fex_feat"),
         "label_encode": W(tr, f"SELECT u, v, label, {LABEL_VALUE} AS label_value FROM {TR}pairs"),
         "feature_subset": W(fw, f"SELECT u, v, {', '.join(FEATURE_NAMES[i] for i in SVM_LR_FEATURES)}, "
                                 f"{LABEL_VALUE} AS label_value FROM fw_feat"),

@@ -165,3 +165,115 @@ def test_hub_holding_a_third_of_edges(spark):
         for k, exp in expected.items():
             for col, val in exp.items():
                 assert got[k][col] == val, (k, col, enum_limit)
+
+
+# ----------------------------------------------------------------- own edge left out, repeated edges
+
+def brute_without_target(edges, pairs):
+    """Each pair on the graph less its own edge; isolated ends stay with zeros."""
+    E = {(a, b) for a, b in edges if a != b}
+    res = {}
+    for u, v in {(u, v) for u, v in pairs if u != v}:
+        e = E - {(u, v)}
+        O = lambda x: {b for a, b in e if a == x}
+        I = lambda x: {a for a, b in e if b == x}
+        N = O(u) | O(v)
+        res[u, v] = dict(
+            u_out=len(O(u)), u_in=len(I(u)), v_out=len(O(v)), v_in=len(I(v)), u_degree=len(O(u)) + len(I(u)),
+            v_degree=len(O(v)) + len(I(v)), u_bi=len(O(u) & I(u)), v_bi=len(O(v) & I(v)),
+            common_out=len(O(u) & O(v)), common_in=len(I(u) & I(v)), total_out=len(N), total_in=len(I(u) | I(v)),
+            friends_measure=sum(1 for n in N if O(n) and any((m, n) in e for m in N)),
+            u_out_density=len(O(u)) / (len(O(u)) + len(I(u))) if O(u) or I(u) else 0.0)
+    return res
+
+
+@pytest.mark.parametrize("n,m", [(9, 30), (16, 40), (7, 35)])
+def test_the_pairs_own_edge_is_left_out(spark, n, m):
+    rnd = random.Random(n * m)
+    edges = [(rnd.randrange(n), rnd.randrange(n)) for _ in range(m)] + [(n, n + 1), (n + 1, n), (n + 2, n + 3)]
+    pairs = [(a, b, "Y") for a, b in edges] + [(rnd.randrange(n + 5), rnd.randrange(n + 5), "N") for _ in range(60)]
+    expected = brute_without_target(edges, [(u, v) for u, v, _ in pairs])
+    e_df = spark.createDataFrame(edges, "src bigint, dst bigint")
+    for kw, enum_limit in (({}, 1_000_000), ({"chunk": 2}, 0)):
+        g = prepare_graph(e_df, **kw)
+        got = _rows(features.pair_features(pairs_df(spark, pairs), g, isolated="zero", exclude_target=True, enum_limit=enum_limit))
+        assert set(got) == set(expected)
+        for k, exp in expected.items():
+            for col, val in exp.items():
+                assert got[k][col] == val, (k, col, kw)
+    dropped = _rows(features.pair_features(pairs_df(spark, pairs), g, exclude_target=True))
+    assert set(dropped) == {k for k, x in expected.items() if x["u_degree"] and x["v_degree"]}
+    assert (n + 2, n + 3) not in dropped
+
+
+def test_the_own_edge_needs_a_simple_graph(spark, t1_edges):
+    with pytest.raises(ValueError):
+        features.pair_features(pairs_df(spark, T1_PAIRS), prepare_graph(t1_edges, multi=True), exclude_target=True)
+
+
+def brute_multi(edges, pairs):
+    """The bag form: every edge row counts."""
+    from collections import Counter
+    res = {}
+    rows_out = lambda x: [b for a, b in edges if a == x]
+    rows_in = lambda x: [a for a, b in edges if b == x]
+    for u, v in {(u, v) for u, v in pairs if u != v}:
+        ou, ov, iu, iv = rows_out(u), rows_out(v), rows_in(u), rows_in(v)
+        if not (ou or iu) or not (ov or iv):
+            continue
+        N = set(ou) | set(ov)
+        res[u, v] = dict(
+            u_degree=len(ou) + len(iu), v_in=len(iv), v_out=len(ov),
+            u_bi=sum(c == u for b in ou for c in rows_out(b)), v_bi=sum(c == v for b in ov for c in rows_out(b)),
+            common_out=sum(c > 1 for c in Counter(ou + ov).values()), common_in=sum(c > 1 for c in Counter(iu + iv).values()),
+            total_out=len(N), total_in=len(set(iu) | set(iv)),
+            friends_measure=sum(1 for x in N if rows_out(x) and any((y, x) in set(edges) for y in N)))
+    return res
+
+
+@pytest.mark.parametrize("enum_limit", [1_000_000, 0])
+def test_repeated_edges_and_self_loops_count(spark, enum_limit):
+    rnd = random.Random(8)
+    edges = [(rnd.randrange(12), rnd.randrange(12)) for _ in range(70)]
+    assert len(set(edges)) < len(edges) and any(a == b for a, b in edges)
+    pairs = [(rnd.randrange(14), rnd.randrange(14), "N") for _ in range(90)]
+    g = prepare_graph(spark.createDataFrame(edges, "src bigint, dst bigint"), multi=True, chunk=4)
+    got = _rows(features.pair_features(pairs_df(spark, pairs), g, enum_limit=enum_limit))
+    expected = brute_multi(edges, [(u, v) for u, v, _ in pairs])
+    assert set(got) == set(expected)
+    for k, exp in expected.items():
+        for col, val in exp.items():
+            assert got[k][col] == val, (k, col)
+
+
+def _node_rows(plan):
+    """numOutputRows of every node of an executed plan, through its adaptive stages."""
+    name = plan.nodeName()
+    if name.startswith("AdaptiveSparkPlan"):
+        return _node_rows(plan.executedPlan())
+    metric = plan.metrics().get("numOutputRows")
+    out = [(name, metric.get().value())] if metric.isDefined() else []
+    if "QueryStage" in name:
+        return out + _node_rows(plan.plan())
+    for i in range(plan.children().size()):
+        out += _node_rows(plan.children().apply(i))
+    return out
+
+
+def test_hub_pairs_stay_far_below_the_square_of_its_degree(spark):
+    """Every edge of a hub with D out- and D/2 in-neighbours as a pair: no step makes rows by D squared."""
+    d = 2000
+    edges = [(0, i) for i in range(1, d + 1)] + [(i, 0) for i in range(1, d + 1, 2)] + [(i, i % d + 1) for i in range(1, d + 1, 3)]
+    g = prepare_graph(spark.createDataFrame(edges, "src bigint, dst bigint"), materialize="checkpoint", chunk=500)
+    df = features.edge_features(g)
+    rows = df.collect()
+    assert len(rows) == len(edges)
+    most = max(n for _, n in _node_rows(df._jdf.queryExecution().executedPlan()))
+    assert most < 20 * len(edges) < d * d / 20
+    out = {}
+    for a, b in edges:
+        out.setdefault(a, set()).add(b)
+    for r in rows[::97]:
+        n = out.get(r.u, set()) | out.get(r.v, set())
+        hops = set().union(*[out.get(m, set()) for m in n])
+        assert r.friends_measure == sum(1 for x in n if out.get(x) and x in hops), (r.u, r.v)
