@@ -16,19 +16,27 @@ exact copies only and forms no bands.
 Bands are tuned for recall: as few as give ``RECALL`` at the threshold.
 Paragraphs that share a band are compared by the exact Jaccard similarity of
 their sets of five-word shingles. A bucket is not paired out: its members are
-first compared with its smallest and its largest member, then, where the bucket
-still holds several components, with ``PIVOTS`` more; what that leaves in
-different components within one bucket is compared pair by pair, so no link is
-lost, while a large bucket of near copies costs some stars. Components of
-verified links are the classes; of each class the first paragraph in the
-corpus stays.
+compared with its smallest and its largest member. Where the bucket still holds
+several components, each member is filed under its rarest shingles, as many as
+leave too few for the threshold without them; only members of different
+components that share such a shingle and have sizes within the threshold are
+compared, so no link is lost. Components of verified links are the classes; of each class the
+first paragraph in the corpus is its head.
+
+What is cut: of each document the paragraphs that are not heads, where a run of
+them, one behind the other, has ``CUT_WORDS`` words together. A short line that
+many texts share alone is reported and stays. Passage units are settled after
+that: the first place outside cut paragraphs stays, the others are cut, so no
+passage loses its last copy with a paragraph that goes.
 
 Equal paragraphs are one point from the start, so a line that a large part of
 the texts share costs one point in the joins. Defined cases: null or blank
 texts have no paragraphs; rows that repeat id and text count as one document
 and are reported each; rows without an id come first; an empty table gives an
 empty result; further columns are ignored by the report, kept by
-``without_repeats``.
+``without_repeats`` whatever their names. A text may have any length: its paragraphs
+are rows, and only the spans to cut are gathered per document. Units that make up 1 in
+``HOT_UNITS`` of all places (at most ``HOT_UNITS`` units) are joined by broadcast.
 """
 
 from __future__ import annotations
@@ -55,8 +63,9 @@ PASSAGE_WORDS = 50
 UNIT_WORDS = 25
 #: Shorter sentences are taken together with the next.
 SENTENCE_WORDS = 4
-#: Members that the others of a bucket are compared with before pairs across components are formed.
-PIVOTS = 8
+#: A run of later paragraphs is cut from so many words on.
+CUT_WORDS = 25
+HOT_UNITS = 10_000
 #: Text that one round of numpy work takes.
 BATCH_CHARS = 1_000_000
 
@@ -140,7 +149,7 @@ def _normal(text: str) -> bytes:
 
 
 def paragraph_units(docs: DataFrame, bands: int) -> DataFrame:
-    """(doc_id, key, start, stop, unit, bands) of every paragraph; ``unit`` names its normalised text.
+    """(doc_id, key, place, words, start, stop, unit, bands) of every paragraph; ``unit`` names its normalised text.
 
     Paragraphs without a five-word shingle have no bands.
     """
@@ -148,11 +157,12 @@ def paragraph_units(docs: DataFrame, bands: int) -> DataFrame:
         from xxhash import xxh3_64_intdigest
 
         for b in batches:
-            who, start, stop, units, size = [], [], [], [], 0
+            who, place, start, stop, units, size = [], [], [], [], [], 0
             for i, t in enumerate(b.column("text")):
                 text = t.as_py() or ""
-                for a, e in paragraphs(text):
+                for at, (a, e) in enumerate(paragraphs(text)):
                     who.append(i)
+                    place.append(at)
                     start.append(a)
                     stop.append(e)
                     units.append(_normal(text[a:e]))
@@ -163,16 +173,17 @@ def paragraph_units(docs: DataFrame, bands: int) -> DataFrame:
                     ends = np.concatenate(([0], np.cumsum(long * bands))).astype(np.int32)
                     take = pa.array(who, pa.int32())
                     yield pa.RecordBatch.from_arrays(
-                        [b.column("doc_id").take(take), b.column("key").take(take), pa.array(start, pa.int32()),
+                        [b.column("doc_id").take(take), b.column("key").take(take), pa.array(place, pa.int32()),
+                         pa.array([u.count(b" ") + 1 for u in units], pa.int32()), pa.array(start, pa.int32()),
                          pa.array(stop, pa.int32()),
                          pa.array(np.array([xxh3_64_intdigest(u) for u in units], np.uint64).view(np.int64)),
                          pa.ListArray.from_arrays(pa.array(ends), pa.array(sig.ravel()))],
-                        ["doc_id", "key", "start", "stop", "unit", "bands"])
-                    who, start, stop, units, size = [], [], [], [], 0
+                        ["doc_id", "key", "place", "words", "start", "stop", "unit", "bands"])
+                    who, place, start, stop, units, size = [], [], [], [], [], 0
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), "text").mapInArrow(
-        run, f"doc_id {id_type}, key bigint, start int, stop int, unit bigint, bands array<bigint>")
+        run, f"doc_id {id_type}, key bigint, place int, words int, start int, stop int, unit bigint, bands array<bigint>")
 
 
 def _sliding(least, x: np.ndarray, width: int) -> np.ndarray:
@@ -236,18 +247,35 @@ def passage_units(docs: DataFrame) -> DataFrame:
         run, f"doc_id {id_type}, key bigint, start int, stop int, unit bigint")
 
 
-def passage_repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, start, stop, class_doc_id): passage units that stand earlier in the corpus.
+def _at_places(places: DataFrame, named: DataFrame, total: int) -> DataFrame:
+    """``places`` joined with ``named`` (unit, n, ...) by unit; a unit of very many places, by broadcast."""
+    hot = F.col("n") * HOT_UNITS >= total
+    near = F.broadcast(named.where(hot))
+    return places.join(near, "unit").unionByName(
+        places.join(F.broadcast(named.where(hot).select("unit")), "unit", "left_anti").join(named.where(~hot), "unit"))
 
-    One that overlaps the first itself, as in a text of one repeated word, is left.
+
+def passage_repeats(docs: DataFrame, cut: DataFrame | None = None) -> DataFrame:
+    """(doc_id, key, start, stop, class_doc_id, gone): passage units with another place in the corpus that stays.
+
+    ``cut``: (d, k, spans) of text that goes anyway. The first place outside it is a unit's head; without
+    such a place nothing of the unit is ``gone``. A unit that overlaps its head, as in a text of one repeated
+    word, is left.
     """
     units = stored(passage_units(docs), "passages")
-    heads = units.groupBy("unit").agg(F.min(F.struct("doc_id", "key", "start", "stop")).alias("head"), F.count("*").alias("n")) \
-        .where(F.col("n") > 1).select("unit", "head")
+    total = units.count()
+    again = units.groupBy("unit").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    units = stored(_at_places(units, again, total), "repeated_passages")
+    inside = F.lit(False)
+    if cut is not None:
+        units = units.join(cut, units["doc_id"].eqNullSafe(F.col("d")) & (units["key"] == F.col("k")), "left")
+        inside = F.coalesce(F.exists("spans", lambda x: (x["start"] < F.col("stop")) & (F.col("start") < x["stop"])), F.lit(False))
+    units = units.select("doc_id", "key", "start", "stop", "unit", "n", inside.alias("inside"))
+    heads = units.groupBy("unit", "n").agg(F.min(F.struct("inside", "doc_id", "key", "start", "stop")).alias("head"))
     own = F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("key") == F.col("head.key")) \
-        & (F.col("start") < F.col("head.stop"))
-    return units.join(heads, "unit").where(~own) \
-        .select("doc_id", "key", "start", "stop", F.col("head.doc_id").alias("class_doc_id"))
+        & (F.col("start") < F.col("head.stop")) & (F.col("head.start") < F.col("stop"))
+    return _at_places(units.drop("n"), heads, total).where(~own) \
+        .select("doc_id", "key", "start", "stop", F.col("head.doc_id").alias("class_doc_id"), (~F.col("head.inside")).alias("gone"))
 
 
 def _shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -290,8 +318,35 @@ def _open_members(members: DataFrame, linked: DataFrame) -> DataFrame:
     return stored(labelled.where(F.col("low") != F.col("high")).select("unit", "h", "c"), "open_buckets")
 
 
+def _rare_shingles(units: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(unit, size, g): of each set the rarest shingles; sets alike to the threshold share one of them.
+
+    Of n shingles, n - ceil(t * n) + 1: two sets that share none of these, in one order of all shingles,
+    share too few of the rest.
+    """
+    all_ = sets.join(units.select("unit").distinct(), "unit").select("unit", F.size("set").alias("size"), F.explode("set").alias("g"))
+    often = all_.groupBy("g").agg(F.count("*").alias("often"))
+    order = F.array_sort(F.collect_list(F.struct("often", "g")))
+    kept = (F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - 1e-9) + 1).cast("int")
+    return all_.join(often, "g").groupBy("unit", "size").agg(order.alias("o")) \
+        .select("unit", "size", F.explode(F.slice("o", F.lit(1), kept)).alias("x")).select("unit", "size", "x.g")
+
+
+def _across_components(labelled: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of one bucket and different components that share a rare shingle and are alike in size."""
+    filed = stored(labelled.join(_rare_shingles(labelled, sets, threshold), "unit"), "filed")
+    mixed = filed.groupBy("h", "g").agg(F.min("c").alias("low"), F.max("c").alias("high")) \
+        .where(F.col("low") != F.col("high")).select("h", "g")
+    filed = filed.join(mixed, ["h", "g"])
+    x = filed.select("h", "g", F.col("unit").alias("a"), F.col("c").alias("ca"), F.col("size").alias("na"))
+    y = filed.select("h", "g", F.col("unit").alias("b"), F.col("c").alias("cb"), F.col("size").alias("nb"))
+    near = (F.col("na") >= threshold * F.col("nb")) & (F.col("nb") >= threshold * F.col("na"))
+    return x.join(y, ["h", "g"]).where((F.col("ca") < F.col("cb")) & near) \
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def paragraph_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """(doc_id, key, start, stop, class_doc_id, class_key, class_start): paragraphs of classes with two or more.
+    """(doc_id, key, place, words, start, stop, class_doc_id, class_key, class_start): paragraphs of classes with two or more.
 
     The class is named by its first paragraph in the corpus.
     """
@@ -312,31 +367,36 @@ def paragraph_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: flo
                   .select(unit.alias("a"), F.col("high").alias("b"))).distinct()
     links = stored(_verified(stars, sets, threshold), "links")
     linked = stored(connected_components(links), "components")
-    # buckets whose members are not all in one component: more stars there, then the pairs across components
-    for stars_only in (True, False):
-        labelled = _open_members(members, linked)
-        if stars_only:
-            few = Window.partitionBy("h").orderBy(F.xxhash64("unit", "h"))
-            y = labelled.withColumn("place", F.row_number().over(few)).where(F.col("place") <= PIVOTS)
-        else:
-            y = labelled
-        x = labelled.select(unit.alias("a"), "h", F.col("c").alias("ca"))
-        y = y.select(unit.alias("b"), "h", F.col("c").alias("cb"))
-        differ = F.col("ca") != F.col("cb") if stars_only else F.col("ca") < F.col("cb")
-        rest = x.join(y, "h").where(differ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        more = stored(_verified(rest, sets, threshold), "links")
-        if not more.isEmpty():
-            known = linked.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            linked = stored(connected_components(known.unionAll(more)), "components")
+    more = stored(_verified(_across_components(_open_members(members, linked), sets, threshold), sets, threshold), "links")
+    if not more.isEmpty():
+        known = linked.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        linked = stored(connected_components(known.unionAll(more)), "components")
     named = points.join(linked, unit == F.col("node"), "left") \
         .select("unit", "n", "first", F.coalesce("component", "unit").alias("component"), F.col("node").isNotNull().alias("linked")) \
         .where((F.col("n") > 1) | F.col("linked"))
     named = stored(named, "named")
     heads = named.groupBy("component").agg(F.min("first").alias("head"))
-    classes = named.join(heads, "component").select("unit", "head")
-    return units.join(classes, "unit").select(
-        "doc_id", "key", "start", "stop", F.col("head.doc_id").alias("class_doc_id"),
-        F.col("head.key").alias("class_key"), F.col("head.start").alias("class_start"))
+    classes = named.join(heads, "component").select("unit", "n", "head")
+    places = units.select("doc_id", "key", "place", "words", "start", "stop", "unit")
+    return stored(_at_places(places, classes, units.count()).select(
+        "doc_id", "key", "place", "words", "start", "stop", F.col("head.doc_id").alias("class_doc_id"),
+        F.col("head.key").alias("class_key"), F.col("head.start").alias("class_start")), "classes")
+
+
+def _later() -> Column:
+    """Whether a row of ``paragraph_classes`` is not its class's head."""
+    return ~(F.col("doc_id").eqNullSafe(F.col("class_doc_id")) & (F.col("key") == F.col("class_key"))
+             & (F.col("start") == F.col("class_start")))
+
+
+def cut_paragraphs(classes: DataFrame, cut_words: int = CUT_WORDS) -> DataFrame:
+    """(d, k, spans): per document the later paragraphs in runs of ``cut_words`` words and more."""
+    doc = Window.partitionBy("doc_id", "key")
+    run = Window.partitionBy("doc_id", "key", "run")
+    later = classes.where(_later()).select("doc_id", "key", "place", "words", "start", "stop").distinct()
+    return later.withColumn("run", F.col("place") - F.row_number().over(doc.orderBy("place"))) \
+        .withColumn("together", F.sum("words").over(run)).where(F.col("together") >= cut_words) \
+        .groupBy(F.col("doc_id").alias("d"), F.col("key").alias("k")).agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"))
 
 
 def _merged(spans: Column) -> Column:
@@ -350,31 +410,38 @@ def _merged(spans: Column) -> Column:
     return F.aggregate(spans, F.array().cast("array<struct<start:int,stop:int>>"), add)
 
 
-def _removed(classes: DataFrame, repeats: DataFrame) -> DataFrame:
+def _removed(docs: DataFrame, threshold: float, recall: float) -> DataFrame:
     """(d, k, n_members, n_removed, n_passages, cut, class_doc_ids): per document its paragraphs in classes and what goes.
 
-    Paragraphs that are not the first and passage units that stand earlier go; ``cut`` is their union.
+    ``cut`` is the union of the paragraphs and passage units that go.
     """
-    head = F.col("doc_id").eqNullSafe(F.col("class_doc_id")) & (F.col("key") == F.col("class_key")) & (F.col("start") == F.col("class_start"))
-    both = classes.select("doc_id", "key", "start", "stop", "class_doc_id", F.lit(True).alias("whole"), (~head).alias("later")) \
-        .unionAll(repeats.select("doc_id", "key", "start", "stop", "class_doc_id", F.lit(False), F.lit(True)))
-    span, later, whole = F.struct("start", "stop"), F.col("later"), F.col("whole")
-    return both.groupBy(F.col("doc_id").alias("d"), F.col("key").alias("k")).agg(
+    classes = paragraph_classes(docs, threshold, recall)
+    cut = stored(cut_paragraphs(classes), "cut_paragraphs")
+    repeats = passage_repeats(docs, cut)
+    span = F.struct("start", "stop")
+    no_span = F.lit(None).cast("struct<start:int,stop:int>")
+    rows = classes.select("doc_id", "key", "start", F.when(_later(), F.col("class_doc_id")).alias("of"), _later().alias("later"),
+                          F.lit(True).alias("whole"), no_span.alias("gone")) \
+        .unionAll(repeats.select("doc_id", "key", "start", "class_doc_id", F.lit(True), F.lit(False), F.when(F.col("gone"), span))) \
+        .unionAll(cut.select(F.col("d"), F.col("k"), F.explode("spans").alias("s"))
+                  .select("d", "k", "s.start", F.lit(None), F.lit(None), F.lit(None), "s"))
+    later, whole = F.col("later"), F.col("whole")
+    return rows.groupBy(F.col("doc_id").alias("d"), F.col("key").alias("k")).agg(
         F.countDistinct(F.when(whole, F.col("start"))).alias("n_members"),
-        F.collect_set(F.when(later & whole, span)).alias("p"), F.collect_set(F.when(later & ~whole, span)).alias("q"),
-        F.array_sort(F.collect_set(F.when(later, F.col("class_doc_id")))).alias("class_doc_ids")) \
-        .select("d", "k", "n_members", F.size("p").cast("bigint").alias("n_removed"), F.size("q").cast("bigint").alias("n_passages"),
-                _merged(F.array_sort(F.concat("p", "q"))).alias("cut"), "class_doc_ids")
+        F.countDistinct(F.when(whole & later, F.col("start"))).alias("n_removed"),
+        F.countDistinct(F.when(~whole, F.col("start"))).alias("n_passages"),
+        F.array_sort(F.collect_set("gone")).alias("gone"), F.array_sort(F.collect_set("of")).alias("class_doc_ids")) \
+        .select("d", "k", "n_members", "n_removed", "n_passages", _merged(F.col("gone")).alias("cut"), "class_doc_ids")
 
 
 def repeat_report(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """One row per document row: doc_id, n_members, n_removed, n_passages, n_chars_removed, spans, class_doc_ids.
 
     ``n_members`` paragraphs belong to a class of two or more, ``n_removed`` of
-    them are not its first; ``n_passages`` passage units stand earlier;
-    ``class_doc_ids`` hold the first ones. ``spans`` are the union of what goes.
+    them are not its first; ``n_passages`` passage units have their head elsewhere;
+    ``class_doc_ids`` hold the first ones. ``spans`` are the union of what is cut.
     """
-    found = _removed(paragraph_classes(docs, threshold, recall), passage_repeats(docs))
+    found = _removed(docs, threshold, recall)
     rows = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"))
     zero = F.lit(0).cast("bigint")
     chars = F.aggregate("cut", zero, lambda a, x: a + (x["stop"] - x["start"]))
@@ -389,14 +456,13 @@ def repeat_report(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
 
 
 def without_repeats(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """All documents and columns, later paragraphs of each class and later passages cut out of the text."""
-    found = _removed(paragraph_classes(docs, threshold, recall), passage_repeats(docs)).select("d", "k", "cut")
-    k = fresh(docs, "ew_key")
+    """All documents and columns, what ``repeat_report`` names as cut taken out of the text."""
+    k, d, h, c = (fresh(docs, n) for n in ("ew_key", "ew_d", "ew_k", "ew_cut"))
+    found = _removed(docs, threshold, recall).select(F.col("d").alias(d), F.col("k").alias(h), F.col("cut").alias(c))
     keyed = docs.withColumn(k, row_key(F.col("doc_id"), F.col("text")))
-    both = keyed.join(found.select(F.col("d").alias("ew_d"), F.col("k").alias("ew_k"), F.col("cut").alias("ew_cut")),
-                      keyed["doc_id"].eqNullSafe(F.col("ew_d")) & (keyed[k] == F.col("ew_k")), "left")
-    step = F.aggregate("ew_cut", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), lambda acc, x: F.struct(
+    both = keyed.join(found, keyed["doc_id"].eqNullSafe(F.col(d)) & (keyed[k] == F.col(h)), "left")
+    step = F.aggregate(c, F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), lambda acc, x: F.struct(
         F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, x["start"] - acc["at"])).alias("out"), x["stop"].alias("at")))
     cut = F.concat(step["out"], F.substring(F.col("text"), step["at"] + 1, F.lit(2147483647)))
-    both = both.withColumn("text", F.when(F.col("ew_cut").isNull(), F.col("text")).otherwise(cut))
-    return both.select(*[F.col(f"`{c}`") for c in docs.columns])
+    both = both.withColumn("text", F.when(F.col(c).isNull(), F.col("text")).otherwise(cut))
+    return both.select(*[F.col(f"`{x}`") for x in docs.columns])

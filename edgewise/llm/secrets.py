@@ -145,23 +145,23 @@ def redacted(docs: DataFrame, scope: int = SCOPE, mark: str = REDACTED) -> DataF
 
     Endpoints stay, they are not secret by themselves. Overlapping spans are cut as one.
     """
-    s = reported(docs, scope).select(F.col("doc_id").alias("ew_d"), F.col("key").alias("ew_key"), F.filter(
-        "spans", lambda x: x["kind"] < 5).alias("ew_spans")).where(F.size("ew_spans") > 0)
-    k = fresh(docs, "ew_row")
+    k, i, h, found = (fresh(docs, n) for n in ("ew_row", "ew_d", "ew_key", "ew_spans"))
+    s = reported(docs, scope).select(F.col("doc_id").alias(i), F.col("key").alias(h), F.filter(
+        "spans", lambda x: x["kind"] < 5).alias(found)).where(F.size(found) > 0)
     keyed = docs.withColumn(k, row_key(F.col("doc_id"), F.coalesce(F.col("text"), F.lit(""))))
-    both = keyed.join(s, keyed["doc_id"].eqNullSafe(s["ew_d"]) & (keyed[k] == s["ew_key"]), "left")
+    both = keyed.join(s, keyed["doc_id"].eqNullSafe(s[i]) & (keyed[k] == s[h]), "left")
     step = F.aggregate(
-        "ew_spans", F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at")),
+        found, F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at")),
         lambda acc, x: F.struct(
             F.when(x["start"] >= acc["at"], F.concat(acc["out"], F.substring(
                 F.col("text"), (acc["at"] + 1).cast("int"), (x["start"] - acc["at"]).cast("int")), F.lit(mark)))
             .otherwise(acc["out"]).alias("out"),
             F.greatest(acc["at"], x["end"]).alias("at")))
     cut = F.concat(step["out"], F.substring(F.col("text"), (step["at"] + 1).cast("int"), F.lit(2147483647)))
-    new = F.when(F.col("ew_spans").isNull(), F.col("text")).otherwise(cut)
+    new = F.when(F.col(found).isNull(), F.col("text")).otherwise(cut)
     both = both.withColumn("text", new)
     if "n_chars" in docs.columns:
-        both = both.withColumn("n_chars", F.when(F.col("ew_spans").isNull(), F.col("n_chars"))
+        both = both.withColumn("n_chars", F.when(F.col(found).isNull(), F.col("n_chars"))
                                .otherwise(F.char_length("text")).cast(docs.schema["n_chars"].dataType))
     return both.select(*[F.col(f"`{c}`") for c in docs.columns])
 
@@ -178,22 +178,44 @@ def _oracle_family(i: int, pattern: str, kind: str) -> str:
         WHERE z.m IS NOT NULL))"""
 
 
+def _oracle_runs() -> str:
+    """Runs of key characters with their positions; SQL's regular expressions have no look-around."""
+    p = "[A-Za-z0-9+/_-]+"
+    return f"""SELECT doc_id, m, length(m) AS n, CAST(sum(length(gap) + length(m)) OVER (PARTITION BY doc_id ORDER BY i) - length(m) AS BIGINT) AS s
+  FROM (SELECT doc_id, z.i AS i, z.gap AS gap, z.m AS m
+        FROM (SELECT doc_id, unnest(list_transform(list_zip(ms, gaps), lambda x, i: {{'i': i, 'm': x[1], 'gap': x[2]}})) AS z
+              FROM (SELECT doc_id, regexp_extract_all(t, '{p}') AS ms, string_split_regex(t, '{p}') AS gaps FROM docs)) WHERE z.m IS NOT NULL)"""
+
+
 _ORACLE_KINDS = [
     (ASSIGN, "CASE WHEN length(g2) >= 6 THEN 0 END"),
     (ACCESS, "CASE WHEN n >= 20 THEN 1 END"),
     ("[0-9a-f]+", "CASE WHEN n >= 24 THEN 2 END"),
-    ("[A-Za-z0-9+/_=-]+", "CASE WHEN n BETWEEN 16 AND 40 AND regexp_full_match(m, '[A-Z0-9]+') "
-     "AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[0-9]') THEN 3 "
-     "WHEN n >= 20 AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[0-9]') THEN 4 END"),
     (ENDPOINT, "5"),
 ]
 
 ORACLE = f"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 allspans AS ({" UNION ALL ".join(_oracle_family(i, p, k) for i, (p, k) in enumerate(_ORACLE_KINDS))}),
+runs AS (SELECT doc_id, s, n, m FROM ({_oracle_runs()})),
+segments AS (SELECT doc_id, s, n, z.j AS j, z.x AS x, s + sum(length(z.x) + 1) OVER (PARTITION BY doc_id, s ORDER BY z.j) - length(z.x) - 1 AS a,
+                    length(z.x) BETWEEN 16 AND 40 AND regexp_full_match(z.x, '[A-Z0-9]+') AND regexp_matches(z.x, '[A-Z]')
+                    AND regexp_matches(z.x, '[0-9]') AS is_id
+             FROM (SELECT doc_id, s, n, unnest(list_transform(string_split(m, '/'), lambda x, j: {{'x': x, 'j': j}})) AS z FROM runs)),
+parted AS (SELECT *, sum(CASE WHEN is_id OR before THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, s ORDER BY j) AS part
+           FROM (SELECT *, coalesce(lag(is_id) OVER (PARTITION BY doc_id, s ORDER BY j), false) AS before FROM segments)),
+parts AS (SELECT doc_id, part, CAST(min(a) AS BIGINT) AS a, string_agg(x, '/' ORDER BY j) AS x, max(a + length(x)) = s + n AS ends FROM parted GROUP BY doc_id, s, n, part),
+rests AS (SELECT doc_id, a, x, CASE WHEN ends THEN substr(t, a + length(x) + 1) ELSE '' END AS rest
+          FROM parts JOIN docs USING (doc_id) WHERE regexp_matches(x, '[0-9]') AND regexp_matches(x, '[a-z]') AND regexp_matches(x, '[A-Z]')),
+nexts AS (SELECT *, regexp_extract(rest, '^=+/([A-Z0-9]{{16,40}})([^A-Za-z0-9+_-]|$)', 1) AS next FROM rests),
+tails AS (SELECT doc_id, a, x, CASE WHEN regexp_matches(rest, '^=+([^A-Za-z0-9+/_=-]|$)') OR (regexp_matches(next, '[A-Z]') AND regexp_matches(next, '[0-9]'))
+                 THEN regexp_extract(rest, '^=+') ELSE '' END AS eq FROM nexts),
+weak AS (SELECT doc_id, 3 AS kind, a AS start, a + length(x) AS "end" FROM segments WHERE is_id UNION ALL
+         SELECT doc_id, 4, a, a + length(x) + length(eq) FROM tails WHERE length(x) + length(eq) >= 20),
+every AS (SELECT * FROM allspans UNION ALL SELECT * FROM weak),
 base AS (SELECT * FROM allspans WHERE kind < 3),
 cand AS (SELECT * FROM base UNION ALL
-         SELECT * FROM allspans w WHERE kind >= 3 AND NOT EXISTS (
+         SELECT * FROM every w WHERE kind >= 3 AND NOT EXISTS (
            SELECT 1 FROM base b WHERE b.doc_id = w.doc_id AND b.start < w."end" AND b."end" > w.start)),
 ids AS (SELECT * FROM cand WHERE kind IN (1, 3)),
 secs AS (SELECT * FROM cand WHERE kind IN (0, 2, 4)),

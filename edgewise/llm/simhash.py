@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from edgewise.llm.common import stored
+from edgewise.llm.common import fresh, row_key, stored
 from edgewise.llm.components import connected_components
 
 SHINGLE = 3
@@ -140,10 +140,17 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, cell_pairs: int = CELL_PA
 
 
 def without_near_duplicates(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """The document with the smallest id of each group, all columns kept.
+    """One document row of each group, all columns kept: the smallest id, then the smallest key of id and text.
 
-    doc_id names a document: rows that repeat an id are one. Rows without an id stay.
+    Rows that share an id but not the text are documents of their own; rows alike in id and text are one.
+    Rows without an id stay.
     """
-    kept = near_duplicates(docs, k).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where(F.col("doc_id").isNull())).select(*[F.col(f"`{c}`") for c in docs.columns])
+    i, h, own = (fresh(docs, c) for c in ("ew_kept_id", "ew_kept_key", "ew_own_key"))
+    key = row_key(F.col("doc_id"), F.col("text"))
+    named = docs.select(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), key.alias("key")).alias("doc_id"), "text")
+    kept = near_duplicates(named, k).where(F.col("doc_id") == F.col("component_id")) \
+        .select(F.col("doc_id.id").alias(i), F.col("doc_id.key").alias(h)).distinct()
+    keyed = docs.withColumn(own, key)
+    rows = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept[i]) & (keyed[own] == kept[h]), "left_semi")
+    rows = rows.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", own]).drop(own)
+    return rows.unionByName(docs.where(F.col("doc_id").isNull())).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -150,3 +150,60 @@ def test_passages_in_mid_line_are_found(spark):
     for i, text in docs:
         assert got[i].n_passages == len(found.get(i, [])) and len(cut[i]) == len(text) - got[i].n_chars_removed
         assert i not in shared or got[i].n_chars_removed >= max(b - a for a, b in found[i])
+
+
+def test_a_block_in_a_removed_near_copy_keeps_its_other_place(spark):
+    rng = random.Random(21)
+    base, block = sentence(rng, 600)[:-1], sentence(rng, 55)[:-1]
+    at = base.index(" ", len(base) // 2)
+    docs = [(1, base), (2, base[:at] + " " + block + base[at:]), (3, sentence(rng, 70)[:-1] + " " + block + " " + sentence(rng, 70))]
+    cut = {r.doc_id: r.text for r in P.without_repeats(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert cut[1] == base and cut[2] == "" and block in cut[3]
+
+
+def test_short_repeated_lines_are_reported_and_stay(spark):
+    rng = random.Random(22)
+    short, long = sentence(rng, 9), sentence(rng, 30)
+    own = [sentence(rng, 20) for _ in range(3)]
+    pair = [sentence(rng, 13), sentence(rng, 14)]
+    docs = [(0, "\n".join([short, long, *pair])), (1, own[0] + "\n" + short), (2, long + "\n" + own[1]), (3, "\n".join([own[2], *pair]))]
+    df = spark.createDataFrame([(i, t, 1, 2, 3, 4) for i, t in docs], "doc_id bigint, text string, ew_d int, ew_k int, ew_cut int, ew_key int")
+    got = {r.doc_id: r for r in P.repeat_report(df).collect()}
+    assert (got[1].n_removed, got[1].n_chars_removed) == (1, 0) and got[1].class_doc_ids == [0]
+    assert got[2].n_chars_removed == len(long) and got[3].n_chars_removed == len(pair[0]) + len(pair[1])
+    cut = {r.doc_id: r for r in P.without_repeats(df).collect()}
+    assert cut[1].text == docs[1][1] and cut[2].text == "\n" + own[1] and cut[3].text == own[2] + "\n\n"
+    assert (cut[3].ew_d, cut[3].ew_k, cut[3].ew_cut, cut[3].ew_key) == (1, 2, 3, 4)
+
+
+def test_recall_at_the_threshold_with_the_default_bands(spark):
+    """Pairs of Jaccard 0.80 to 0.85 against brute force."""
+    rng = random.Random(23)
+    docs, pairs = [], 0
+    for _ in range(300):
+        words = sentence(rng, 64)[:-1].split()
+        other = list(words)
+        other[rng.randrange(10, 54)] = "x" + "".join(rng.choice("abcdefgh") for _ in range(6))
+        if rng.random() < 0.5:
+            other = other[: 63]
+        a, b = ({tuple(w[j:j + 5]) for j in range(len(w) - 4)} for w in (words, other))
+        pairs += 0.8 <= len(a & b) / len(a | b) <= 0.86
+        docs += [(len(docs), " ".join(words)), (len(docs) + 1, " ".join(other))]
+    got = sum(r.n_removed for r in P.repeat_report(spark.createDataFrame(docs, "doc_id bigint, text string")).collect())
+    assert pairs == 300 and got >= 0.95 * pairs
+
+
+def test_components_across_a_bucket_without_stars(spark):
+    """Members alike in no more than the threshold to the bucket's ends are still linked among themselves."""
+    rng = random.Random(24)
+    base = sentence(rng, 40)[:-1].split()
+    docs = []
+    for group in range(30):  # the groups share most of the text, but too little with each other
+        own = list(base)
+        for j in rng.sample(range(40), 4):
+            own[j] = f"g{group}x{j}"
+        for copy in range(3):
+            docs.append((len(docs), " ".join(own + [f"end{copy}"])))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {r.doc_id: r.n_removed for r in P.repeat_report(df, recall=0.999999).collect() if r.n_removed}
+    assert got == dict(brute(docs))

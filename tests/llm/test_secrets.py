@@ -76,3 +76,31 @@ def test_values_of_names_and_paths_are_parts(spark):
         8: [("weak_id", weak), ("weak_secret", SECRET)]}
     left = {r.doc_id: r.text for r in S.redacted(docs).collect()}
     assert left[1] == "AWS_ACCESS_KEY_ID=[REDACTED]\nAWS_KEY=[REDACTED]\nURL=https://host.example.com/x" and left[4] == rows[3][1]
+
+
+def test_the_sql_is_the_query_on_env_json_and_url_texts(spark, tmp_path):
+    import duckdb
+
+    weak, other = "ASIA1234567890ABCDEF", "QWERTYUIOP123456"
+    texts = [f"AWS_ACCESS_KEY_ID={weak}\nAWS_SECRET_KEY_X={SECRET}\nURL=https://host.example.com/x", f'{{"key_id":"{weak}","value":"{SECRET}"}}',
+             f"https://host.example.com/{weak}/get?sig={SECRET}&x=1", f"key_id={weak}", f"key_id={weak} sig={SECRET}==", f"a/{weak}/{SECRET}/{other}/b1Cc",
+             f"{weak}/{other}", f"x={SECRET}==y {weak}", f"x={SECRET}= {weak}", f"é{weak}é {SECRET}/{weak}/{SECRET}==", f"{weak}_ {SECRET}",
+             f"-{weak} {SECRET}", f"{weak}//{SECRET}", f"/{weak}/ {SECRET}/", "S3_V1_NAME=abc/" * 300, "", None,
+             f"token={SECRET} {weak} https://a.b/c {'0a' * 15}", f"{weak}:{SECRET}@host", f"{SECRET}===/{weak}"]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    df.coalesce(1).write.parquet(str(tmp_path / "d"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/d/*.parquet'")
+    said = con.execute(S.ORACLE)
+    names = [d[0] for d in said.description]
+    want = sorted(dict(zip(names, r)).items() for r in said.fetchall())
+    got = sorted(r.asDict().items() for r in S.secret_report(df).select(*names).collect())
+    assert got == want
+    assert sum(dict(r)["n_linked"] for r in got) > 20
+
+
+def test_redacted_with_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, f"password={SECRET}", 1, 2, 3, 4)], "doc_id bigint, text string, ew_spans int, ew_d int, ew_key int, ew_row int")
+    (row,) = S.redacted(df).collect()
+    assert row.text == "[REDACTED]" and (row.ew_spans, row.ew_d, row.ew_key, row.ew_row) == (1, 2, 3, 4)

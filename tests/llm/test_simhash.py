@@ -77,3 +77,15 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(40)] + [(1000, 1000 + i) for i in range(1, 60)] + [(7, 7), (5, None)]
     got = {r.node: r.component for r in S.connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{1000 + i: 1000 for i in range(60)}}
+
+
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    rows = [(1, "alpha beta gamma delta", 0), (1, "one two three four five", 1), (2, "alpha beta gamma delta", 2), (None, "alpha beta gamma delta", 3),
+            (None, "six seven eight nine", 4), (None, "six seven eight nine", 5), (3, None, 6), (4, "", 7)]
+    df = spark.createDataFrame([(*r, r[2]) for r in rows], "doc_id bigint, text string, ew_kept_id int, ew_kept_key_ int")
+    for parts in (1, 4):
+        kept = S.without_near_duplicates(df.repartition(parts))
+        assert kept.columns == df.columns
+        got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+        unnamed = [(i, t) for i, t, _ in rows if i is None]
+        assert got == sorted([(1, "alpha beta gamma delta"), (1, "one two three four five"), (3, None), *unnamed], key=str)
