@@ -319,7 +319,7 @@ def _open_members(members: DataFrame, linked: DataFrame) -> DataFrame:
 
 
 def _rare_shingles(units: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """(unit, size, g): of each set the rarest shingles; sets alike to the threshold share one of them.
+    """(unit, size, at, g): of each set the rarest shingles, in order; sets alike to the threshold share one of them.
 
     Of n shingles, n - ceil(t * n) + 1: two sets that share none of these, in one order of all shingles,
     share too few of the rest.
@@ -329,19 +329,24 @@ def _rare_shingles(units: DataFrame, sets: DataFrame, threshold: float) -> DataF
     order = F.array_sort(F.collect_list(F.struct("often", "g")))
     kept = (F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - 1e-9) + 1).cast("int")
     return all_.join(often, "g").groupBy("unit", "size").agg(order.alias("o")) \
-        .select("unit", "size", F.explode(F.slice("o", F.lit(1), kept)).alias("x")).select("unit", "size", "x.g")
+        .select("unit", "size", F.posexplode(F.slice("o", F.lit(1), kept)).alias("at", "x")).select("unit", "size", "at", "x.g")
 
 
 def _across_components(labelled: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of one bucket and different components that share a rare shingle and are alike in size."""
+    """Pairs (a, b) of one bucket and different components that share a rare shingle and are alike in size.
+
+    Where the first shingle that two sets share stands at ``at`` in both orders, no more than the rest of
+    either can be shared besides: places that leave too few are no evidence.
+    """
     filed = stored(labelled.join(_rare_shingles(labelled, sets, threshold), "unit"), "filed")
     mixed = filed.groupBy("h", "g").agg(F.min("c").alias("low"), F.max("c").alias("high")) \
         .where(F.col("low") != F.col("high")).select("h", "g")
     filed = filed.join(mixed, ["h", "g"])
-    x = filed.select("h", "g", F.col("unit").alias("a"), F.col("c").alias("ca"), F.col("size").alias("na"))
-    y = filed.select("h", "g", F.col("unit").alias("b"), F.col("c").alias("cb"), F.col("size").alias("nb"))
+    x = filed.select("h", "g", F.col("unit").alias("a"), F.col("c").alias("ca"), F.col("size").alias("na"), F.col("at").alias("ia"))
+    y = filed.select("h", "g", F.col("unit").alias("b"), F.col("c").alias("cb"), F.col("size").alias("nb"), F.col("at").alias("ib"))
+    enough = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) >= threshold / (1 + threshold) * (F.col("na") + F.col("nb")) - 1e-9
     near = (F.col("na") >= threshold * F.col("nb")) & (F.col("nb") >= threshold * F.col("na"))
-    return x.join(y, ["h", "g"]).where((F.col("ca") < F.col("cb")) & near) \
+    return x.join(y, ["h", "g"]).where((F.col("ca") < F.col("cb")) & near & enough) \
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
