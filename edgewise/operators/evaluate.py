@@ -30,16 +30,20 @@ def score_groups(scored: DataFrame, score: str = "score", label: str = "label")
         F.count_if(F.col(label) != 1.0).cast("bigint").alias("neg"))
 
 
-def _with_prefix(groups: DataFrame, cols: list[str]) -> DataFrame:
-    """Adds ``<c>_below`` = sum of c over all strictly smaller scores."""
-    g = cut_lineage(groups.repartitionByRange(F.col("score").asc_nulls_first())
+def _with_prefix(groups: DataFrame, cols: list[str], by: tuple[str, ...] = ()) -> DataFrame:
+    """Adds ``<c>_below`` = sum of c over all strictly smaller scores, within each ``by``.
+
+    Parts are ranges of (by, score): one ``by`` may fill many parts and one part hold many, so no task
+    gets a whole ``by`` and their number does not matter. Totals are one row a part and ``by`` in it.
+    """
+    g = cut_lineage(groups.repartitionByRange(*by, F.col("score").asc_nulls_first())
                     .withColumn("_part", F.spark_partition_id()))
-    tot = g.groupBy("_part").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
-    offs = tot.select("_part", *[(F.sum(f"_t_{c}").over(Window.orderBy("_part")) - F.col(f"_t_{c}"))
-                                 .alias(f"_o_{c}") for c in cols])
-    w = Window.partitionBy("_part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    g = g.join(offs, "_part")
-    return g.select("score", "pos", "neg", *[
+    tot = g.groupBy(*by, "_part").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    parts = Window.partitionBy(*by).orderBy("_part")
+    offs = tot.select(*by, "_part", *[(F.sum(f"_t_{c}").over(parts) - F.col(f"_t_{c}")).alias(f"_o_{c}") for c in cols])
+    w = Window.partitionBy(*by, "_part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    g = g.join(offs, [*by, "_part"])
+    return g.select(*by, "score", "pos", "neg", *[
         (F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(w), F.lit(0))).cast("bigint").alias(f"{c}_below")
         for c in cols])
 
@@ -50,18 +54,18 @@ def auc(scored: DataFrame, score: str = "score", label: str = "label") -> DataFr
     return auc_of_groups(score_groups(scored, score, label))
 
 
-def auc_of_groups(groups: DataFrame) -> DataFrame:
-    """The same from counts per distinct score (score, pos, neg)."""
-    g = _with_prefix(groups, ["neg"])
-    return g.agg(
+def auc_of_groups(groups: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """The same from counts per distinct score (score, pos, neg); with ``by``, one row for each of its values."""
+    g = _with_prefix(groups, ["neg"], by)
+    return g.groupBy(*by).agg(
         F.sum((F.col("pos").cast(_LONG) * (2 * F.col("neg_below") + F.col("neg")).cast(_LONG)).cast(BIG)).alias("_num"),
         F.sum("pos").cast("bigint").alias("positives"),
         F.sum("neg").cast("bigint").alias("negatives"),
     ).select(
-        F.when((F.col("positives") > 0) & (F.col("negatives") > 0),
-               F.col("_num").cast("double") / (2.0 * F.col("positives").cast("double")
-                                               * F.col("negatives").cast("double")))
-         .alias("auc"),
+        *by, F.when((F.col("positives") > 0) & (F.col("negatives") > 0),
+                    F.col("_num").cast("double") / (2.0 * F.col("positives").cast("double")
+                                                    * F.col("negatives").cast("double")))
+        .alias("auc"),
         "positives", "negatives")
 
 

@@ -5,29 +5,74 @@ increasing order, keep the one with the best validation AUC (strict
 improvement, so the first wins ties); stop when the gain is below 1e-6
 or nothing improves.
 
-``forward_selection`` fits a Spark ML model per candidate (distributed fits
-over one cached frame, a few jobs at a time).
+``forward_selection`` with naive Bayes needs no fits: the model of any subset
+is a function of the class-conditional sums of the features, which one
+aggregation over the training rows gives for all subsets. The candidates of a
+step are scored side by side in one job. Other kinds are fitted by Spark ML,
+one model per candidate (distributed fits over one cached frame, a few jobs at a
+time).
 ``forward_selection_heuristic`` scores a candidate set by the plain sum of
-its features; then all candidates of a step are evaluated by *one*
-aggregation (candidates stacked as rows), so a step is one Spark job.
+its features.
+
+All candidates of a step are evaluated together (``candidate_aucs``): rows of
+(candidate, score) are counted, and the running sums are taken in ranges of
+(candidate, score).
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from math import floor, log
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edgewise.functions.features import FEATURE_NAMES, label_value
-from edgewise.operators.evaluate import auc
+from edgewise.operators.evaluate import auc, auc_of_groups
 from edgewise.operators.models import fit, score
 
 MIN_GAIN = 1e-6
 FITS_AT_ONCE = 4
 
 
+@dataclass
+class BayesSums:
+    """Sufficient statistics of multinomial naive Bayes with add-one smoothing: rows and feature sums per class."""
+
+    rows: tuple[int, int]
+    sums: tuple[list[float], list[float]]
+
+    @classmethod
+    def of(cls, train: DataFrame) -> BayesSums:
+        """One aggregation; two numbers a feature reach the driver."""
+        yes = F.col("label") == "Y"
+        one = train.agg(*[F.count_if(c).alias(f"n{k}") for k, c in enumerate((~yes, yes))],
+                        *[F.sum(F.when(c, F.col(x).cast("double"))).alias(f"s{k}_{x}")
+                          for k, c in enumerate((~yes, yes)) for x in FEATURE_NAMES]).first()
+        return cls((one["n0"], one["n1"]), tuple([one[f"s{k}_{x}"] or 0.0 for x in FEATURE_NAMES] for k in (0, 1)))
+
+    def weights(self, chosen: list[int]) -> tuple[float, list[float]]:
+        """(prior, weight of each chosen feature): log-odds of 'Y', to nine decimals so that every engine has the same."""
+        no, yes = ([self.sums[k][i] for i in chosen] for k in (0, 1))
+        total = log(sum(yes) + len(chosen)) - log(sum(no) + len(chosen))
+        return (_nine(log(self.rows[1] + 1.0) - log(self.rows[0] + 1.0)),
+                [_nine((log(y + 1.0) - log(n + 1.0)) - total) for n, y in zip(no, yes)])
+
+    def score(self, chosen: list[int]) -> Column:
+        """Log-odds of a row under the model of the chosen features, added up in the order of adoption."""
+        prior, weights = self.weights(chosen)
+        out = F.lit(prior)
+        for i, w in zip(chosen, weights):
+            out = out + F.col(FEATURE_NAMES[i]).cast("double") * F.lit(w)
+        return out
+
+
+def _nine(x: float) -> float:
+    return floor(x * 1e9 + 0.5) / 1e9
+
+
 def forward_selection(train: DataFrame, validation: DataFrame, kind: str = "nb",
                       candidates: list[int] | None = None, iterations: int | None = None,
                       max_steps: int | None = None, test: DataFrame | None = None) -> DataFrame:
@@ -35,7 +80,8 @@ def forward_selection(train: DataFrame, validation: DataFrame, kind: str = "nb",
 
     ``chosen`` marks the set that its step adopted. With ``test`` a last row
     (split 'test') holds the adopted set, fitted once more, on the test rows.
-    The fits of a step are independent jobs and run side by side.
+    Naive Bayes is evaluated from its sums, a step in one job; the fits of other
+    kinds are independent jobs and run side by side.
     """
     spark = train.sparkSession
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
@@ -45,7 +91,11 @@ def forward_selection(train: DataFrame, validation: DataFrame, kind: str = "nb",
     current = 0.0
     log = []
 
+    bayes = BayesSums.of(train) if kind == "nb" else None
+
     def fitted_auc(idx: list[int], rows: DataFrame) -> float:
+        if bayes:
+            return candidate_aucs(rows, {idx[-1]: bayes.score(idx)})[idx[-1]] or 0.0
         model, _ = fit(train, kind, idx, iterations)
         return float(auc(score(model, rows, kind, idx)).first()["auc"] or 0.0)
 
@@ -56,7 +106,11 @@ def forward_selection(train: DataFrame, validation: DataFrame, kind: str = "nb",
         step = 0
         while max_steps is None or step < max_steps:
             tried = [chosen + [i] for i in pool if i not in chosen]
-            aucs = list(jobs.map(lambda idx: fitted_auc(idx, validation), tried))
+            if bayes:
+                found = candidate_aucs(validation, {idx[-1]: bayes.score(idx) for idx in tried})
+                aucs = [found.get(idx[-1]) or 0.0 for idx in tried]
+            else:
+                aucs = list(jobs.map(lambda idx: fitted_auc(idx, validation), tried))
             best = _best(aucs, current)
             log += [row(step, idx, a, k == best, "validation") for k, (idx, a) in enumerate(zip(tried, aucs))]
             if best is None:
@@ -76,29 +130,20 @@ def _best(aucs: list[float | None], current: float) -> int | None:
     return best if best is not None and (aucs[best] or 0.0) - current >= MIN_GAIN else None
 
 
-def _stack_candidates(df: DataFrame, chosen: list[int], pool: list[int]) -> DataFrame:
-    base = sum((F.col(FEATURE_NAMES[i]).cast("double") for i in chosen), F.lit(0.0)) if chosen else None
-    structs = []
-    for i in pool:
-        if i in chosen:
-            continue
-        s = F.col(FEATURE_NAMES[i]).cast("double")
-        structs.append(F.struct(F.lit(i).alias("cand"), (s if base is None else base + s).alias("score")))
-    return df.select(label_value("label").alias("label"), F.inline(F.array(*structs)))
+def candidate_aucs(rows: DataFrame, scores: dict[int, Column]) -> dict[int, float | None]:
+    """AUC of every candidate's score over the labelled rows, all in one job; one number each reaches the driver."""
+    if not scores:
+        return {}
+    stacked = rows.select(label_value("label").alias("label"), F.inline(F.array(*[
+        F.struct(F.lit(i).alias("cand"), s.cast("double").alias("score")) for i, s in scores.items()])))
+    counts = stacked.groupBy("cand", "score").agg(
+        F.count_if(F.col("label") == 1.0).cast("bigint").alias("pos"), F.count_if(F.col("label") != 1.0).cast("bigint").alias("neg"))
+    return {r["cand"]: r["auc"] for r in auc_of_groups(counts, ("cand",)).collect()}
 
 
-def candidate_aucs(df: DataFrame, chosen: list[int], pool: list[int]) -> DataFrame:
-    """(cand, auc) for every unused candidate, in one aggregation."""
-    st = _stack_candidates(df, chosen, pool)
-    g = (st.groupBy("cand", "score")
-           .agg(F.count_if(F.col("label") == 1.0).cast("bigint").alias("pos"),
-                F.count_if(F.col("label") != 1.0).cast("bigint").alias("neg")))
-    from pyspark.sql import Window
-    w = Window.partitionBy("cand").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    g = g.withColumn("neg_below", F.coalesce(F.sum("neg").over(w), F.lit(0)))
-    return g.groupBy("cand").agg(
-        (F.sum(F.col("pos") * (2 * F.col("neg_below") + F.col("neg"))).cast("double")
-         / (2.0 * F.sum("pos").cast("double") * F.sum("neg").cast("double"))).alias("auc"))
+def _sum_score(chosen: list[int], i: int) -> Column:
+    """The plain sum of the features, in the order of adoption."""
+    return sum((F.col(FEATURE_NAMES[j]).cast("double") for j in [*chosen, i]), F.lit(0.0))
 
 
 def forward_selection_heuristic(validation: DataFrame, candidates: list[int] | None = None,
@@ -111,12 +156,12 @@ def forward_selection_heuristic(validation: DataFrame, candidates: list[int] | N
     out = []
     step = 0
     while (max_steps is None or step < max_steps) and len(chosen) < len(pool):
-        rows = sorted(candidate_aucs(validation, chosen, pool).collect(), key=lambda r: r["cand"])
-        best = _best([r["auc"] for r in rows], current)
-        out.extend((step, r["cand"], r["auc"], k == best) for k, r in enumerate(rows))
+        aucs = sorted(candidate_aucs(validation, {i: _sum_score(chosen, i) for i in pool if i not in chosen}).items())
+        best = _best([a for _, a in aucs], current)
+        out.extend((step, i, a, k == best) for k, (i, a) in enumerate(aucs))
         if best is None:
             break
-        chosen.append(rows[best]["cand"])
-        current = rows[best]["auc"]
+        chosen.append(aucs[best][0])
+        current = aucs[best][1]
         step += 1
     return spark.createDataFrame(out, "step int, cand int, auc double, chosen boolean")

@@ -44,7 +44,7 @@ def base_graphs():
 
 def two_hop_ctes(e: str, p: str, seed: int):
     """One uniformly drawn end of a length-2 path per edge of CTE ``e``."""
-    salt = f"{H('dst', 'src', seed)} % {S.NEIGHBOUR_SALTS}"
+    salt = H('dst', 'src', seed)
     return [
         (f"{p}nbi", f"SELECT src AS b, dst AS c, row_number() OVER (PARTITION BY src ORDER BY {salt}, dst) - 1 AS idx, "
                     f"count(*) OVER (PARTITION BY src) AS n FROM {e}"),
@@ -242,6 +242,69 @@ def _heuristic_sql() -> str:
     return W(ctes, " UNION ALL ".join(final))
 
 
+def _bayes_selection_sql() -> str:
+    """Forward selection with naive Bayes from class sums: every step to the stop, then the adopted set on the test rows."""
+    n = len(FEATURE_NAMES)
+    values = " UNION ALL ".join(f"SELECT split, u, v, {i} AS cand, '{c}' AS name, CAST({c} AS DOUBLE) AS x, {LABEL_VALUE} AS lv FROM spl"
+                                for i, c in enumerate(FEATURE_NAMES))
+
+    def nine(x: str) -> str:
+        return f"floor(({x}) * 1e9 + 0.5) / 1e9"
+
+    def weight(k: int, j: int, a: str) -> str:
+        """Weight of the j-th adopted feature (the candidate itself for j = k) in a set of k + 1."""
+        total = f"ln({a}.t1 + {k + 1}) - ln({a}.t0 + {k + 1})"
+        return nine(f"(ln({a}.y{j} + CAST(1.0 AS DOUBLE)) - ln({a}.n{j} + CAST(1.0 AS DOUBLE))) - ({total})")
+
+    ctes = split_ctes() + [
+        ("fs_x", values),
+        ("fs_s", "SELECT cand, name, coalesce(sum(x) FILTER (lv <> 1.0), 0.0) AS no, coalesce(sum(x) FILTER (lv = 1.0), 0.0) AS yes "
+                 "FROM fs_x WHERE split = 0 GROUP BY cand, name"),
+        ("fs_p", f"SELECT {nine('ln(count(*) FILTER (label = %s) + CAST(1.0 AS DOUBLE)) - ln(count(*) FILTER (label <> %s) + CAST(1.0 AS DOUBLE))' % (chr(39) + 'Y' + chr(39), chr(39) + 'Y' + chr(39)))} "
+                 "AS p FROM spl WHERE split = 0"),
+        ("fs_set0", "SELECT '' AS tried, '' AS names, 0 AS steps, CAST(0.0 AS DOUBLE) AS auc, CAST(0.0 AS DOUBLE) AS t0, "
+                    "CAST(0.0 AS DOUBLE) AS t1"),
+        ("fs_r0", "SELECT split, u, v, lv FROM fs_x WHERE cand = 0")]
+    final, ends = [], []
+    for k in range(n):
+        out = " UNION ALL ".join(f"SELECT cand FROM fs_b{j}" for j in range(k)) or "SELECT -1"
+        kept = "".join(f", s.y{j}, s.n{j}" for j in range(k))
+        adopted = "".join(f", a{j}" for j in range(k))
+        terms = "".join(f" + r.a{j} * c.w{j}" for j in range(k)) + f" + x.x * c.w{k}"
+        weights = ", ".join(f"{weight(k, j, 'c')} AS w{j}" for j in range(k + 1))
+        auc = "CAST(sum(pos * (2 * neg_below + neg)) AS DOUBLE) / (2.0 * CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE))"
+
+        def aucs(name: str, split: int, cands: str, k=k, terms=terms, auc=auc):
+            return [
+                (f"{name}g", f"SELECT x.cand, (SELECT p FROM fs_p){terms} AS score, count(*) FILTER (r.lv = 1.0) AS pos, "
+                             f"count(*) FILTER (r.lv <> 1.0) AS neg FROM fs_r{k} r JOIN fs_x x USING (u, v) JOIN {cands} c ON c.cand = x.cand "
+                             f"WHERE r.split = {split} GROUP BY x.cand, score"),
+                (f"{name}w", f"SELECT *, coalesce(sum(neg) OVER (PARTITION BY cand ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING "
+                             f"AND 1 PRECEDING), 0) AS neg_below FROM {name}g"),
+                (name, f"SELECT cand, {auc} AS auc FROM {name}w GROUP BY cand")]
+
+        ctes += [
+            (f"fs_c{k}", f"SELECT *, {weights} FROM (SELECT f.cand, f.name, s.tried, s.names, s.auc AS before, s.t0 + f.no AS t0, "
+                         f"s.t1 + f.yes AS t1{kept}, f.yes AS y{k}, f.no AS n{k} FROM fs_set{k} s, fs_s f WHERE f.cand NOT IN ({out})) c"),
+            *aucs(f"fs_a{k}", 1, f"fs_c{k}"),
+            (f"fs_b{k}", f"SELECT c.*, a.auc FROM fs_c{k} c JOIN fs_a{k} a USING (cand) WHERE coalesce(a.auc, 0.0) - c.before >= 1e-6 "
+                         f"ORDER BY a.auc DESC, cand LIMIT 1"),
+            (f"fs_set{k + 1}", f"SELECT concat(tried, CASE WHEN tried = '' THEN '' ELSE ',' END, cand) AS tried, concat(names, CASE WHEN names = '' "
+                               f"THEN '' ELSE ',' END, name) AS names, {k + 1} AS steps, auc, t0, t1"
+                               + "".join(f", y{j}, n{j}" for j in range(k + 1)) + f" FROM fs_b{k}"),
+            (f"fs_r{k + 1}", f"SELECT r.split, u, v, r.lv{adopted}, x.x AS a{k} FROM fs_r{k} r JOIN fs_x x USING (u, v) "
+                             f"WHERE x.cand IN (SELECT cand FROM fs_b{k})"),
+            *aucs(f"fs_t{k}", 2, f"fs_b{k}")]
+        sep = "concat(c.{0}, CASE WHEN c.{0} = '' THEN '' ELSE ',' END, c.{1})"
+        final.append(f"SELECT CAST({k} AS INTEGER) AS step, {sep.format('tried', 'cand')} AS tried, {sep.format('names', 'name')} AS names, "
+                     f"coalesce(a.auc, 0.0) AS auc, c.cand IN (SELECT cand FROM fs_b{k}) AS chosen, 'validation' AS split "
+                     f"FROM fs_c{k} c LEFT JOIN fs_a{k} a USING (cand)")
+        last = f" WHERE NOT EXISTS (SELECT 1 FROM fs_b{k + 1})" if k + 1 < n else ""
+        ends.append(f"SELECT CAST({k + 1} AS INTEGER) AS step, s.tried, s.names, coalesce(t.auc, 0.0) AS auc, true AS chosen, 'test' AS split "
+                    f"FROM fs_set{k + 1} s, fs_t{k} t{last}")
+    return W(ctes, " UNION ALL ".join(final + ends))
+
+
 def _naive_bayes_sql() -> str:
     """Multinomial naive Bayes with add-one smoothing in closed form: the 0/1 prediction of every test row."""
     cols = [FEATURE_NAMES[i] for i in NB_FEATURES]
@@ -404,6 +467,7 @@ def oracle_sql() -> dict[str, str]:
                            "(2.0 * CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) END AS auc, "
                            "CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives FROM sp"),
         "forward_selection_heuristic": _heuristic_sql(),
+        "forward_selection": _bayes_selection_sql(),
         # models
         "nb_scores": _naive_bayes_sql(),
         "model_score_rows": W(split_ctes(), f"SELECT m.model, u, v, {LABEL_VALUE} AS label, true AS valid FROM spl, "

@@ -105,3 +105,48 @@ def test_forward_selection_runs_to_its_stop_and_scores_the_test_rows(spark):
     assert last == len(adopted) or len(adopted) == 3
     h = selection.forward_selection_heuristic(parts[1], candidates=[0, 4, 7]).collect()
     assert [r.cand for r in h if r.chosen][0] == 4
+
+
+def test_many_aucs_at_once_with_large_counts_and_more_parts_than_candidates(spark):
+    """Per candidate the same as one by one; counts of 3e9 need DECIMAL products, parts cut candidates apart."""
+    import random
+    rng = random.Random(6)
+    n = 3_000_000_000
+    rows = [(c, s / 10, rng.randrange(n), rng.randrange(n)) for c in range(3) for s in range(40)] + [(3, None, n, 0), (3, 0.5, n, n), (3, float("nan"), 0, n), (4, 1.0, 5, 0)]
+    groups = spark.createDataFrame(rows, "cand int, score double, pos bigint, neg bigint")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        got = {r.cand: r for r in evaluate.auc_of_groups(groups, ("cand",)).collect()}
+        for c in range(5):
+            one = evaluate.auc_of_groups(groups.where(f"cand = {c}").drop("cand")).first()
+            assert (got[c].auc, got[c].positives, got[c].negatives) == (one.auc, one.positives, one.negatives)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    exact = {}
+    for c in range(3):
+        below = num = p = q = 0
+        for _, _, pos, neg in sorted(r for r in rows if r[0] == c):
+            num += pos * (2 * below + neg)
+            below += neg
+            p, q = p + pos, q + neg
+        exact[c] = num / (2.0 * p * q)
+    assert all(abs(got[c].auc - exact[c]) < 1e-15 for c in exact) and got[4].auc is None and got[3].auc == 0.125
+
+
+def test_bayes_from_sums_is_the_fitted_model(spark):
+    """Log-odds from the sufficient statistics against Spark ML's probabilities, subset by subset."""
+    import random
+    from math import exp
+    from edgewise.functions.features import FEATURE_NAMES
+    from edgewise.operators import models, selection
+    rng = random.Random(4)
+    rows = [(i, i + 1, *[float(rng.randrange(4) + (i % 2) * (k % 3)) for k in range(len(FEATURE_NAMES))], "Y" if i % 2 else "N") for i in range(80)]
+    df = spark.createDataFrame(rows, "u bigint, v bigint, " + ", ".join(f"{c} double" for c in FEATURE_NAMES) + ", label string")
+    sums = selection.BayesSums.of(df)
+    for idx in ([3], [5, 0, 12], list(range(22))):
+        model, _ = models.fit(df, "nb", idx)
+        want = {r.u: r.score for r in models.score(model, df, "nb", idx).collect()}
+        for r in df.select("u", sums.score(idx).alias("s")).collect():
+            assert abs(1 / (1 + exp(-r.s)) - want[r.u]) < 1e-6

@@ -161,3 +161,32 @@ def test_baseline_sink_and_feature_names(spark):
     files.write_baseline(df, p)
     back = spark.read.csv(p, schema="u bigint, v bigint, co_out bigint, co_in bigint, label string").collect()
     assert [tuple(r) for r in back] == [(1, 2, 3, 4, "Y")]
+
+
+def test_only_the_ranges_of_the_positions_asked_for_are_numbered(spark):
+    import random
+
+    from edgewise.functions.hashing import pair_hash
+    from pyspark.sql import functions as F
+    rng = random.Random(2)
+    edges = spark.createDataFrame([(rng.randrange(90), rng.randrange(90)) for _ in range(700)], "src bigint, dst bigint").distinct()
+    rows = edges.withColumn("h", pair_hash("src", "dst", 3)).persist()
+    n = rows.count()
+    whole = {r.idx: (r.src, r.dst) for r in S.dense_index(rows, ["src", "dst"]).collect()}
+    asked = sorted(rng.sample(range(n), 25)) + [0, n - 1]
+    positions = spark.createDataFrame([(i,) for i in [*asked, *asked[:5], n, n + 7]], "idx bigint")
+    for bucket_rows, coarse in ((10_000, 4), (7, 4), (1, 3), (20, 1)):
+        found = S.rows_at(rows, ["src", "dst"], positions, 40, bucket_rows, coarse)
+        assert {r.idx: (r.src, r.dst) for r in found.collect()} == {i: whole[i] for i in asked}
+    # the window sees the rows of few ranges only: a left semi join stands below it
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window [row_number()") < plan.index("Join LeftSemi")
+    assert rows.select(F.max("h")).first()[0] < 2 ** 31
+
+
+def test_long_neighbour_lists_are_numbered_in_parts(spark):
+    edges = spark.createDataFrame([(0, i) for i in range(1, 400)] + [(i, 0) for i in range(1, 400)] + [(5, 6)], "src bigint, dst bigint")
+    whole = sorted(tuple(r) for r in S.neighbour_index(edges, 9).collect())
+    assert sorted(tuple(r) for r in S.neighbour_index(edges, 9, chunk=30).collect()) == whole
+    assert sorted(i for b, i, _ in whole if b == 0) == list(range(399))
+    assert sorted(map(tuple, S.two_hop_pairs(edges, 9, chunk=30).collect())) == sorted(map(tuple, S.two_hop_pairs(edges, 9).collect()))
