@@ -23,7 +23,7 @@ from edgewise.functions.hashing import SEED_SPLIT, SEED_TEST, SEED_TRAIN, pair_h
 from edgewise.operators import evaluate, features, graph as G, models, sampling, selection
 from edgewise.operators.prepared import prepare_graph
 from edgewise.session import cut_lineage, scratch_dir
-from edgewise.sources import files, graphs
+from edgewise.sources import files, graphs, quarantine
 
 _MEMO: dict = {}
 
@@ -311,6 +311,46 @@ def q_edge_list_scan(spark, sf):
     return graphs.read_edge_list(spark, path)
 
 
+def _edge_lines(spark, sf):
+    """An edge file of the events with comments, blank lines and lines that are no edge."""
+    def build():
+        e, k = graphs.table(spark, sf, "events"), F.get_json_object("props", "$.k")
+        n = F.col("event_id")
+        line = F.when(n % 7 == 0, F.col("user_id").cast("string")).when(n % 11 == 0, F.concat_ws("\t", "user_id", F.concat(F.lit("x"), k))) \
+            .when(n % 13 == 0, F.concat_ws(" ", F.lit("#"), "user_id", k)).when(n % 17 == 0, F.concat_ws(" ", "user_id", F.lit("99999999999999999999"))) \
+            .when(n % 19 == 0, F.lit("  ")).when(n % 23 == 0, F.concat_ws(" \t ", "user_id", k, F.lit("1.5"))).otherwise(F.concat_ws("\t", "user_id", k))
+        path = scratch_dir(spark, "edge-lines")
+        e.select(line.alias("value")).write.text(path)
+        return path
+    return _memo(spark, sf, "edge-lines", build)
+
+
+def q_edge_rows_good(spark, sf):
+    return quarantine.good(quarantine.edge_rows(spark, _edge_lines(spark, sf)))
+
+
+def q_edge_rows_bad(spark, sf):
+    return quarantine.bad(quarantine.edge_rows(spark, _edge_lines(spark, sf)))
+
+
+def q_pair_rows_bad(spark, sf):
+    """Lines of a pair file of the labelled pairs, some spoilt, that are no pair."""
+    u, v, label = F.col("u").cast("string"), F.col("v").cast("string"), F.col("label")
+    line = F.when(F.col("u") % 5 == 0, F.concat_ws(",", u, v)).when(F.col("u") % 5 == 1, F.concat_ws(",", u, F.concat(F.lit("v"), v), label)) \
+        .when(F.col("u") % 5 == 2, F.concat_ws(",", u, v, F.lit("?"))).when(F.col("v") % 3 == 0, F.concat_ws(",", u, v, label, F.lit(""))) \
+        .otherwise(F.concat_ws(",", u, v, label))
+    path = scratch_dir(spark, "pair-lines")
+    sample(spark, sf)[2].select(line.alias("value")).write.text(path)
+    return quarantine.bad(quarantine.pair_rows(spark, path))
+
+
+def q_ordered_pairs(spark, sf):
+    """The pairs in the order of (v, u), each with its place, read back from range-ordered files."""
+    path = scratch_dir(spark, "ordered-pairs")
+    files.write_ordered_pairs(features.clean_pairs(sample(spark, sf)[2]), path, files=6)
+    return files.read_ordered_pairs(spark, path)
+
+
 def q_pairs_scan(spark, sf):
     path = scratch_dir(spark, "pairs")
     files.write_pairs(sample(spark, sf)[2], path)

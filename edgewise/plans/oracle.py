@@ -340,6 +340,15 @@ def _scored_ctes():
     return split_ctes() + [("scored", f"SELECT jaccard_out AS score, {LABEL_VALUE} AS label FROM spl WHERE split = 2")]
 
 
+_EDGE_LINES = """WITH e AS (SELECT event_id AS n, user_id, json_extract_string(props, '$.k') AS k FROM events),
+l AS (SELECT *, CASE kind WHEN 'one' THEN CAST(user_id AS VARCHAR) WHEN 'word' THEN concat_ws(chr(9), user_id, 'x' || k)
+             WHEN 'long' THEN concat_ws(' ', user_id, '99999999999999999999') WHEN 'more' THEN concat_ws(' ' || chr(9) || ' ', user_id, k, '1.5')
+             ELSE concat_ws(chr(9), user_id, k) END AS line
+      FROM (SELECT *, CASE WHEN n % 7 = 0 THEN 'one' WHEN n % 11 = 0 THEN 'word' WHEN n % 13 = 0 THEN 'comment' WHEN n % 17 = 0 THEN 'long'
+                           WHEN n % 19 = 0 THEN 'blank' WHEN n % 23 = 0 THEN 'more' ELSE 'plain' END AS kind FROM e) t)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     tr = train_ctes()
     ft = train_features()
@@ -437,6 +446,17 @@ def oracle_sql() -> dict[str, str]:
                                  f"FROM fw_feat"),
         "features_roundtrip": W(fw, f"SELECT * FROM fw_feat"),
         "edge_list_scan": _graph_q("SELECT src, dst FROM ev_raw"),
+        "edge_rows_good": _EDGE_LINES + "SELECT CAST(user_id AS BIGINT) AS src, CAST(k AS BIGINT) AS dst FROM l "
+                          "WHERE kind IN ('more', 'plain') AND user_id IS NOT NULL AND k IS NOT NULL",
+        "edge_rows_bad": _EDGE_LINES + "SELECT line, CASE WHEN kind = 'one' OR user_id IS NULL OR (k IS NULL AND kind = 'plain') THEN 'fields' "
+                         "ELSE 'id' END AS reason FROM l WHERE kind IN ('one', 'word', 'long') OR ((user_id IS NULL OR k IS NULL) "
+                         "AND kind IN ('more', 'plain'))",
+        "pair_rows_bad": W(tr, f"SELECT CASE WHEN u % 5 = 0 THEN concat_ws(',', u, v) WHEN u % 5 = 1 THEN concat_ws(',', u, 'v' || v, label) "
+                               f"WHEN u % 5 = 2 THEN concat_ws(',', u, v, '?') ELSE concat_ws(',', u, v, label, '') END AS line, "
+                               f"CASE u % 5 WHEN 0 THEN 'fields' WHEN 1 THEN 'id' WHEN 2 THEN 'label' ELSE 'fields' END AS reason "
+                               f"FROM {TR}pairs WHERE u % 5 < 3 OR v % 3 = 0"),
+        "ordered_pairs": W(tr, f"SELECT row_number() OVER (ORDER BY v, u) - 1 AS position, u, v, label FROM "
+                               f"(SELECT u, v, max(label) AS label FROM {TR}pairs WHERE u <> v GROUP BY u, v) t"),
         "pairs_scan": W(tr, f"SELECT * FROM {TR}pairs"),
         # baseline
         "co_out_counts": W(train_ctes() + _zero_pd(), "SELECT u, v, CAST(c AS BIGINT) AS co_out FROM zco"),

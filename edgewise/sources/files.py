@@ -6,7 +6,7 @@ is collected to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,6 +69,33 @@ def write_pairs(pairs: DataFrame, path: str, mode: str = "overwrite") -> None:
     pairs.select("u", "v", "label").write.mode(mode).csv(path, header=False)
 
 
+def write_ordered_pairs(pairs: DataFrame, path: str, files: int | None = None, mode: str = "overwrite") -> None:
+    """Parquet files in the order of (v, u), the order of a pair: each file holds one range, files follow each other.
+
+    ``files``: how many (default: as many parts as the session shuffles into). Rows of one (v, u) share a file.
+    """
+    n = files or int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs.select("u", "v", "label").repartitionByRange(n, "v", "u").sortWithinPartitions("v", "u", "label") \
+        .write.mode(mode).parquet(path)
+
+
+def pair_file_bounds(spark: SparkSession, path: str) -> DataFrame:
+    """(file, n, before, least, most): rows of each ordered file, rows in the files before it, its first and last (v, u)."""
+    end = F.struct("v", "u")
+    files = spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("file")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(end).alias("least"), F.max(end).alias("most"))
+    before = Window.orderBy("least").rowsBetween(Window.unboundedPreceding, -1)     # one row a file
+    return files.select("file", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"), "least", "most")
+
+
+def read_ordered_pairs(spark: SparkSession, path: str) -> DataFrame:
+    """(position, u, v, label): rows with their 0-based place in the order, from the files alone, without a sort."""
+    rows = spark.read.parquet(path).select("u", "v", "label", F.col("_metadata.file_name").alias("file"),
+                                           F.col("_metadata.row_index").alias("row"))
+    return rows.join(pair_file_bounds(spark, path).select("file", "before"), "file") \
+        .select((F.col("before") + F.col("row")).cast("bigint").alias("position"), "u", "v", "label")
+
+
 def write_features(features: DataFrame, path: str, header: bool = False, mode: str = "overwrite") -> None:
     features.select(*FEATURE_COLUMNS).write.mode(mode).csv(path, header=header)
 
