@@ -18,9 +18,9 @@ Paragraphs that share a band are compared by the exact Jaccard similarity of
 their sets of five-word shingles. A bucket is not paired out: its members are
 compared with its smallest and its largest member. Where the bucket still holds
 several components, each member is filed under its rarest shingles, as many as
-leave too few for the threshold without them; only members of different
-components that share such a shingle and have sizes within the threshold are
-compared, so no link is lost. Components of verified links are the classes; of each class the
+leave too few for the threshold without them. Members of different components that
+share such a shingle are compared with the least of them, and those that it
+leaves with all others of a size within the threshold, so no link is lost. Components of verified links are the classes; of each class the
 first paragraph in the corpus is its head.
 
 What is cut: of each document the paragraphs that are not heads, where a run of
@@ -333,21 +333,33 @@ def _rare_shingles(units: DataFrame, sets: DataFrame, threshold: float) -> DataF
 
 
 def _across_components(labelled: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of one bucket and different components that share a rare shingle and are alike in size.
+    """Links (a, b) between different components of a bucket, as many as join all components that any link joins.
+
+    Members that share a rare shingle are first compared with the least of them. Of those alike to it
+    none is compared with another: they are in one component by now. The others are compared with all
+    members that are alike in size.
 
     Where the first shingle that two sets share stands at ``at`` in both orders, no more than the rest of
     either can be shared besides: places that leave too few are no evidence.
     """
-    filed = stored(labelled.join(_rare_shingles(labelled, sets, threshold), "unit"), "filed")
-    mixed = filed.groupBy("h", "g").agg(F.min("c").alias("low"), F.max("c").alias("high")) \
-        .where(F.col("low") != F.col("high")).select("h", "g")
-    filed = filed.join(mixed, ["h", "g"])
-    x = filed.select("h", "g", F.col("unit").alias("a"), F.col("c").alias("ca"), F.col("size").alias("na"), F.col("at").alias("ia"))
-    y = filed.select("h", "g", F.col("unit").alias("b"), F.col("c").alias("cb"), F.col("size").alias("nb"), F.col("at").alias("ib"))
+    filed = labelled.join(_rare_shingles(labelled, sets, threshold), "unit")
+    mixed = filed.groupBy("h", "g").agg(F.min(F.struct("c", "unit")).alias("center"), F.max("c").alias("high")) \
+        .where(F.col("center.c") != F.col("high")).select("h", "g", "center")
+    filed = stored(filed.join(mixed, ["h", "g"]), "filed")
+    own = F.col("c") == F.col("center.c")
+    stars = stored(_verified(filed.where(~own).select(F.col("unit").alias("a"), F.col("center.unit").alias("b")).distinct(), sets, threshold), "links")
+    known = stars.select(F.col("a").alias("unit"), F.col("b").alias("star"), F.lit(True).alias("alike"))
+    filed = stored(filed.withColumn("star", F.col("center.unit")).join(known, ["unit", "star"], "left")
+                   .select("h", "g", "unit", "c", "size", "at", (own | F.coalesce("alike", F.lit(False))).alias("settled")), "filed")
+    # x are the members that the center left; a pair of two such members is formed once
+    x = filed.where(~F.col("settled")).select("h", "g", F.col("unit").alias("a"), F.col("c").alias("ca"), F.col("size").alias("na"), F.col("at").alias("ia"))
+    y = filed.select("h", "g", F.col("unit").alias("b"), F.col("c").alias("cb"), F.col("size").alias("nb"), F.col("at").alias("ib"), "settled")
     enough = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) >= threshold / (1 + threshold) * (F.col("na") + F.col("nb")) - 1e-9
     near = (F.col("na") >= threshold * F.col("nb")) & (F.col("nb") >= threshold * F.col("na"))
-    return x.join(y, ["h", "g"]).where((F.col("ca") < F.col("cb")) & near & enough) \
+    once = F.when(F.col("settled"), F.col("ca") != F.col("cb")).otherwise(F.col("ca") < F.col("cb"))
+    pairs = x.join(y, ["h", "g"]).where(once & near & enough) \
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return stars.unionAll(_verified(pairs, sets, threshold))
 
 
 def paragraph_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
@@ -372,7 +384,7 @@ def paragraph_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: flo
                   .select(unit.alias("a"), F.col("high").alias("b"))).distinct()
     links = stored(_verified(stars, sets, threshold), "links")
     linked = stored(connected_components(links), "components")
-    more = stored(_verified(_across_components(_open_members(members, linked), sets, threshold), sets, threshold), "links")
+    more = stored(_across_components(_open_members(members, linked), sets, threshold), "links")
     if not more.isEmpty():
         known = linked.select(F.col("node").alias("a"), F.col("component").alias("b"))
         linked = stored(connected_components(known.unionAll(more)), "components")

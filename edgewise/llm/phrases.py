@@ -13,8 +13,8 @@ array operations.
 
 Skew: words that make up at least 1 in ``HOT_WORDS`` of all words are hot, at
 most ``HOT_WORDS`` of them at any size. Pointers that begin with two hot words
-are routed by all their words, and their shorter phrases are summed over the
-tasks. A task sorts ``SORTED_POINTERS`` at a time, in order of their routes; a
+are routed by three words, and their pairs are summed over the
+tasks; longer ones are whole in a task and abandoned there if rare. A task sorts ``SORTED_POINTERS`` at a time, in order of their routes; a
 route that is cut by that bound abandons nothing, and its parts are summed too.
 Counts of hot words are broadcast to the candidates, all other counts are
 joined by shuffle.
@@ -162,11 +162,12 @@ def _pointers(docs: DataFrame, longest: int, slice_bytes: int, hot: set[str]) ->
     return _slice_rows(docs, rows, "lang string, p string, n bigint", longest - 1, slice_bytes)
 
 
-def frequent_prefixes(symbols: list[np.ndarray], weight: np.ndarray, least: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def frequent_prefixes(symbols: list[np.ndarray], weight: np.ndarray, least: np.ndarray
+                      ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Multikey three-way quicksort: (depth, one pointer, weight) of the equal parts that weigh enough.
 
-    ``symbols[d][p]`` is pointer p's symbol at depth d, negative where it has ended. ``least`` gives
-    for each pointer the weight that its parts must have, the same for all that share the first symbol.
+    ``symbols[d][p]`` is pointer p's symbol at depth d, negative where it has ended. ``least[d][p]`` is the
+    weight that a part must have to be sorted on by the symbol at depth d, or to be found by it.
     """
     table = np.stack(symbols)
     pointer = np.arange(table.shape[1])
@@ -190,7 +191,7 @@ def frequent_prefixes(symbols: list[np.ndarray], weight: np.ndarray, least: np.n
         moved = np.empty_like(pointer)
         moved[place] = pointer
         total = np.add.reduceat(np.append(weight[moved], 0), begin)
-        bound = np.minimum.reduceat(np.append(least[moved], 0), begin)
+        bound = np.minimum.reduceat(np.append(least[depth[segment], moved], 0), begin)
         one = moved[np.minimum(begin, len(moved) - 1)]
         kept = (count > 0) & (total >= bound)
         equal = np.arange(len(count)) % 3 == 1
@@ -211,12 +212,12 @@ def _sorted_counts(routed: DataFrame, longest: int, least: int, sorted_pointers:
         n = table.num_rows
         route = table["route"].to_numpy()
         weight = table["n"].to_numpy()
-        # a route that lies in another slice too, or whose pairs lie in other tasks, keeps its small parts
-        partial = weight < 0
+        # a route that lies in another slice too keeps its small parts
+        cut = np.zeros(n, bool)
         if open_ends[0]:
-            partial = partial | (route == route[0])
+            cut |= route == route[0]
         if open_ends[1]:
-            partial = partial | (route == route[-1])
+            cut |= route == route[-1]
         split = pc.split_pattern(table["p"].combine_chunks(), " ")
         words = split.flatten().dictionary_encode()
         size = pc.list_value_length(split).to_numpy()
@@ -224,9 +225,12 @@ def _sorted_counts(routed: DataFrame, longest: int, least: int, sorted_pointers:
         ids = np.full((longest, n), -1, np.int64)
         ids[np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size), owner] = words.indices.to_numpy()
         lang = table["lang"].combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
-        # first symbol: language and whether the route is whole, so that one bound holds in every part
-        first = lang * 2 + partial
-        bound = np.where(partial, 1, least)
+        # first symbol: language and what bounds hold, so that they are the same in every part
+        first = lang * 4 + 2 * cut + (weight < 0)
+        # pairs of hot words are counted in parts, what follows them is whole here
+        bound = np.full((longest + 1, n), least)
+        bound[:, cut] = 1
+        bound[:3, weight < 0] = 1
         for depth, one, total in frequent_prefixes([first, *ids], np.abs(weight), bound):
             k = depth - 1
             if k < 2:
@@ -268,7 +272,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
     hot = words.where(F.col("f") * hot_words >= total)  # at most hot_words rows
     listed = hot.select(F.col("words")[0].alias("w")).distinct()
     is_hot = {r["w"] for r in listed.collect()}
-    route = F.when(F.col("n") < 0, F.xxhash64("lang", "p")).otherwise(F.xxhash64("lang", F.substring_index("p", " ", 2)))
+    route = F.when(F.col("n") < 0, F.xxhash64("lang", F.substring_index("p", " ", 3))).otherwise(F.xxhash64("lang", F.substring_index("p", " ", 2)))
     # the route is computed on both sides of the shuffle: eight bytes a pointer less to send
     routed = _pointers(docs, longest, slice_bytes, is_hot).repartition(route) \
         .select(route.alias("route"), "lang", "p", "n").sortWithinPartitions("route")

@@ -106,7 +106,7 @@ def test_quicksort_counts_and_abandons():
                 c[tuple(int(x[p]) for x in s[:d])] += int(w[p])
         want = {k: x for k, x in c.items() if x >= (1 if k[0] == 1 else 10)}
         seen = {}
-        for d, one, total in P.frequent_prefixes(s, w, np.where(s[0] == 1, 1, 10)):
+        for d, one, total in P.frequent_prefixes(s, w, np.tile(np.where(s[0] == 1, 1, 10), (4, 1))):
             for p, x in zip(one, total):
                 key = tuple(int(y[p]) for y in s[:d])
                 assert key not in seen
