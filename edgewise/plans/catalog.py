@@ -23,7 +23,7 @@ from edgewise.functions.hashing import SEED_SPLIT, SEED_TEST, SEED_TRAIN, pair_h
 from edgewise.operators import evaluate, features, graph as G, models, sampling, selection
 from edgewise.operators.prepared import prepare_graph
 from edgewise.session import cut_lineage, scratch_dir
-from edgewise.sources import files, graphs, quarantine
+from edgewise.sources import files, graphs, published, quarantine
 
 _MEMO: dict = {}
 
@@ -357,6 +357,73 @@ def q_pairs_scan(spark, sf):
     return files.read_pairs(spark, path)
 
 
+# ---------------------------------------------------------------- hand-over by manifest
+
+def _published(spark, sf, name, write):
+    """The folder of an output of this application: written once, published, checked at every read."""
+    out = _memo(spark, sf, f"published-{name}", lambda: scratch_dir(spark, f"published-{name}"))
+    published.publish(spark, out, f"{name} of {sf}", write)
+    return out
+
+
+def _published_edges(spark, sf):
+    return _published(spark, sf, "edges", lambda path: files.write_edges(sample(spark, sf)[1], path))
+
+
+def _published_pairs(spark, sf):
+    return _published(spark, sf, "pairs", lambda path: files.write_pairs(sample(spark, sf)[2], path))
+
+
+def _published_features(spark, sf):
+    return _published(spark, sf, "features", lambda path: files.write_features(labelled_features(spark, sf), path))
+
+
+def _published_baseline(spark, sf):
+    return _published(spark, sf, "baseline", lambda path: files.write_baseline(q_baseline_features(spark, sf), path))
+
+
+def q_published_edges(spark, sf):
+    """The sampled subgraph's edges, handed over as a tab-separated file."""
+    return graphs.read_edge_list(spark, published.location(spark, _published_edges(spark, sf)))
+
+
+def q_published_pairs(spark, sf):
+    return files.read_pairs(spark, published.location(spark, _published_pairs(spark, sf)))
+
+
+def q_published_features(spark, sf):
+    return files.read_features(spark, published.location(spark, _published_features(spark, sf)))
+
+
+def q_published_scores(spark, sf):
+    """Scores and labels of the test split, handed over as a score file."""
+    out = _published(spark, sf, "scores", lambda path: files.write_scores(_scored(spark, sf), path))
+    return files.read_scores(spark, published.location(spark, out))
+
+
+def q_published_metrics(spark, sf):
+    """The AUC of those scores with its class sizes, handed over as a metric log."""
+    def write(path):
+        a = evaluate.auc(_scored(spark, sf)).select(F.lit("jaccard_out").alias("model"), *[F.col(c).cast("double") for c in ("auc", "positives", "negatives")])
+        files.write_metrics(a.unpivot("model", ["auc", "positives", "negatives"], "metric", "value"), path)
+    return files.read_metrics(spark, published.location(spark, _published(spark, sf, "metrics", write)))
+
+
+def q_published_baseline(spark, sf):
+    return files.read_baseline(spark, published.location(spark, _published_baseline(spark, sf)))
+
+
+def q_published_lines(spark, sf):
+    """Lines of the four outputs without a header, as their manifests add up."""
+    parts = {"edges": _published_edges, "pairs": _published_pairs, "features": _published_features, "baseline": _published_baseline}
+    out = None
+    for name, of in parts.items():
+        m = published.manifest(spark, of(spark, sf)).agg(F.coalesce(F.sum("lines"), F.lit(0)).alias("lines")) \
+            .select(F.lit(name).alias("output"), "lines")
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
 # ---------------------------------------------------------------- baseline
 
 def q_co_out_counts(spark, sf):

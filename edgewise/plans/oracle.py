@@ -349,6 +349,14 @@ l AS (SELECT *, CASE kind WHEN 'one' THEN CAST(user_id AS VARCHAR) WHEN 'word' T
 """
 
 
+_BASELINE = (f"SELECT a.u, a.v, CAST(a.c AS BIGINT) AS co_out, CAST(b.c AS BIGINT) AS co_in, p.label FROM zco a "
+             f"JOIN zci b ON a.u = b.u AND a.v = b.v JOIN {TR}pairs p ON p.u = a.u AND p.v = a.v")
+
+
+def _baseline_sql() -> str:
+    return W(train_ctes() + _zero_pd(), _BASELINE)
+
+
 def oracle_sql() -> dict[str, str]:
     tr = train_ctes()
     ft = train_features()
@@ -461,10 +469,22 @@ def oracle_sql() -> dict[str, str]:
         # baseline
         "co_out_counts": W(train_ctes() + _zero_pd(), "SELECT u, v, CAST(c AS BIGINT) AS co_out FROM zco"),
         "co_in_counts": W(train_ctes() + _zero_pd(), "SELECT u, v, CAST(c AS BIGINT) AS co_in FROM zci"),
-        "baseline_features": W(train_ctes() + _zero_pd(), f"SELECT a.u, a.v, CAST(a.c AS BIGINT) AS co_out, "
-                                                f"CAST(b.c AS BIGINT) AS co_in, p.label FROM zco a "
-                                                f"JOIN zci b ON a.u = b.u AND a.v = b.v "
-                                                f"JOIN {TR}pairs p ON p.u = a.u AND p.v = a.v"),
+        "baseline_features": _baseline_sql(),
+        # hand-over by manifest
+        "published_edges": W(tr, f"SELECT src, dst FROM {TR}sub"),
+        "published_pairs": W(tr, f"SELECT u, v, label FROM {TR}pairs"),
+        "published_features": W(ft, f"SELECT * FROM {pv}feat"),
+        "published_scores": W(_scored_ctes(), "SELECT score, label FROM scored"),
+        "published_metrics": W(_scored_ctes() + auc_sql("scored") + [
+            ("m", "SELECT CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN CAST(sum(pos * (2 * neg_below + neg)) AS DOUBLE) / "
+                  "(2.0 * CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) END AS auc, CAST(sum(pos) AS DOUBLE) AS positives, "
+                  "CAST(sum(neg) AS DOUBLE) AS negatives FROM sp")],
+            "SELECT 'jaccard_out' AS model, 'auc' AS metric, auc AS value FROM m UNION ALL "
+            "SELECT 'jaccard_out', 'positives', positives FROM m UNION ALL SELECT 'jaccard_out', 'negatives', negatives FROM m"),
+        "published_baseline": _baseline_sql(),
+        "published_lines": W(
+            ft + _zero_pd(), f"SELECT 'edges' AS output, count(*) AS lines FROM {TR}sub UNION ALL SELECT 'pairs', count(*) FROM {TR}pairs UNION ALL "
+            f"SELECT 'features', count(*) FROM {pv}feat UNION ALL SELECT 'baseline', count(*) FROM ({_BASELINE}) t"),
         # evaluation
         "confusion_counts": W(split_ctes() + [
             ("sc", f"SELECT CASE WHEN common_out > 0 THEN 1.0 ELSE 0.0 END AS score, {LABEL_VALUE} AS label "

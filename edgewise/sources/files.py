@@ -35,6 +35,10 @@ SCORE_SCHEMA = T.StructType([
 ])
 
 
+METRIC_SCHEMA = "model string, metric string, value double"
+BASELINE_SCHEMA = "u bigint, v bigint, co_out bigint, co_in bigint, label string"
+
+
 def read_pairs(spark: SparkSession, path: str, min_partitions: int = 4) -> DataFrame:
     df = spark.read.schema(PAIR_SCHEMA).csv(path, header=False)
     if min_partitions and df.rdd.getNumPartitions() < min_partitions:
@@ -60,6 +64,14 @@ def read_scores(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCORE_SCHEMA).csv(path, header=True)
 
 
+def read_metrics(spark: SparkSession, path: str, schema: str = METRIC_SCHEMA) -> DataFrame:
+    return spark.read.schema(schema).csv(path, header=True)
+
+
+def read_baseline(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(BASELINE_SCHEMA).csv(path, header=False)
+
+
 def write_edges(edges: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Tab-separated ``src<TAB>dst`` lines (readable by ``read_edge_list``)."""
     edges.select("src", "dst").write.mode(mode).csv(path, sep="\t", header=False)
