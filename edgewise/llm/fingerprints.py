@@ -114,10 +114,12 @@ def sketch(hashes: PrefixHashes) -> np.ndarray:
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Estimated Jaccard similarity of two sketches."""
+    """Jaccard similarity of two sketches: exact if both hold all spans of their texts, else from the least of the union."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    least = np.union1d(a, b)[: min(SLOTS, max(len(a), len(b)))]
+    least = np.union1d(a, b)
+    if max(len(a), len(b)) >= SLOTS:
+        least = least[:SLOTS]
     return float(np.isin(least, a).__and__(np.isin(least, b)).sum() / len(least))
 
 

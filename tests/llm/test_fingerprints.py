@@ -32,6 +32,18 @@ def test_likeness_follows_jaccard():
     assert P.likeness(np.zeros(0), np.zeros(0)) == 1.0 and P.likeness(np.zeros(0), np.ones(1)) == 0.0
 
 
+def test_likeness_of_short_texts_is_exact():
+    rng = random.Random(8)
+    for _ in range(400):
+        a = bytes(rng.choice(b"ab") for _ in range(rng.randrange(16, 80)))
+        cut = rng.randrange(len(a) + 1)
+        b = a[:cut] + bytes(rng.choice(b"ab") for _ in range(rng.randrange(16, 80) - min(cut, 16)))
+        x, y = ({t[i:i + 16] for i in range(len(t) - 15)} for t in (a, b))
+        sketches = [P.sketch(P.PrefixHashes(t)) for t in (a, b)]
+        if y and max(map(len, sketches)) < P.SLOTS:
+            assert P.likeness(*sketches) == len(x & y) / len(x | y)
+
+
 DOCS = [(4, "abcdefgh" * 5), (1, None), (9, "é" * 31), (2, ""), (30, "abcdefgh" * 5), (7, "x"), (12, "lorem ipsum " * 3000), (13, "ab")]
 
 
