@@ -3,8 +3,8 @@
 The rank file becomes a byte-level BPE model: every byte maps to one printable
 character, every split of a token into two tokens is a merge, in rank order.
 Texts are cut by the split pattern; each distinct piece of a batch is encoded
-once and its ids are kept in a bounded cache. Decoding reverses the byte table,
-so a character that lies across several tokens comes back whole.
+once and its ids are kept in a bounded cache. Decoding joins the bytes that the rank
+file gives for the ids, so a character that lies across several tokens comes back whole.
 
 The rank file has a fixed size, is read once on the driver and sent along with
 the tasks. Defined cases: null text counts as empty (no tokens); repeated rows
