@@ -24,8 +24,9 @@ from edgewise.functions.features import (
 from edgewise.operators.neighbours import (
     DEFAULT_ENUM_LIMIT, common_counts, common_neighbour_rows, cross_counts, cross_queries, out_common_counts,
 )
-from edgewise.operators.prepared import PreparedGraph, as_prepared
-from edgewise.operators.skew import lookup, spread
+from edgewise.operators.prepared import PreparedGraph, around, as_prepared
+from edgewise.operators.skew import either, lookup, spread
+from edgewise.session import cut_lineage
 
 
 def clean_pairs(pairs: DataFrame) -> DataFrame:
@@ -38,29 +39,33 @@ _END_COLS = {"degree": "degree", "in": "in_degree", "out": "out_degree", "bi": "
              "in_rep": "rep_in", "out_rep": "rep_out", "live": "live_out", "closed": "closed_out", "out2": "out2"}
 
 
-def attach_ends(pairs: DataFrame, graph: PreparedGraph, isolated: str = "drop") -> DataFrame:
+def attach_ends(pairs: DataFrame, graph: PreparedGraph, isolated: str = "drop", paths: bool = True) -> DataFrame:
     """Pairs with u_* and v_* vertex statistics. ``isolated='drop'`` removes
     pairs with an endpoint outside the graph, ``'zero'`` keeps them with 0s."""
     how = "inner" if isolated == "drop" else "left"
-    out = pairs
+    out, stats = pairs, graph.stats if paths else graph.counts
     for end, hubs in (("v", graph.hubs_in), ("u", graph.hubs_out)):  # as many pairs of a hub as edges, if the pairs are edges
-        cols = [F.col("id").alias(end)] + [F.col(c).alias(f"{end}_{k}") for k, c in _END_COLS.items()]
-        out = lookup(out, end, graph.stats.select(*cols), hubs, how)
+        cols = [F.col("id").alias(end)] + [F.col(c).alias(f"{end}_{k}") for k, c in _END_COLS.items() if c in stats.columns]
+        out = lookup(out, end, stats.select(*cols), hubs, how)
     fill = {c: 0 for c in out.columns if c[:2] in ("u_", "v_")}
     return out.fillna(fill)
 
 
 def pair_degrees(pairs: DataFrame, graph, isolated: str = "drop") -> DataFrame:
-    g = as_prepared(graph)
-    d = attach_ends(clean_pairs(pairs), g, isolated)
+    pairs, g = _near(pairs, graph, False)
+    d = attach_ends(pairs, g, isolated, False)
     return d.select("u", "v", "u_degree", "v_degree", "u_in", "u_out", "v_in", "v_out", "label")
 
 
-def _ends(pairs: DataFrame, g: PreparedGraph, isolated: str) -> DataFrame:
-    """Clean pairs with endpoint statistics, dealt over all tasks by a hash of (u, v) before the expansions.
+def _near(pairs: DataFrame, graph, paths: bool) -> tuple[DataFrame, PreparedGraph]:
+    """Clean pairs, written once, and the part of the graph that they need."""
+    pairs = cut_lineage(clean_pairs(pairs))
+    return pairs, around(as_prepared(graph), pairs, paths)
+
 
-    The later joins on (u, v) shuffle the pairs again; the expansions' rows are far more."""
-    return spread(attach_ends(clean_pairs(pairs), g, isolated), "u", "v")
+def _ends(pairs: DataFrame, g: PreparedGraph, isolated: str, paths: bool) -> DataFrame:
+    """Clean pairs with endpoint statistics, written once, dealt over all tasks by a hash of (u, v) before the expansions."""
+    return cut_lineage(spread(attach_ends(pairs, g, isolated, paths), "u", "v"))
 
 
 def _sets(pd: DataFrame) -> DataFrame:
@@ -86,31 +91,31 @@ def _total_of(direction: str, n: str = "n_common"):
 
 
 def _directed(pd: DataFrame, g: PreparedGraph, direction: str) -> DataFrame:
-    c = common_counts(_sets(pd), g.links, direction, g.hubs_out if direction == "out" else g.hubs_in)
+    c = common_counts(_sets(pd), g.weighted.where("of_end" if direction == "out" else "to_end"), direction, g.hubs_out if direction == "out" else g.hubs_in, either(g.hubs_out, g.hubs_in))
     return c.select("u", "v", F.col("n_common").alias(f"n_{direction}"), F.col("n_repeated").alias(f"r_{direction}"))
 
 
 def total_friends(pairs: DataFrame, graph) -> DataFrame:
     """(u, v, total_out, total_in) = |O(u) u O(v)|, |I(u) u I(v)|; all pairs kept."""
-    g = as_prepared(graph)
-    pd = _ends(pairs, g, "zero")
+    pairs, g = _near(pairs, graph, False)
+    pd = _ends(pairs, g, "zero", False)
     j = _joined(pd, _directed(pd, g, "out"), _directed(pd, g, "in"))
     return j.select("u", "v", *[_total_of(d, f"n_{d}").alias(f"total_{d}") for d in ("out", "in")])
 
 
 def common_friends(pairs: DataFrame, graph, directions: tuple[str, ...] = ("out", "in")) -> DataFrame:
     """(u, v, common_out, common_in) or one of the two; all pairs kept, 0 when none."""
-    g = as_prepared(graph)
-    pd = _ends(pairs, g, "zero")
+    pairs, g = _near(pairs, graph, False)
+    pd = _ends(pairs, g, "zero", False)
     j = _joined(pd, *[_directed(pd, g, d) for d in directions])
     return j.select("u", "v", *[_common_of(d, f"n_{d}", f"r_{d}").alias(f"common_{d}") for d in directions])
 
 
 def shared_neighbour_rows(pairs: DataFrame, graph, direction: str = "out") -> DataFrame:
     """(u, v, x): one row per shared neighbour x of the pair."""
-    g = as_prepared(graph)
-    pd = _ends(pairs, g, "zero")
-    return common_neighbour_rows(_sets(pd), g.links, direction, g.hubs_out if direction == "out" else g.hubs_in)
+    pairs, g = _near(pairs, graph, False)
+    pd = _ends(pairs, g, "zero", False)
+    return common_neighbour_rows(_sets(pd), g.weighted, direction, g.hubs_out if direction == "out" else g.hubs_in)
 
 
 def _linked(pd: DataFrame, g: PreparedGraph, apart: bool, enum_limit: int) -> DataFrame:
@@ -119,11 +124,11 @@ def _linked(pd: DataFrame, g: PreparedGraph, apart: bool, enum_limit: int) -> Da
                            (F.col("live") & (F.col("paths") > 0)).alias("uv_closed"))
     back = g.links.select(F.col("dst").alias("u"), F.col("src").alias("v"), F.lit(True).alias("vu"),
                           (F.col("live") & (F.col("paths") > 0)).alias("vu_closed"))
-    pd = pd.join(there, ["u", "v"], "left").join(back, ["u", "v"], "left").fillna(False, ["uv", "uv_closed", "vu", "vu_closed"])
+    pd = cut_lineage(pd.join(there, ["u", "v"], "left").join(back, ["u", "v"], "left").fillna(False, ["uv", "uv_closed", "vu", "vu_closed"]))
     asked = pd.select("u", "v", "uv", "vu", *[F.col(f"{e}_out_n").alias(f"{e}_out") for e in "uv"], "u_out2", "v_out2",
                       *[(F.col(f"{e}_live") - F.col(f"{e}_closed")).alias(f"{e}_open") for e in "uv"])
-    cross = cross_counts(cross_queries(asked, apart), g.links, g.stats, g.hubs_out, g.hubs_in, enum_limit)
-    pd = _joined(pd, out_common_counts(_sets(pd), g.links, g.hubs_out))
+    cross = cross_counts(cross_queries(asked, apart), g.links, g.hops, g.hubs_out, g.hubs_in, enum_limit)
+    pd = _joined(pd, out_common_counts(_sets(pd), g.links, g.hubs_out, either(g.hubs_out, g.hubs_in)))
     if cross is None:
         return pd.withColumns({"cross_u": F.lit(0), "cross_v": F.lit(0)})
     return _joined(pd, cross)
@@ -153,8 +158,8 @@ def _without_target():
 
 def friends_measure(pairs: DataFrame, graph, enum_limit: int = DEFAULT_ENUM_LIMIT) -> DataFrame:
     """(u, v, friends_measure); all pairs kept, 0 when none."""
-    g = as_prepared(graph)
-    return _linked(_ends(pairs, g, "zero"), g, False, enum_limit).select("u", "v", _friends().alias("friends_measure"))
+    pairs, g = _near(pairs, graph, True)
+    return _linked(_ends(pairs, g, "zero", True), g, False, enum_limit).select("u", "v", _friends().alias("friends_measure"))
 
 
 def pair_features(pairs: DataFrame, graph, isolated: str = "drop", enum_limit: int = DEFAULT_ENUM_LIMIT,
@@ -167,7 +172,8 @@ def pair_features(pairs: DataFrame, graph, isolated: str = "drop", enum_limit: i
     g = as_prepared(graph)
     if exclude_target and g.multi:
         raise ValueError("exclude_target needs a graph without repeated edges")
-    j = _linked(_ends(pairs, g, isolated), g, exclude_target, enum_limit)
+    pairs, g = _near(pairs, g, True)
+    j = _linked(_ends(pairs, g, isolated, True), g, exclude_target, enum_limit)
     j = _joined(j, _directed(j, g, "in"))
     own = F.col("uv").cast("int") if exclude_target else F.lit(0)
     mutual = (F.col("uv") & F.col("vu")).cast("int") if exclude_target else F.lit(0)

@@ -52,23 +52,31 @@ def hub_table(degrees: DataFrame, degree_col: str, bound: int = DEFAULT_CHUNK, i
 
 
 def _salts(hubs: DataFrame, key: str) -> DataFrame:
-    return bounded_broadcast(hubs.select(F.col("id").alias(key), F.col("salts").alias("_ns")), MAX_HUBS)
+    return bounded_broadcast(hubs.select(F.col("id").alias(key), F.col("salts").alias("_ns")), 2 * MAX_HUBS)
 
 
-def lookup(rows: DataFrame, key: str, table: DataFrame, hubs: DataFrame | None = None, how: str = "inner") -> DataFrame:
-    """Equi-join of ``rows`` with a ``table`` of one row per ``key``.
+def either(a: DataFrame | None, b: DataFrame | None) -> DataFrame | None:
+    """The hubs of two tables: at most twice MAX_HUBS."""
+    if a is None or b is None:
+        return b if a is None else a
+    return a.unionByName(b).groupBy("id").agg(F.max("salts").alias("salts"))
 
-    Rows of a hub are dealt over its salts by a hash of their other columns,
+
+def lookup(rows: DataFrame, key: str, table: DataFrame, hubs: DataFrame | None = None, how: str = "inner",
+           also: tuple[str, ...] = (), dealt: list[str] | None = None) -> DataFrame:
+    """Equi-join of ``rows`` with a ``table`` of one row per ``key`` (and the columns ``also``).
+
+    Rows of a hub are dealt over its salts by a hash of their other columns (or of ``dealt``),
     and its table row is repeated for each: no task gets all of a hub's rows.
     """
     if hubs is None:
-        return rows.join(table, key, how)
+        return rows.join(table, [key, *also], how)
     h = _salts(hubs, key)
-    salt = F.when(F.col("_ns").isNull(), 0).otherwise(F.pmod(F.xxhash64(*rows.columns), F.col("_ns")).cast("int"))
+    salt = F.when(F.col("_ns").isNull(), 0).otherwise(F.pmod(F.xxhash64(*(dealt or rows.columns)), F.col("_ns")).cast("int"))
     left = rows.join(h, key, "left").withColumn("_salt", salt).drop("_ns")
     right = table.join(h, key, "left") \
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_ns"), F.lit(1)) - 1))).drop("_ns")
-    return left.join(right, [key, "_salt"], how).drop("_salt")
+    return left.join(right, [key, *also, "_salt"], how).drop("_salt")
 
 
 def expand(left: DataFrame, key: str, adj: DataFrame, adj_key: str,

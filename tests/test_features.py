@@ -7,7 +7,7 @@ import pytest
 
 from conftest import pairs_df
 from edgewise.functions.features import FEATURE_COLUMNS
-from edgewise.operators import features
+from edgewise.operators import features, neighbours, prepared
 from edgewise.operators.prepared import prepare_graph
 from edgewise.sources.graphs import simple_graph
 
@@ -277,3 +277,44 @@ def test_hub_pairs_stay_far_below_the_square_of_its_degree(spark):
         n = out.get(r.u, set()) | out.get(r.v, set())
         hops = set().union(*[out.get(m, set()) for m in n])
         assert r.friends_measure == sum(1 for x in n if out.get(x) and x in hops), (r.u, r.v)
+
+
+# ----------------------------------------------------------------- lists of neighbours, parts of a graph
+
+@pytest.mark.parametrize("size,long,apart,small", [(2, 1_000, 64, 0), (2, 5, 1, 1_000_000)])
+def test_lists_in_parts_and_pairs_by_rows_count_the_same(spark, monkeypatch, size, long, apart, small):
+    monkeypatch.setattr(neighbours, "LIST", size)
+    monkeypatch.setattr(neighbours, "LONG", long)
+    monkeypatch.setattr(neighbours, "APART", apart)
+    monkeypatch.setattr(prepared, "SMALL", small)
+    rnd = random.Random(size + long)
+    edges = [(rnd.randrange(14), rnd.randrange(14)) for _ in range(90)]
+    pairs = [(rnd.randrange(16), rnd.randrange(16), "N") for _ in range(80)] + [(a, b, "Y") for a, b in edges[:30]]
+    e_df, asked = spark.createDataFrame(edges, "src bigint, dst bigint"), [(u, v) for u, v, _ in pairs]
+    for expected, kw, how in ((brute_without_target(edges, asked), {}, {"isolated": "zero", "exclude_target": True}),
+                              (brute_multi(edges, asked), {"multi": True, "chunk": 4}, {})):
+        got = _rows(features.pair_features(pairs_df(spark, pairs), prepare_graph(e_df, **kw), **how))
+        assert set(got) == set(expected)
+        for k, exp in expected.items():
+            for col, val in exp.items():
+                assert got[k][col] == val, (k, col, kw)
+
+
+def test_pairs_ask_for_their_part_of_the_graph_only(spark, monkeypatch):
+    monkeypatch.setattr(prepared, "SMALL", 0)
+    edges = [(a, b) for k in range(0, 200, 10) for a in range(k, k + 10) for b in range(k, k + 10) if a != b]
+    g = prepare_graph(spark.createDataFrame(edges, "src bigint, dst bigint"), materialize="checkpoint")
+    pairs = pairs_df(spark, [(1, 2, "Y"), (3, 11, "N")])
+    part = prepared.around(g, pairs)
+    assert part.weighted.count() == 180 and part.links.count() == 4 * 9
+    assert prepared.around(g, pairs, paths=False).weighted.count() == 102
+    assert _rows(features.pair_features(pairs, g))[1, 2]["friends_measure"] == 10
+    assert not {"counts", "links", "hops"} & set(g.__dict__)      # nothing was built for the whole graph
+
+
+def test_paths_are_counted_without_a_row_for_each(spark):
+    n = 40
+    both = spark.createDataFrame([(a, b, n - 1, n - 1) for a in range(n) for b in range(n) if a != b], "src bigint, dst bigint, dst_out bigint, src_in bigint")
+    found = neighbours.path_counts(both.selectExpr("src AS s", "dst AS n"), both)
+    assert {r.paths for r in found.collect()} == {n - 2}
+    assert max(rows for _, rows in _node_rows(found._jdf.queryExecution().executedPlan())) <= n * (n - 1)
