@@ -307,7 +307,7 @@ def test_pairs_ask_for_their_part_of_the_graph_only(spark, monkeypatch):
     pairs = pairs_df(spark, [(1, 2, "Y"), (3, 11, "N")])
     part = prepared.around(g, pairs)
     assert part.weighted.count() == 180 and part.links.count() == 4 * 9
-    assert prepared.around(g, pairs, paths=False).weighted.count() == 102
+    assert prepared.around(g, pairs, paths=False).weighted.count() == 66
     assert _rows(features.pair_features(pairs, g))[1, 2]["friends_measure"] == 10
     assert not {"counts", "links", "hops"} & set(g.__dict__)      # nothing was built for the whole graph
 
