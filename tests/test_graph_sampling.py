@@ -83,6 +83,20 @@ def test_samplers_deterministic_and_capped(spark):
     assert len(e2) == 40 and {r.u for r in e2} <= set(ids)
 
 
+def test_positive_pairs_filter_by_one_threshold_and_count_copies_after(spark):
+    edges = spark.range(600).select((F.col("id") % 37).alias("src"), (F.col("id") * 7 + 100).alias("dst"))
+    edges = edges.unionByName(spark.createDataFrame([(None, 5), (6, None)], "src bigint, dst bigint"))
+    hashes = edges.select("src", "dst", pair_hash("src", "dst", 11).alias("h")).collect()
+    for rate in (0.0, 0.2, 2.5):
+        t = poisson_thresholds(rate)
+        want = sorted((r.src, r.dst, "Y") for r in hashes if r.h is not None for x in t if r.h >= x)
+        pairs = S.positive_pairs(edges, 11, rate, cap=None)
+        assert sorted(tuple(r) for r in pairs.collect()) == want and bool(want) == (rate > 0)
+        # the hash enters the filter once, not once for each number of copies: the compiled filter stays small
+        filters = [x for x in pairs._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in x]
+        assert not any(str(x) in f for f in filters for x in t[1:])
+
+
 def test_endpoint_index_is_dense_and_the_same_for_any_bucket_size(spark, t1_edges):
     whole = sorted(tuple(r) for r in S.endpoint_index(t1_edges).collect())
     assert [i for i, _ in whole] == list(range(18))
